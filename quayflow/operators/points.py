@@ -88,38 +88,63 @@ def _escape_key(text: str) -> str:
     return text.replace(",", r"\,").replace("=", r"\=").replace(" ", r"\ ")
 
 
+def _escaped(value: Column, replacements: Sequence[tuple[str, str]]) -> Column:
+    """Plain replacements: most texts have none of the characters, and need no regex for it."""
+    for char, text in replacements:
+        value = F.replace(value, F.lit(char), F.lit(text))
+    return value
+
+
+# Line protocol's escapes in measurement names, tag values and text fields.
+_MEASUREMENT_ESCAPES = [(",", r"\,"), (" ", r"\ ")]
+_TAG_ESCAPES = [
+    (",", r"\,"),
+    ("=", r"\="),
+    (" ", r"\ "),
+    ("\n", r"\n"),
+    ("\t", r"\t"),
+    ("\r", r"\r"),
+]
+_TEXT_ESCAPES = [("\\", r"\\"), ('"', r"\"")]
+
+
 def _tag_text(value: Column) -> Column:
     """Escaped tag value; NULL for the empty string, which cannot be a tag value."""
-    escaped = F.regexp_replace(F.nullif(value, F.lit("")), r"([,= ])", r"\\$1")
-    for char, text in (("\n", r"\n"), ("\t", r"\t"), ("\r", r"\r")):
-        escaped = F.replace(escaped, F.lit(char), F.lit(text))
-    return escaped
+    return _escaped(F.nullif(value, F.lit("")), _TAG_ESCAPES)
 
 
 def _field_text(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.BooleanType):
         return value.cast("string")
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        finite = ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
-        return F.when(finite, value.cast("string"))
+    if isinstance(data_type, T.FractionalType):
+        return value.cast("string")
     if isinstance(data_type, T.IntegralType):
         return F.concat(value.cast("string"), F.lit("i"))
-    return F.concat(F.lit('"'), F.regexp_replace(value, r'(["\\])', r"\\$1"), F.lit('"'))
+    return F.concat(F.lit('"'), _escaped(value, _TEXT_ESCAPES), F.lit('"'))
+
+
+def _writable(column: T.StructField) -> Column:
+    """The field's value; NULL for NaN and infinities, which line protocol cannot hold."""
+    value = F.col("fields")[column.name]
+    if not isinstance(column.dataType, (T.FloatType, T.DoubleType)):
+        return value
+    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
 
 
 def line_protocol(points: DataFrame) -> DataFrame:
     """One ``line`` of line protocol text for each point; points without a field have none."""
     schema = points.schema
-    head = [F.regexp_replace("measurement", "([, ])", r"\\$1")]
+    head = [_escaped(F.col("measurement"), _MEASUREMENT_ESCAPES)]
     for name in sorted(schema["tags"].dataType.names):
         tag = _tag_text(F.col("tags")[name])
         head.append(F.concat(F.lit(f"{_escape_key(name)}="), tag))
     body = []
-    for column in sorted(schema["fields"].dataType.fields, key=lambda field: field.name):
-        text = _field_text(F.col("fields")[column.name], column.dataType)
+    columns = sorted(schema["fields"].dataType.fields, key=lambda field: field.name)
+    for column in columns:
+        text = _field_text(_writable(column), column.dataType)
         body.append(F.concat(F.lit(f"{_escape_key(column.name)}="), text))
     line = F.concat_ws(
         " ", F.concat_ws(",", *head), F.concat_ws(",", *body), F.col("time_ns").cast("string")
     )
-    has_field = F.coalesce(*[F.col("fields")[c].cast("string") for c in schema["fields"].dataType.names])
+    has_field = F.coalesce(*[_writable(column).cast("string") for column in columns])
     return points.where(has_field.isNotNull()).select(line.alias("line"))

@@ -45,16 +45,16 @@ from quayflow.plans.curated import curated_rows, enriched_rows, refresh_curated
 from quayflow.plans.star_events import (
     METRICS_TOPIC,
     event_records,
-    lineitem_raw,
     metrics_messages,
     metrics_records,
     part_lines,
+    raw_layer,
     spread,
     table,
 )
 from quayflow.schemas import LINE_COLUMNS
 from quayflow.session import scratch_path
-from quayflow.sinks.files import write_curated, write_lines
+from quayflow.sinks.files import write_curated, write_lines, write_raw
 from quayflow.sources.tables import curated_table, raw_table
 from quayflow.streaming.control import wait
 from quayflow.streaming.metrics_ingest import file_sink, start_metrics_ingest
@@ -93,12 +93,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw")
-    (
-        _event_rows(spark, sf_dir)
-        .hint("rebalance", "ingest_date")
-        .write.partitionBy("ingest_date")
-        .parquet(path)
-    )
+    write_raw(_event_rows(spark, sf_dir), path)
     return plain(raw_table(spark, path, ONE_DAY))
 
 
@@ -209,13 +204,17 @@ def stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 # passages
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_table(spark, raw_layer(spark, sf_dir))
+
+
 def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = F.from_json("props", "k int")
     return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"))
 
 
 def parsed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lifted = lift_deliveries(parse_events(lineitem_raw(spark, sf_dir)))
+    lifted = lift_deliveries(parse_events(_raw(spark, sf_dir)))
     return lifted.select(
         "kafka_key",
         "kafka_offset",
@@ -228,7 +227,7 @@ def parsed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = explode_visits(lift_deliveries(parse_events(lineitem_raw(spark, sf_dir))))
+    visits = explode_visits(lift_deliveries(parse_events(_raw(spark, sf_dir))))
     journey = "visit.MonitoredVehicleJourney"
     return visits.select(
         "kafka_key",
@@ -241,18 +240,18 @@ def flatten_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(passages(lineitem_raw(spark, sf_dir)))
+    return plain(passages(_raw(spark, sf_dir)))
 
 
 def passages_strict_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(passages(lineitem_raw(spark, sf_dir), "strict"))
+    return plain(passages(_raw(spark, sf_dir), "strict"))
 
 
 # enrichment
 
 
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visits_of(lineitem_raw(spark, sf_dir))
+    return visits_of(_raw(spark, sf_dir))
 
 
 def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,22 +279,16 @@ def curated_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def curated_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job from files to files, with the line table as CSV."""
-    raw, lines, curated = (scratch_path(spark, name) for name in ("raw", "lines", "curated"))
-    (
-        lineitem_raw(spark, sf_dir)
-        .hint("rebalance", "ingest_date")
-        .write.partitionBy("ingest_date")
-        .parquet(raw)
-    )
+    lines, curated = scratch_path(spark, "lines"), scratch_path(spark, "curated")
     part_lines(spark, sf_dir).write.option("header", True).csv(lines)
-    refresh_curated(spark, raw, lines, curated)
+    refresh_curated(spark, raw_layer(spark, sf_dir), lines, curated)
     return plain(curated_table(spark, curated))
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = _curated(spark, sf_dir)
     layers = {
-        "raw": lineitem_raw(spark, sf_dir),
+        "raw": _raw(spark, sf_dir),
         "curated": curated,
         "kpi": kpi_ready(curated),
     }
@@ -314,7 +307,7 @@ def kpi_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = passages(lineitem_raw(spark, sf_dir))
+    rows = passages(_raw(spark, sf_dir))
     return rows.select(
         "kafka_key",
         "kafka_offset",

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from quayflow.functions.times import iso_utc
 from quayflow.operators.raw import to_raw
 from quayflow.operators.reference import identify_lines
+from quayflow.session import scratch_path
+from quayflow.sinks.files import write_raw
 
 EVENT_SOURCE = "star.lineitem"
 EVENT_TOPIC = "lineitem-events"
@@ -176,6 +178,23 @@ def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_raw(lineitem_records(spread(lineitem)), F.col("ingested"))
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
+def raw_layer(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the raw table of all line items, written on first use by this application.
+
+    The pipeline keeps its layers as tables, and so do the queries on it: they start
+    from the stored documents and do not build them each time.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        path = scratch_path(spark, "raw")
+        write_raw(lineitem_raw(spark, sf_dir), path)
+        _written[key] = path
+    return _written[key]
+
+
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as lines; parts over size 25 are not of interest and have no label."""
     parts = table(spark, sf_dir, "part").select(

@@ -10,6 +10,16 @@ Overwrite = Literal["dynamic", "static"]
 CURATED_PARTITIONS = ["ingest_date", "roi_label"]
 
 
+def write_raw(raw: DataFrame, path: str) -> None:
+    """Append a batch of raw rows, partitioned by ingestion date.
+
+    Rebalanced like the curated layer; the stream appends without a shuffle.
+    """
+    raw.hint("rebalance", "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(
+        path
+    )
+
+
 def write_curated(curated: DataFrame, path: str, overwrite: Overwrite = "dynamic") -> None:
     """Overwrite the curated layer, partitioned by ingestion date and line label.
 
