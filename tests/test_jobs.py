@@ -1,0 +1,55 @@
+import pytest
+
+from quayflow.jobs import curated_batch, export_points, publish_events, raw_ingest
+from quayflow.jobs.arguments import ENVIRONMENT, parser
+from quayflow.session import scratch_path
+from quayflow.sources.tables import curated_table
+from test_lines import LINES, raw_rows
+
+
+@pytest.fixture(autouse=True)
+def clean_environment(monkeypatch):
+    for variable in ENVIRONMENT.values():
+        monkeypatch.delenv(variable, raising=False)
+
+
+def test_environment_is_the_default(monkeypatch):
+    monkeypatch.setenv("STOPMON_TOPIC", "from-environment")
+    assert parser("d", "topic").parse_args([]).topic == "from-environment"
+    assert parser("d", "topic").parse_args(["--topic", "given"]).topic == "given"
+    assert parser("d", interval="30 seconds").parse_args([]).interval == "30 seconds"
+
+
+@pytest.mark.parametrize("job", [raw_ingest, curated_batch, export_points, publish_events])
+def test_missing_option_is_reported(job, capsys):
+    with pytest.raises(SystemExit):
+        job.main([])
+    assert "required" in capsys.readouterr().err
+
+
+def test_export_needs_token(capsys):
+    with pytest.raises(SystemExit):
+        export_points.main(["--curated", "c", "--measurement", "m"])
+    assert "token" in capsys.readouterr().err
+
+
+def test_batch_jobs(spark, tmp_path, capsys):
+    raw, csv, curated, out = (str(tmp_path / n) for n in ("raw", "lines", "curated", "out"))
+    raw_rows(spark).write.partitionBy("ingest_date").parquet(raw)
+    spark.createDataFrame([("STIF:Line::C1:", "RER A", "A", "A", "rail")], LINES).write.option(
+        "header", True
+    ).csv(csv)
+    curated_batch.main(["--raw", raw, "--lines", csv, "--curated-output", curated])
+    assert "curated_rows: 2" in capsys.readouterr().out
+    assert curated_table(spark, curated).count() == 2
+    export_points.main(
+        ["--curated", curated, "--measurement", "m", "--sink", "text", "--output", out]
+    )
+    assert "points: 2" in capsys.readouterr().out
+    assert spark.read.text(out).count() == 2
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first.startswith(shared) and first != second

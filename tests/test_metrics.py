@@ -1,0 +1,128 @@
+"""Metric rules against Python's own int, float and json."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from quayflow.operators.metrics import (
+    BY_TYPE_FIELDS,
+    DOUBLE_FIELDS,
+    INTEGER_FIELDS,
+    metric_lines,
+    metric_points,
+    metric_time,
+    read_metrics,
+    rejected_messages,
+)
+
+BAD = object()
+VALUES = [
+    0, 12, -7, 2.9, -2.9, 1e3, 9007199254740993, "12", " 12 ", "12.7", "x", "", True, False, None, [1], {"a": 1},
+]
+
+
+def strict(convert, value):
+    try:
+        return convert(value)
+    except (TypeError, ValueError):
+        return BAD
+
+
+def expected(name, value):
+    """What the field must be: a number, a boolean, None for no field, BAD for a rejection."""
+    if name in INTEGER_FIELDS:
+        return strict(int, value)
+    if name in DOUBLE_FIELDS:
+        return strict(float, value)
+    if isinstance(value, bool):
+        return value
+    if isinstance(value, (int, float)):
+        return float(value) if "Percent" in name else int(value)
+    return None
+
+
+def read(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "offset bigint, value string")
+    return read_metrics(df)
+
+
+def points(spark, read_frame):
+    time_ns = metric_time("offset", F.lit("2026-01-01").cast("timestamp"))
+    rows = metric_points(read_frame, "topic", "m", time_ns, ("offset",)).collect()
+    result = {}
+    for row in rows:
+        found = [v for v in (row.long_value, row.double_value, row.bool_value) if v is not None]
+        assert len(found) == 1
+        result[row.offset, row.field] = found[0]
+    return result
+
+
+def test_each_rule_equals_python(spark):
+    cases = [
+        (name, value)
+        for name in ["totalMB", "utilizedMBPercent", "appsRunning", "rmSchedulerBusyPercent"]
+        for value in VALUES
+    ]
+    frame = read(spark, [json.dumps({"clusterMetrics": {n: v}}) for n, v in cases])
+    rejected = {row.offset: row.reject_reason for row in rejected_messages(frame).collect()}
+    got = points(spark, frame)
+    for offset, (name, value) in enumerate(cases):
+        want = expected(name, value)
+        assert (offset in rejected) == (want is BAD), (name, value)
+        if want is BAD:
+            assert rejected[offset] == f"unreadable number: {name}"
+        actual = got.get((offset, name))
+        if want is None or want is BAD:
+            assert actual is None
+        else:
+            assert (type(actual), actual) == (type(want), want), (name, value)
+
+
+def test_all_fields_of_a_message(spark):
+    names = [*INTEGER_FIELDS, *DOUBLE_FIELDS, *BY_TYPE_FIELDS]
+    assert len(names) == len(set(names)) == 24
+    message = {"clusterMetrics": {name: i for i, name in enumerate(names)} | {"other": 1}}
+    got = points(spark, read(spark, [json.dumps(message)]))
+    assert got == {(0, name): i for i, name in enumerate(names)}
+
+
+@pytest.mark.parametrize(
+    ("text", "reason"),
+    [
+        ("not json", "not valid JSON"),
+        (None, "not valid JSON"),
+        ('{"clusterMetrics": {}} x', "not valid JSON"),
+        ("[1]", "not a JSON object"),
+        ("null", "not a JSON object"),
+        ('{"clusterMetrics": null}', "clusterMetrics is not an object"),
+        ('{"clusterMetrics": 5}', "clusterMetrics is not an object"),
+        ('{"clusterMetrics": {"totalMB": 1e30}}', "unreadable number: totalMB"),
+        ('{"clusterMetrics": {"totalMB": 1, "pendingMB": null}}', "unreadable number: pendingMB"),
+    ],
+)
+def test_whole_message_is_rejected(spark, text, reason):
+    frame = read(spark, [text])
+    assert [row.reject_reason for row in rejected_messages(frame).collect()] == [reason]
+    assert points(spark, frame) == {}
+
+
+@pytest.mark.parametrize("text", ["{}", '{"clusterMetrics": {}}', ' {"clusterMetrics": {"z": 1}}'])
+def test_message_without_fields_gives_nothing(spark, text):
+    frame = read(spark, [text])
+    assert rejected_messages(frame).count() == 0
+    assert points(spark, frame) == {}
+    assert metric_lines(frame, "topic", "m", F.lit(1)).count() == 0
+
+
+def test_lines(spark):
+    text = '{"clusterMetrics": {"totalMB": 2.9, "utilizedMBPercent": "nan", "appsRunning": true}}'
+    (row,) = metric_lines(read(spark, [text]), "topic", "m", F.lit(5)).collect()
+    assert row.line == "m,rm_host=master,source=yarn_rm,topic=topic totalMB=2i,appsRunning=true 5"
+
+
+def test_neighbours_of_a_batch_have_different_times(spark):
+    frame = read(spark, ['{"clusterMetrics": {"totalMB": 1}}'] * 1000)
+    rows = metric_points(frame, "topic", "m", metric_time("offset"))
+    assert rows.select("time_ns").distinct().count() == 1000
+    assert rows.select(F.expr("time_ns div 1000")).distinct().count() == 1

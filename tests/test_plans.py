@@ -1,0 +1,79 @@
+"""Physical plans: what must not depend on Spark's mood."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
+from quayflow.operators.metrics import metric_points, read_metrics, rejected_messages
+from quayflow.operators.passages import visits_of
+from quayflow.plans.curated import curated_rows
+from quayflow.plans.star_events import part_lines, raw_layer
+from quayflow.sources.tables import raw_table
+
+
+def plan(df, mode="formatted"):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
+    )
+
+
+@pytest.mark.parametrize("name", driver.queries())
+def test_no_python_and_no_cross_join(spark, sf_dir, name):
+    text = plan(driver.queries()[name](spark, sf_dir))
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
+
+
+@pytest.fixture
+def curated(spark, sf_dir):
+    raw = raw_table(spark, raw_layer(spark, sf_dir))
+    return curated_rows(visits_of(raw), part_lines(spark, sf_dir))
+
+
+def test_curated_is_one_narrow_stage(curated):
+    text = plan(curated, "simple")
+    assert text.count("from_json(") == 1
+    assert re.search(r"BroadcastHashJoin \[line_ref.*Inner", text)
+    assert "Exchange hashpartitioning" not in text
+    assert "rangepartitioning" not in text
+
+
+def test_times_are_read_after_the_join(curated):
+    lines = plan(curated, "simple").splitlines()
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line)
+    assert any("recorded_at_time" in line for line in lines[:join])
+    assert not any("recorded_at_time" in line for line in lines[join:])
+
+
+def test_large_line_table_is_not_broadcast(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = raw_table(spark, raw_layer(spark, sf_dir))
+        joined = curated_rows(visits_of(raw), part_lines(spark, sf_dir))
+        assert re.search(r"SortMergeJoin \[line_ref.*Inner", plan(joined, "simple"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_date_prunes_partitions_and_columns(spark, sf_dir):
+    raw = raw_table(spark, raw_layer(spark, sf_dir), "1997-01-01")
+    text = plan(raw.select("raw_json"))
+    assert re.search(r"PartitionFilters: \[.*ingest_date.* = 1997-01-01", text)
+    assert "ReadSchema: struct<raw_json:string>" in text
+
+
+@pytest.mark.parametrize("output", ["points", "rejected"])
+def test_metrics_are_parsed_once(spark, output):
+    messages = spark.range(10).select(F.col("id").cast("string").alias("value"))
+    read = read_metrics(messages)
+    result = metric_points(read, "t", "m", F.lit(1)) if output == "points" else rejected_messages(read)
+    # one text is parsed in its two wrappings
+    assert plan(result, "simple").count("parseJson") == 2
+
+
+def test_observed_lines_reduce_before_the_shuffle(spark, sf_dir):
+    text = plan(driver.queries()["lines_observed"](spark, sf_dir), "simple")
+    assert text.count("HashAggregate") == 2
