@@ -1,4 +1,4 @@
-"""Metrics topic to points and quarantined messages, as Parquet."""
+"""Metrics topic to points, in a time-series store or Parquet; unreadable messages aside."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from quayflow.jobs.arguments import parser
 from quayflow.session import build_session
 from quayflow.sources.kafka import metrics_stream
 from quayflow.streaming.control import wait
-from quayflow.streaming.metrics_ingest import file_sink, start_metrics_ingest
+from quayflow.streaming.metrics_ingest import file_sink, start_metrics_ingest, store_sink
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -17,20 +17,39 @@ def main(argv: Sequence[str] | None = None) -> None:
         "servers",
         "metrics-topic",
         "measurement",
-        "points",
         "rejected",
         "state",
+        points=None,
         metrics_group=None,
+        store_url=None,
+        store_org=None,
+        store_bucket=None,
+        store_token=None,
         interval="30 seconds",
     )
     options.add_argument("--once", action="store_true", help="stop when the backlog is done")
+    options.add_argument("--sink", choices=["store", "parquet"], default="store")
     args = options.parse_args(argv)
+    if args.sink == "store" and not args.store_token:
+        options.error("a token for the point store is required")
+    if args.sink == "parquet" and not args.points:
+        options.error("--points is required for the file sink")
+    if args.sink == "parquet":
+        sink = file_sink(args.points, args.rejected)
+    else:
+        sink = store_sink(
+            args.rejected,
+            url=args.store_url,
+            org=args.store_org,
+            bucket=args.store_bucket,
+            token=args.store_token,
+        )
     spark = build_session("metrics ingest")
     wait(
         start_metrics_ingest(
             metrics_stream(spark, args.servers, args.metrics_topic, args.metrics_group),
             args.measurement,
-            file_sink(args.points, args.rejected),
+            sink,
             args.state,
             topic=args.metrics_topic,
             interval=args.interval,

@@ -14,9 +14,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayflow.functions.times import TimeMode, parse_event_time
-from quayflow.schemas import EVENT, LINEAGE_COLUMNS
-
-_JOURNEY = "visit.MonitoredVehicleJourney"
+from quayflow.schemas import EVENT, LINEAGE_COLUMNS, PASSAGE_COLUMNS
+
+# Where a passage column comes from in a visit.
+LINE_REF_PATH = "MonitoredVehicleJourney.LineRef.value"
+VALUE_PATHS = {
+    "item_identifier": "ItemIdentifier",
+    "direction_ref": "MonitoredVehicleJourney.DirectionRef.value",
+    "destination_ref": "MonitoredVehicleJourney.DestinationRef.value",
+    "departure_status": "MonitoredVehicleJourney.MonitoredCall.DepartureStatus",
+    "vehicle_at_stop": "MonitoredVehicleJourney.MonitoredCall.VehicleAtStop",
+}
+FIRST_TEXT_PATHS = {
+    "direction_name": "MonitoredVehicleJourney.DirectionName",
+    "destination_name": "MonitoredVehicleJourney.DestinationName",
+    "stop_point_name": "MonitoredVehicleJourney.MonitoredCall.StopPointName",
+}
+TIME_PATHS = {
+    "recorded_at_time": "RecordedAtTime",
+    "expected_departure_time": "MonitoredVehicleJourney.MonitoredCall.ExpectedDepartureTime",
+}
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
@@ -44,46 +61,33 @@ def explode_visits(lifted: DataFrame) -> DataFrame:
     )
 
 
-def _first_text(path: str) -> Column:
-    """Text of the first element; NULL for a NULL or empty array."""
-    return F.get(F.col(path), F.lit(0))["value"]
-
-
 def with_line_ref(visits: DataFrame) -> DataFrame:
     """Lift the join key, so that a join can drop visits before their columns are read."""
-    return visits.withColumn("line_ref", F.col(f"{_JOURNEY}.LineRef.value"))
+    return visits.withColumn("line_ref", F.col(f"visit.{LINE_REF_PATH}"))
+
+
+def _passage_columns(times: TimeMode) -> dict[str, Column]:
+    """The columns that are computed; the other passage columns are taken as they are."""
+    columns = {name: F.col(f"visit.{path}") for name, path in VALUE_PATHS.items()}
+    for name, path in FIRST_TEXT_PATHS.items():
+        # NULL for a NULL or empty array, where an index would raise
+        columns[name] = F.get(F.col(f"visit.{path}"), F.lit(0))["value"]
+    for name, path in TIME_PATHS.items():
+        columns[name] = parse_event_time(F.col(f"visit.{path}"), times)
+    columns["producer_ts"] = parse_event_time(F.col("producer_ts_raw"), times)
+    return columns
 
 
 def project_passages(
     visits: DataFrame, times: TimeMode = "tolerant", keep: Sequence[str] = ()
 ) -> DataFrame:
     """The 22 passage columns of visits that have ``line_ref``, then the columns to ``keep``."""
-    call = f"{_JOURNEY}.MonitoredCall"
+    computed = _passage_columns(times)
     return visits.select(
-        "ingest_date",
-        "ingest_ts",
-        "kafka_topic",
-        "kafka_partition",
-        "kafka_offset",
-        "kafka_timestamp",
-        "event_source",
-        "event_version",
-        "monitoring_ref",
-        "kafka_key",
-        parse_event_time(F.col("producer_ts_raw"), times).alias("producer_ts"),
-        parse_event_time(F.col("visit.RecordedAtTime"), times).alias("recorded_at_time"),
-        F.col("visit.ItemIdentifier").alias("item_identifier"),
-        "line_ref",
-        F.col(f"{_JOURNEY}.DirectionRef.value").alias("direction_ref"),
-        _first_text(f"{_JOURNEY}.DirectionName").alias("direction_name"),
-        F.col(f"{_JOURNEY}.DestinationRef.value").alias("destination_ref"),
-        _first_text(f"{_JOURNEY}.DestinationName").alias("destination_name"),
-        _first_text(f"{call}.StopPointName").alias("stop_point_name"),
-        parse_event_time(F.col(f"{call}.ExpectedDepartureTime"), times).alias(
-            "expected_departure_time"
-        ),
-        F.col(f"{call}.DepartureStatus").alias("departure_status"),
-        F.col(f"{call}.VehicleAtStop").alias("vehicle_at_stop"),
+        *[
+            computed[name].alias(name) if name in computed else F.col(name)
+            for name in PASSAGE_COLUMNS
+        ],
         *keep,
     )
 

@@ -3,31 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayflow.operators.metrics import (
+    metric_lines,
     metric_points,
     metric_time,
     read_metrics,
     rejected_messages,
 )
+from quayflow.sinks.point_store import post_lines
 from quayflow.streaming.control import DEFAULT_INTERVAL, triggered
 
-# Called with accepted points, rejected messages and the batch number.
-BatchSink = Callable[[DataFrame, DataFrame, int], None]
-
 _RECORD = ("kafka_topic", "kafka_partition", "kafka_offset")
 
 
+@dataclass(frozen=True)
+class MetricsBatch:
+    """One micro-batch: its points in long form and as line protocol, and what has none."""
+
+    number: int
+    points: DataFrame
+    lines: DataFrame
+    rejected: DataFrame
+
+
+BatchSink = Callable[[MetricsBatch], None]
+
+
+def _write_batch(df: DataFrame, path: str, number: int) -> None:
+    """A folder per micro-batch; a batch that runs again replaces its folder."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+
+
 def file_sink(points_path: str, rejected_path: str) -> BatchSink:
-    """Parquet folders per micro-batch; a batch that runs again replaces its folders."""
+    """Points and rejected messages as Parquet."""
+
+    def write(batch: MetricsBatch) -> None:
+        _write_batch(batch.points, points_path, batch.number)
+        _write_batch(batch.rejected, rejected_path, batch.number)
+
+    return write
+
+
+def store_sink(rejected_path: str, **store: str) -> BatchSink:
+    """Points to the time-series store, see :func:`post_lines`; rejected messages as Parquet."""
 
-    def write(points: DataFrame, rejected: DataFrame, batch_id: int) -> None:
-        points.write.mode("overwrite").parquet(f"{points_path}/batch_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+    def write(batch: MetricsBatch) -> None:
+        post_lines(batch.lines, **store)
+        _write_batch(batch.rejected, rejected_path, batch.number)
 
     return write
 
@@ -60,15 +88,18 @@ def start_metrics_ingest(
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Both outputs read the parsed messages; what an executor loss drops from
+        # The outputs share the parsed messages; what an executor loss drops from
         # the cache is read again from the source at the batch's offsets.
         read = read_metrics(batch).persist()
         try:
             time_ns = metric_time("kafka_offset", F.col("processed_at"))
             sink(
-                metric_points(read, topic, measurement, time_ns, _RECORD),
-                rejected_messages(read),
-                batch_id,
+                MetricsBatch(
+                    number=batch_id,
+                    points=metric_points(read, topic, measurement, time_ns, _RECORD),
+                    lines=metric_lines(read, topic, measurement, time_ns),
+                    rejected=rejected_messages(read),
+                )
             )
         finally:
             read.unpersist()

@@ -1,9 +1,16 @@
 import pytest
 
-from quayflow.jobs import curated_batch, export_points, publish_events, raw_ingest
+from quayflow.jobs import (
+    curated_batch,
+    export_points,
+    metrics_ingest,
+    prepare_references,
+    publish_events,
+    raw_ingest,
+)
 from quayflow.jobs.arguments import ENVIRONMENT, parser
 from quayflow.session import scratch_path
-from quayflow.sources.tables import curated_table
+from quayflow.sources.tables import curated_table, lines_csv, stops_csv
 from test_lines import LINES, raw_rows
 
 
@@ -20,7 +27,17 @@ def test_environment_is_the_default(monkeypatch):
     assert parser("d", interval="30 seconds").parse_args([]).interval == "30 seconds"
 
 
-@pytest.mark.parametrize("job", [raw_ingest, curated_batch, export_points, publish_events])
+JOBS = [
+    curated_batch,
+    export_points,
+    metrics_ingest,
+    prepare_references,
+    publish_events,
+    raw_ingest,
+]
+
+
+@pytest.mark.parametrize("job", JOBS)
 def test_missing_option_is_reported(job, capsys):
     with pytest.raises(SystemExit):
         job.main([])
@@ -49,6 +66,27 @@ def test_batch_jobs(spark, tmp_path, capsys):
     assert spark.read.text(out).count() == 2
 
 
+def test_prepare_references(spark, tmp_path):
+    stops, lines, raw = tmp_path / "stops.csv", tmp_path / "lines.csv", str(tmp_path / "raw")
+    stops.write_text(
+        "id,name,stop_type,town\n"
+        'FR::monomodalStopPlace:1:FR1,"Auber ""A""",railStation,Paris\n'
+        "FR::monomodalStopPlace:2:FR1,Châtelet,railStation,Paris\n",
+        encoding="utf-8",
+    )
+    lines.write_text("line_id,name\nFR1:Line:C1:,A\nFR1:Line:C7:,B\n", encoding="utf-8")
+    raw_rows(spark).write.partitionBy("ingest_date").parquet(raw)
+    out = [str(tmp_path / "stops-out"), str(tmp_path / "lines-out")]
+    prepare_references.main(
+        ["--stop-catalogue", str(stops), "--line-catalogue", str(lines), "--raw", raw]
+        + ["--stop-output", out[0], "--line-output", out[1]]
+    )
+    (stop,) = stops_csv(spark, out[0]).collect()
+    assert (stop.name, stop.siri_monitoring_ref) == ('Auber "A"', "STIF:StopPoint:Q:1:")
+    (line,) = lines_csv(spark, out[1]).collect()
+    assert line.siri_line_ref == "STIF:Line::C1:"
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")

@@ -114,6 +114,33 @@ def test_write_replaces_only_its_partitions(spark, lines, tmp_path):
     assert curated_table(spark, path).count() == 1
 
 
+def test_hot_partition_is_split_and_small_ones_are_not(spark, lines, tmp_path):
+    """One label of one date with most rows: several tasks write it, none of the others."""
+    row = curated_rows(visits_of(raw_rows(spark, ["2026-01-01"])), lines).where("name = 'A'")
+    numbers = spark.range(0, 200_800, 1, 8)
+    rows = numbers.crossJoin(F.broadcast(row)).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("item_identifier"),
+        F.when(F.col("id") % 251 == 0, "Bus 1").otherwise("RER A").alias("roi_label"),
+        *[name for name in row.columns if name not in ("item_identifier", "roi_label")],
+    )
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "2m")
+    try:
+        path = tmp_path / "curated"
+        write_curated(rows, str(path))
+    finally:
+        spark.conf.set(advisory, before)
+    files = {
+        folder.name: len(list(folder.glob("*.parquet")))
+        for folder in (path / "ingest_date=2026-01-01").iterdir()
+        if folder.is_dir()
+    }
+    assert files["roi_label=RER A"] > 2
+    assert files["roi_label=Bus 1"] == 1
+    assert curated_table(spark, str(path)).count() == 200_800
+
+
 def test_refresh_job(spark, lines, tmp_path):
     raw, csv, curated = (str(tmp_path / name) for name in ("raw", "lines", "curated"))
     raw_rows(spark).write.partitionBy("ingest_date").parquet(raw)

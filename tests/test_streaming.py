@@ -13,6 +13,7 @@ from quayflow.plans.curated import curated_rows
 from quayflow.schemas import KAFKA_RECORD, LINE_COLUMNS
 from quayflow.sources.kafka import kafka_options
 from quayflow.sources.tables import raw_stream, raw_table
+from quayflow.streaming import metrics_ingest
 from quayflow.streaming.control import wait
 from quayflow.streaming.metrics_ingest import file_sink, start_metrics_ingest
 from quayflow.streaming.raw_ingest import start_raw_ingest
@@ -133,8 +134,8 @@ def test_repeated_batch_gives_the_same_points(spark, tmp_path):
     write = file_sink(points, rejected)
     seen = []
 
-    def failing(accepted, refused, batch_id):
-        write(accepted, refused, batch_id)
+    def failing(batch):
+        write(batch)
         seen.append(Counter(spark.read.parquet(points).collect()))
         if len(seen) == 1:
             raise RuntimeError("lost after the write")
@@ -147,6 +148,21 @@ def test_repeated_batch_gives_the_same_points(spark, tmp_path):
     assert spark.read.parquet(points).count() == 10
 
 
+def test_store_sink_posts_one_line_for_each_message(spark, tmp_path, monkeypatch):
+    posted = []
+    monkeypatch.setattr(
+        metrics_ingest, "post_lines", lambda lines, **store: posted.append((lines.collect(), store))
+    )
+    rejected = str(tmp_path / "rejected")
+    sink = metrics_ingest.store_sink(rejected, url="u", org="o", bucket="b", token="t")
+    add_records(spark, tmp_path / "in", [*MESSAGES, "broken"])
+    run_metrics(spark, tmp_path, sink)
+    ((lines, store),) = posted
+    assert len({row.line for row in lines}) == 5
+    assert store == {"url": "u", "org": "o", "bucket": "b", "token": "t"}
+    assert spark.read.parquet(rejected).count() == 1
+
+
 def test_kafka_options():
     assert kafka_options("a:1,b:2", "t") == {
         "kafka.bootstrap.servers": "a:1,b:2",
