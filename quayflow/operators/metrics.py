@@ -55,11 +55,8 @@ _FIELDS_TYPE = ", ".join(
 
 def _present(names: list[str]) -> Column:
     """The fields the message has, as ``name, value`` pairs."""
-    pairs = [
-        F.struct(F.lit(name).alias("name"), F.col("metrics")[name].alias("value"))
-        for name in names
-    ]
-    return F.filter(F.array(*pairs), lambda pair: pair["value"].isNotNull())
+    pairs = ", ".join(f"struct('{name}' AS name, metrics.{name} AS value)" for name in names)
+    return F.expr(f"filter(array({pairs}), pair -> pair.value IS NOT NULL)")
 
 
 def _entry(

@@ -50,6 +50,7 @@ from quayflow.plans.star_events import (
     part_lines,
     raw_layer,
     spread,
+    stored_layer,
     table,
 )
 from quayflow.schemas import LINE_COLUMNS
@@ -302,8 +303,19 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # points
 
 
+def curated_layer(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the curated table of all line items."""
+    return stored_layer(
+        spark, sf_dir, "curated", lambda path: write_curated(_curated(spark, sf_dir), path)
+    )
+
+
+def _kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi_ready(curated_table(spark, curated_layer(spark, sf_dir)))
+
+
 def kpi_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(kpi_ready(_curated(spark, sf_dir)))
+    return plain(_kpi(spark, sf_dir))
 
 
 def point_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +330,7 @@ def point_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points without the field that holds the time of the run."""
-    points = to_points(kpi_ready(_curated(spark, sf_dir)), "passages")
+    points = to_points(_kpi(spark, sf_dir), "passages")
     return points.withColumn("fields", F.col("fields").dropFields(INSERTED_AT_FIELD))
 
 

@@ -9,6 +9,8 @@ suppliers stops, and web events cluster-metrics messages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,23 +180,32 @@ def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_raw(lineitem_records(spread(lineitem)), F.col("ingested"))
 
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
-def raw_layer(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the raw table of all line items, written on first use by this application.
+def stored_layer(
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]
+) -> str:
+    """Path of a layer, written on first use by this application.
 
-    The pipeline keeps its layers as tables, and so do the queries on it: they start
-    from the stored documents and do not build them each time.
+    The pipeline keeps its layers as tables, and so do the queries on it: each starts
+    from the layer below its own and does not build that one again.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        path = scratch_path(spark, "raw")
-        write_raw(lineitem_raw(spark, sf_dir), path)
+        path = scratch_path(spark, name)
+        write(path)
         _written[key] = path
     return _written[key]
 
 
+def raw_layer(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the raw table of all line items."""
+    return stored_layer(
+        spark, sf_dir, "raw", lambda path: write_raw(lineitem_raw(spark, sf_dir), path)
+    )
+
+
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as lines; parts over size 25 are not of interest and have no label."""
     parts = table(spark, sf_dir, "part").select(

@@ -11,13 +11,12 @@ CURATED_PARTITIONS = ["ingest_date", "roi_label"]
 
 
 def write_raw(raw: DataFrame, path: str) -> None:
-    """Append a batch of raw rows, partitioned by ingestion date.
+    """Append a batch of raw rows, partitioned by ingestion date, as the stream does.
 
-    Rebalanced like the curated layer; the stream appends without a shuffle.
+    Without a shuffle: documents are wide, and the records of one task arrived on
+    few dates.
     """
-    raw.hint("rebalance", "ingest_date").write.mode("append").partitionBy("ingest_date").parquet(
-        path
-    )
+    raw.write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
 def write_curated(curated: DataFrame, path: str, overwrite: Overwrite = "dynamic") -> None:
