@@ -12,7 +12,9 @@ from quayflow.sources.tables import lines_csv, raw_table, stops_csv
 
 
 def main(argv: Sequence[str] | None = None) -> None:
-    options = parser(__doc__, "stop-catalogue", "line-catalogue", "raw", "stop-output", "line-output")
+    options = parser(
+        __doc__, "stop-catalogue", "line-catalogue", "raw", "stop-output", "line-output"
+    )
     options.add_argument("--whole-words", action="store_true")
     args = options.parse_args(argv)
     spark = build_session("prepare references")

@@ -192,7 +192,9 @@ def metric_points(
     """Long form: one row for each field of each accepted message."""
     return (
         read.select(
-            *_tagged(topic, measurement, time_ns), *keep, F.explode_outer("metric_fields").alias("m")
+            *_tagged(topic, measurement, time_ns),
+            *keep,
+            F.explode_outer("metric_fields").alias("m"),
         )
         .where(F.col("m").isNotNull())
         .select("*", "m.field", "m.long_value", "m.double_value", "m.bool_value")

@@ -45,8 +45,8 @@ def select_roi_stops(
     expression, so nothing is joined.
     """
     named = stops.withColumn("name_norm", normalise_name(F.col(name)))
-    text = F.concat(F.lit(" "), F.col("name_norm"), F.lit(" ")) if whole_words else F.col("name_norm")
     pad = " " if whole_words else ""
+    text = F.concat(F.lit(pad), F.col("name_norm"), F.lit(pad))
     hits = F.array_compact(
         F.array(
             *[

@@ -75,9 +75,11 @@ def _visit(delivery: Column, visit: Column) -> Column:
         .when(visit == 2, F.date_format(expected, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
         .otherwise(iso_utc(expected))
     )
-    direction = F.when(number % 3 == 0, F.lit(None)).when(
-        number % 3 == 2, _texts(F.col("l_returnflag"), F.lit("second"))
-    ).otherwise(F.array())
+    direction = (
+        F.when(number % 3 == 0, F.lit(None))
+        .when(number % 3 == 2, _texts(F.col("l_returnflag"), F.lit("second")))
+        .otherwise(F.array())
+    )
     item = F.concat_ws(":", "l_orderkey", "l_linenumber", delivery, visit)
     status = F.when(F.col("l_returnflag") == "A", "onTime").when(
         F.col("l_returnflag") == "N", "delayed"
@@ -108,8 +110,10 @@ def _visit(delivery: Column, visit: Column) -> Column:
 def _document() -> Column:
     """Event text; some are broken, empty, NULL or carry an unreadable version."""
     number = F.col("l_linenumber").cast("bigint")
+    remainder = F.col("l_partkey") % 4
+    n_deliveries = F.when(remainder == 0, 0).when(remainder == 2, 2).otherwise(1).cast("bigint")
     deliveries = _counted(
-        F.element_at(F.array(F.lit(0), F.lit(1), F.lit(2), F.lit(1)), (F.col("l_partkey") % 4 + 1).cast("int")).cast("bigint"),
+        n_deliveries,
         lambda delivery: F.struct(
             _counted((number + delivery) % 4, lambda visit: _visit(delivery, visit)).alias(
                 "MonitoredStopVisit"
@@ -256,7 +260,8 @@ def metrics_records(events: DataFrame) -> DataFrame:
         .otherwise(F.col("user_id").cast("string"))
     )
     busy = F.when(event % 3 == 0, "true").when(event % 3 == 1, "5").otherwise('"n/a"')
-    nodes = F.when(event % 2 == 0, F.concat(F.lit(',"totalNodes":'), F.col("user_id"))).otherwise("")
+    total_nodes = F.concat(F.lit(',"totalNodes":'), F.col("user_id"))
+    nodes = F.when(event % 2 == 0, total_nodes).otherwise("")
     text = F.concat(
         F.lit('{"clusterMetrics":{"totalMB":'),
         cents,

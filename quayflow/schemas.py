@@ -57,9 +57,8 @@ CURATED = (
     "roi_label string, name string, short_name string, transport_mode string"
 )
 
-PASSAGE_COLUMNS = [
-    name for name in (column.split()[0] for column in CURATED.split(", ")) if name not in LINE_COLUMNS
-]
+_CURATED_COLUMNS = [column.split()[0] for column in CURATED.split(", ")]
+PASSAGE_COLUMNS = [name for name in _CURATED_COLUMNS if name not in LINE_COLUMNS]
 
 # Outcome of fetching one stop: the JSON text received, or why there is none.
 FETCH_OUTCOME = "monitoring_ref string, payload string, error string"

@@ -80,7 +80,11 @@ def post_lines(
     writers: int | None = None,
     block_lines: int = 5000,
 ) -> None:
-    """Post a ``line`` column. ``writers`` bounds how many tasks call the store at once."""
+    """Post a ``line`` column.
+
+    ``writers`` bounds how many tasks call the store at once. Those tasks then also
+    read and convert the rows, which is little work next to the requests.
+    """
     if not token:
         raise ValueError("a token for the point store is required")
     lines.sparkSession.dataSource.register(LineProtocolHttp)

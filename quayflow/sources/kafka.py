@@ -41,7 +41,8 @@ def kafka_options(
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """Records of a topic as a stream; see :func:`kafka_options`."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
+    reader = spark.readStream.format("kafka")
+    return reader.options(**kafka_options(servers, topic, **options)).load()
 
 
 def event_stream(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:

@@ -30,7 +30,9 @@ def raw_table(spark: SparkSession, path: str, ingest_date: str | None = None) ->
     return on_ingest_date(spark.read.parquet(path), ingest_date)
 
 
-def raw_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def raw_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """The raw layer as a stream of its files."""
     reader = spark.readStream.schema(RAW)
     if max_files_per_trigger is not None:

@@ -165,7 +165,8 @@ def test_build_events_and_counts(spark):
         FETCH_OUTCOME,
     )
     stamp = F.lit(datetime(2026, 1, 2, 3, 4, 5, 10)).cast("timestamp")
-    events = {row.monitoring_ref: row.event for row in build_events(outcomes, "src", producer_ts=stamp).collect()}
+    built = build_events(outcomes, "src", producer_ts=stamp).collect()
+    events = {row.monitoring_ref: row.event for row in built}
     assert set(events) == {"STIF:StopPoint:Q:1:", "STIF:StopPoint:Q:4:"}
     assert json.loads(events["STIF:StopPoint:Q:1:"]) == {
         "event_source": "src",
@@ -182,7 +183,8 @@ def test_records_for_topics(spark):
     stops = spark.createDataFrame(
         [("STIF:StopPoint:Q:1: ",), ("",), (None,)], "siri_monitoring_ref string"
     )
-    assert [row.monitoring_ref for row in monitored_stops(stops).collect()] == ["STIF:StopPoint:Q:1:"]
+    (stop,) = monitored_stops(stops).collect()
+    assert stop.monitoring_ref == "STIF:StopPoint:Q:1:"
     outcomes = spark.createDataFrame(
         [("STIF:StopPoint:Q:1:", "{}", None), ("STIF:StopPoint:Q:9:", "{}", None)], FETCH_OUTCOME
     )

@@ -13,7 +13,10 @@ from quayflow.sinks.files import write_curated
 from quayflow.sources.tables import curated_table, on_ingest_date
 from test_events import event, visit
 
-LINES = "siri_line_ref string, roi_label string, name string, short_name string, transport_mode string"
+LINES = (
+    "siri_line_ref string, roi_label string, name string, short_name string, "
+    "transport_mode string"
+)
 KEYS = "kafka_topic string, kafka_partition int, kafka_offset bigint, line_ref string"
 
 

@@ -18,7 +18,8 @@ from quayflow.operators.metrics import (
 
 BAD = object()
 VALUES = [
-    0, 12, -7, 2.9, -2.9, 1e3, 9007199254740993, "12", " 12 ", "12.7", "x", "", True, False, None, [1], {"a": 1},
+    0, 12, -7, 2.9, -2.9, 1e3, 9007199254740993, "12", " 12 ", "12.7", "x", "", True, False,
+    None, [1], {"a": 1},
 ]
 
 

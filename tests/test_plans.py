@@ -69,7 +69,8 @@ def test_date_prunes_partitions_and_columns(spark, sf_dir):
 def test_metrics_are_parsed_once(spark, output):
     messages = spark.range(10).select(F.col("id").cast("string").alias("value"))
     read = read_metrics(messages)
-    result = metric_points(read, "t", "m", F.lit(1)) if output == "points" else rejected_messages(read)
+    points = metric_points(read, "t", "m", F.lit(1))
+    result = points if output == "points" else rejected_messages(read)
     # one text is parsed in its two wrappings
     assert plan(result, "simple").count("parseJson") == 2
 

@@ -65,7 +65,8 @@ def test_field_types(spark):
 
 
 def test_inserted_at_is_one_value(spark):
-    points = to_points(curated(spark, *[{"kafka_offset": i} for i in range(50)]).repartition(8), "m")
+    rows = curated(spark, *[{"kafka_offset": i} for i in range(50)])
+    points = to_points(rows.repartition(8), "m")
     assert points.select(f"fields.{INSERTED_AT_FIELD}").distinct().count() == 1
 
 
@@ -73,7 +74,7 @@ def test_time_priority(spark):
     moments = {name: datetime(2026, 1, 1, hour) for hour, name in enumerate(TIME_COLUMNS, 1)}
     steps = []
     for index in range(len(TIME_COLUMNS)):
-        steps.append({name: (moments[name] if i >= index else None) for i, name in enumerate(TIME_COLUMNS)})
+        steps.append({**dict.fromkeys(TIME_COLUMNS[:index]), **dict(list(moments.items())[index:])})
     df = curated(spark, *steps, dict.fromkeys(TIME_COLUMNS))
     rows = df.select(F.hour(point_time(df)), point_time(df).alias("t")).collect()
     assert [row[0] for row in rows[:-1]] == [1, 2, 3, 4]
@@ -147,7 +148,8 @@ def test_writer_posts_blocks_and_skips_empty_tasks(monkeypatch):
         return Answer()
 
     monkeypatch.setattr(point_store.urllib.request, "urlopen", urlopen)
-    options = {"url": "http://store/", "org": "o", "bucket": "b c", "token": "secret", "block_lines": "2"}
+    options = {"url": "http://store/", "org": "o", "bucket": "b c", "token": "secret"}
+    options["block_lines"] = "2"
     writer = point_store.LineProtocolHttp(options).writer(None, False)
     batch = pa.RecordBatch.from_pydict({"line": ["a", "é", "c"]})
     assert writer.write(iter([batch])).lines == 3

@@ -18,7 +18,8 @@ def test_stop_rules(spark):
         for i, (name, _, _) in enumerate(STOP_NAMES)
     ]
     rows.append(("FR::monomodalStopPlace:1:FR1", "Châtelet", "railStation", "Paris"))
-    candidates = spark.createDataFrame(rows, "id string, name string, stop_type string, town string")
+    schema = "id string, name string, stop_type string, town string"
+    candidates = spark.createDataFrame(rows, schema)
     result = {row.id: row for row in stop_reference(candidates).collect()}
     assert len(result) == len(STOP_NAMES)
     for i, (name, normalised, station) in enumerate(STOP_NAMES):

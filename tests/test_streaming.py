@@ -25,7 +25,8 @@ ARRIVED = datetime(2026, 1, 2, 3, 4, 5)
 
 def add_records(spark, path, values, first_offset=0, topic="t"):
     rows = [
-        (b"k", value.encode(), topic, 0, first_offset + i, ARRIVED) for i, value in enumerate(values)
+        (b"k", value.encode(), topic, 0, offset, ARRIVED)
+        for offset, value in enumerate(values, first_offset)
     ]
     spark.createDataFrame(rows, KAFKA_RECORD).coalesce(1).write.mode("append").parquet(str(path))
 
@@ -76,8 +77,9 @@ def test_interval_trigger_runs_until_stopped(spark, tmp_path):
 @pytest.mark.parametrize("salt", [None, 4])
 def test_stream_and_batch_curate_alike(spark, tmp_path, salt):
     refs = ["STIF:Line::C1:", "STIF:Line::C9:", None]
-    documents = [event([{"MonitoredStopVisit": [visit(i, LineRef={"value": r}) for i, r in enumerate(refs)]}])]
-    add_records(spark, tmp_path / "in", [*documents, event([]), "{broken"])
+    visits = [visit(i, LineRef={"value": ref}) for i, ref in enumerate(refs)]
+    document = event([{"MonitoredStopVisit": visits}])
+    add_records(spark, tmp_path / "in", [document, event([]), "{broken"])
     raw = ingest(spark, tmp_path)
     lines = spark.createDataFrame([("STIF:Line::C1:", "RER A", "A", "A", "rail")], LINES)
     joined = join_lines(visits_of(raw_stream(spark, str(tmp_path / "raw"), 10)), lines, salt)
