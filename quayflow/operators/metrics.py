@@ -53,6 +53,10 @@ _FIELDS_TYPE = ", ".join(
 )
 
 
+# Text the JVM reads as a number and no other reader does: 0x1p3, 1.5d, 2f.
+_JAVA_NUMBER = r"(?i)0x|[0-9.][df]\s*\z"
+
+
 def _present(names: list[str]) -> Column:
     """The fields the message has, as ``name, value`` pairs."""
     pairs = ", ".join(f"struct('{name}' AS name, metrics.{name} AS value)" for name in names)
@@ -79,6 +83,9 @@ def _entry(
 def _number(pair: Column, target: str) -> Column:
     """Entry of a value that must convert; numeric text and booleans do."""
     number = F.try_variant_get(pair["value"], "$", target)
+    if target == "double":
+        text = F.try_variant_get(pair["value"], "$", "string")
+        number = F.when(~text.rlike(_JAVA_NUMBER), number)
     slot = {"bigint": "long_value", "double": "double_value"}[target]
     return _entry(pair["name"], number.isNull(), **{slot: number})
 

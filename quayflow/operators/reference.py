@@ -45,8 +45,9 @@ def select_roi_stops(
     expression, so nothing is joined.
     """
     named = stops.withColumn("name_norm", normalise_name(F.col(name)))
-    pad = " " if whole_words else ""
-    text = F.concat(F.lit(pad), F.col("name_norm"), F.lit(pad))
+    pad, text = "", F.col("name_norm")
+    if whole_words:
+        pad, text = " ", F.concat(F.lit(" "), text, F.lit(" "))
     hits = F.array_compact(
         F.array(
             *[

@@ -19,7 +19,7 @@ from quayflow.operators.metrics import (
 BAD = object()
 VALUES = [
     0, 12, -7, 2.9, -2.9, 1e3, 9007199254740993, "12", " 12 ", "12.7", "x", "", True, False,
-    None, [1], {"a": 1},
+    None, [1], {"a": 1}, "1.5", "1.5d", "2f ", "0x1p3", "inf", "-Infinity", "+5", "1e5", "7L",
 ]
 
 
