@@ -125,6 +125,15 @@ def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, name: str, key: str, n_buckets: int) -> DataFrame:
+    """Like ``stored``, bucketed by ``key``: grouping by it later moves none of these rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rpartition("/")[2].replace("-", "_")
+    df.write.bucketBy(n_buckets, key).format("parquet").saveAsTable(table, path=path)
+    return spark.table(table)
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts."""
     total = F.sum(F.octet_length("text").cast("bigint")).alias("total")

@@ -5,7 +5,7 @@
 probabilities of all words and of the unknown word sum to one. Unigrams are discounted
 too, and what that frees is the unknown word's probability.
 
-The corpus is stored as blocks of numbered words. For each order a block asks the
+The corpus is stored as blocks of numbered words, bucketed by block. For each order a block asks the
 buckets of contexts for its distinct n-grams; a bucket adds up the training counts of
 all blocks and answers with counts and the sums that a context's back-off weight needs.
 The answers are stored as a table partitioned by order, and each block evaluates its
@@ -28,46 +28,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayflow.llm.blocks import blocks, column, mix, pack, remainder, segment_sums, stored, texts
-from quayflow.llm.blocks import unpack, words
+from quayflow.llm.blocks import stored_by, unpack, words
 from quayflow.llm.token_counts import bucket_count
 
+BLOCK = 12 << 20
 MESSAGE = "block string, bucket int, message binary"
 ANSWER = "level int, block string, bucket int, message binary"
 ROWS = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+OFTEN = 6  # words of a block used as often are numbered by use
 DISCOUNTED = 5  # counts up to this are discounted
 END, BEGIN = np.uint64(1), np.uint64(2)  # hashes kept for the marks
 
 
-def _number_words(batches):
+def _number_words(size: int):
     """Each block: documents, training marks, word hashes and the words' numbers."""
-    for number, table in enumerate(blocks(batches)):
-        ids, offsets, distinct = words(texts(table, lower=True))
-        used, ids = np.unique(ids, return_inverse=True)
-        names = distinct.take(pa.array(used)).to_pylist()
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
-        hashes = np.concatenate([[END, BEGIN], np.maximum(hashes, np.uint64(3))]).astype(np.uint64)
-        sequence = np.zeros(len(ids) + table.num_rows, np.int32)
-        ends = offsets[1:] + np.arange(table.num_rows)
-        is_word = np.ones(len(sequence), bool)
-        is_word[ends] = False
-        sequence[is_word] = ids + 2
-        # frequent words get small numbers, which pack well
-        by_use = np.concatenate([[0, 1], 2 + np.argsort(-np.bincount(ids, minlength=len(names)), kind="stable")])
-        place = np.empty(len(by_use), np.int32)
-        place[by_use] = np.arange(len(by_use))
-        doc_ids = column(table, "doc_id")
-        message = pack(
-            pc.fill_null(doc_ids, 0).to_numpy(False),
-            doc_ids.is_null().to_numpy(False),
-            column(table, "held_out").to_numpy(False),
-            (np.diff(offsets) + 1).astype(np.int32),
-            hashes[by_use],
-            place[sequence],
-        )
-        block = f"{TaskContext.get().partitionId()}-{number}"
-        yield pa.RecordBatch.from_pydict(
-            {"block": [block], "bucket": pa.array([-1], pa.int32()), "message": [message]}
-        )
+
+    def number_words(batches):
+        for number, table in enumerate(blocks(batches, size=size)):
+            ids, offsets, distinct = words(texts(table, lower=True))
+            used, ids = np.unique(ids, return_inverse=True)
+            names = distinct.take(pa.array(used)).to_pylist()
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+            hashes = np.concatenate([[END, BEGIN], np.maximum(hashes, np.uint64(3))]).astype(np.uint64)
+            sequence = np.zeros(len(ids) + table.num_rows, np.int32)
+            ends = offsets[1:] + np.arange(table.num_rows)
+            is_word = np.ones(len(sequence), bool)
+            is_word[ends] = False
+            sequence[is_word] = ids + 2
+            # frequent words get small numbers and rare ones go by hash, which packs well
+            use = np.bincount(ids, minlength=len(names))
+            by_use = 2 + np.lexsort((hashes[2:], -np.where(use >= OFTEN, use, 0)))
+            by_use = np.concatenate([[0, 1], by_use])
+            place = np.empty(len(by_use), np.int32)
+            place[by_use] = np.arange(len(by_use))
+            doc_ids = column(table, "doc_id")
+            message = pack(
+                pc.fill_null(doc_ids, 0).to_numpy(False),
+                doc_ids.is_null().to_numpy(False),
+                column(table, "held_out").to_numpy(False),
+                (np.diff(offsets) + 1).astype(np.int32),
+                np.diff(hashes[by_use], prepend=np.uint64(0)),
+                place[sequence],
+            )
+            block = f"{TaskContext.get().partitionId()}-{number}"
+            yield pa.RecordBatch.from_pydict(
+                {"block": [block], "bucket": pa.array([-1], pa.int32()), "message": [message]}
+            )
+
+    return number_words
 
 
 def discounts(counts_of_counts: np.ndarray) -> np.ndarray:
@@ -93,11 +101,9 @@ class _Block:
     """A block's documents and, order by order, its distinct n-grams and their answers."""
 
     def __init__(self, message: bytes):
-        ids, self.null, self.held_out, self.lengths, self.hashes, self.sequence = unpack(message)
-        self.doc_ids = ids
+        self.doc_ids, self.null, self.held_out, self.lengths, steps, self.sequence = unpack(message)
+        self.hashes = np.cumsum(steps, dtype=np.uint64)
         self.ends = np.concatenate([[0], np.cumsum(self.lengths, dtype=np.int64)])
-        starts = np.repeat(self.ends[:-1], self.lengths)
-        self.position = np.arange(len(self.sequence)) - starts
         self.training = np.repeat(~self.held_out, self.lengths)
         self.level = 0
 
@@ -105,32 +111,37 @@ class _Block:
         """Go up one order: distinct n-grams, their contexts and training counts."""
         self.level += 1
         if self.level == 1:
-            self.gram = self.sequence.astype(np.int64)
+            self.gram = self.sequence
             self.gram_hash = self.hashes
-            self.context = np.zeros(len(self.hashes), np.int64)
+            self.context = np.zeros(len(self.hashes), np.int32)
             self.context_hash = np.zeros(1, np.uint64)
             self.context_count = np.zeros(1)
         else:
             lower, n_lower = self.gram, len(self.gram_hash)
             # the context of a token is the (n-1)-gram that ends before it
-            before = np.concatenate([[0], lower[:-1]]) if len(lower) else lower
-            before = np.where(self.position == 0, n_lower, before)
+            before = np.empty(len(lower), np.int64)
+            before[1:] = lower[:-1]
+            before[self.ends[:-1]] = n_lower
             begin = mix(np.array([BEGIN + np.uint64(self.level)]))
             hashes = np.concatenate([self.gram_hash, begin])
             counts = np.concatenate([self.count, [-1.0]])
             width = np.int64(len(self.hashes))
-            pairs, gram = np.unique(before * width + self.sequence, return_inverse=True)
+            before *= width
+            before += self.sequence
+            pairs, gram = np.unique(before, return_inverse=True)
+            self.gram = gram.astype(np.int32)
+            del before, gram
             context, word = np.divmod(pairs, width)
             used, context = np.unique(context, return_inverse=True)
+            self.context = context.astype(np.int32)
             self.context_hash = hashes[used]
             self.context_count = counts[used]
+            self.word_hash = self.hashes[word] >> np.uint64(16)
             self.gram_hash = mix(self.context_hash[context] ^ mix(self.hashes[word]))
-            self.context, self.gram = context, gram
         size = len(self.gram_hash)
         self.trained = np.bincount(self.gram, weights=self.training, minlength=size).astype(np.int64)
-        first = np.zeros(size, np.int64)
-        first[self.gram] = np.arange(len(self.gram))
-        self.first = first
+        self.first = np.zeros(size, np.int32)
+        self.first[self.gram] = np.arange(len(self.gram))
 
     def dealt(self, n_buckets: int, totals: dict):
         """Buckets of the n-grams, and each bucket's bare contexts.
@@ -175,9 +186,9 @@ class _Block:
             yield int(b), part, own, (
                 np.diff(self.context_hash[own], prepend=np.uint64(0)),
                 np.bincount(at, minlength=len(own)).astype(np.int32),
-                self.gram_hash[part],
+                self.word_hash[part],
                 self.trained[part].astype(np.int32),
-                lower[part],
+                *_coded(lower[part]),
             )
 
     def read(self, answers: dict[int, bytes], n_buckets: int, totals: dict) -> None:
@@ -213,11 +224,17 @@ class _Block:
         )
 
 
-def _climb(messages: pa.Table, answers: pa.Table | None, upto: int, n_buckets: int, totals: dict):
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and their numbers, which take less room than the values."""
+    distinct, number = np.unique(values, return_inverse=True)
+    return distinct, number.astype(np.uint16 if len(distinct) < 1 << 16 else np.uint32)
+
+
+def _climb(message: bytes, answers: list, upto: int, n_buckets: int, totals: dict):
     """The block after reading the answers of the orders below ``upto``, and its probabilities."""
-    block, lower = _Block(messages), None
+    block, lower = _Block(message), None
     found: dict[int, dict[int, bytes]] = {}
-    for level, bucket, message in answers or ():
+    for level, bucket, message in answers:
         found.setdefault(level, {})[bucket] = message
     for level in range(1, upto):
         block.grams()
@@ -229,22 +246,16 @@ def _climb(messages: pa.Table, answers: pa.Table | None, upto: int, n_buckets: i
     return block, lower
 
 
-def _parts(table: pa.Table):
-    levels = table.column("level").to_pylist()
-    buckets, messages = table.column("bucket").to_pylist(), table.column("message")
-    payload = next(i for i, level in enumerate(levels) if level == 0)
-    answers = [
-        (level, bucket, messages[i].as_py())
-        for i, (level, bucket) in enumerate(zip(levels, buckets, strict=True))
-        if level
-    ]
-    return messages[payload].as_py(), answers, table.column("block")[payload].as_py()
+def _found(table: pa.Table) -> list:
+    """(order, bucket, message) of the answers to a block."""
+    names = ("level", "bucket", "message")
+    return list(zip(*(table.column(name).to_pylist() for name in names), strict=True))
 
 
 def _asking(level: int, n_buckets: int, totals: dict):
-    def asking(table: pa.Table) -> pa.Table:
-        payload, answers, name = _parts(table)
-        block, lower = _climb(payload, answers, level, n_buckets, totals)
+    def asking(corpus: pa.Table, answers: pa.Table) -> pa.Table:
+        message, name = corpus.column("message")[0].as_py(), corpus.column("block")[0].as_py()
+        block, lower = _climb(message, _found(answers), level, n_buckets, totals)
         block.grams()
         rows = [(b, pack(*arrays)) for b, _, _, arrays in block.ask(n_buckets, totals, lower)]
         return pa.table(
@@ -268,7 +279,9 @@ def _answer(level: int):
             grams = [np.cumsum(a[0], dtype=np.uint64) for a in asked]
             trained = [a[1] for a in asked]
         else:
-            grams = [a[2] for a in asked]
+            contexts = [np.cumsum(a[0], dtype=np.uint64) for a in asked]
+            of_row = [np.repeat(c, a[1]) for c, a in zip(contexts, asked, strict=True)]
+            grams = [mix(c ^ mix(a[2])) for c, a in zip(of_row, asked, strict=True)]
             trained = [a[3] for a in asked]
         gram, at = np.unique(np.concatenate(grams), return_inverse=True)
         count = np.bincount(at, weights=np.concatenate(trained), minlength=len(gram)).astype(np.int64)
@@ -278,13 +291,11 @@ def _answer(level: int):
         ends = np.cumsum([len(g) for g in grams])
         sums = None
         if level > 1:
-            contexts = [np.cumsum(a[0], dtype=np.uint64) for a in asked]
             context, inverse = np.unique(np.concatenate(contexts), return_inverse=True)
             owner = np.zeros(len(gram), np.int64)
             lower = np.zeros(len(gram))
-            of_row = np.concatenate([np.repeat(c, a[1]) for c, a in zip(contexts, asked, strict=True)])
-            owner[at] = np.searchsorted(context, of_row)
-            lower[at] = np.concatenate([a[4] for a in asked])
+            owner[at] = np.searchsorted(context, np.concatenate(of_row))
+            lower[at] = np.concatenate([a[4][a[5]] for a in asked])
             sums = np.zeros((len(context), DISCOUNTED + 3))
             for r in range(1, DISCOUNTED + 1):
                 sums[:, r] = np.bincount(owner[seen == r], minlength=len(context))
@@ -315,9 +326,9 @@ def _answer(level: int):
 
 
 def _scoring(order: int, n_buckets: int, totals: dict):
-    def scoring(table: pa.Table) -> pa.Table:
-        payload, answers, _ = _parts(table)
-        block, probability = _climb(payload, answers, order + 1, n_buckets, totals)
+    def scoring(corpus: pa.Table, answers: pa.Table) -> pa.Table:
+        message = corpus.column("message")[0].as_py()
+        block, probability = _climb(message, _found(answers), order + 1, n_buckets, totals)
         n, v = totals["tokens"], totals["words"]
         base = np.log10((block.unigram + 0.5) / (n + 0.5 * (v + 1)))
         score = np.log10(np.maximum(probability, 1e-300))
@@ -340,21 +351,23 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, ends[:-1]) if len(values) else np.zeros(0)
 
 
-def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
+def katz_scores(docs: DataFrame, order: int = 2, block_bytes: int = BLOCK) -> DataFrame:
     """Score ``docs(doc_id, text, held_out)``; rows not held out are learnt from.
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
-    ``order`` is the longest n-gram.
+    ``order`` is the longest n-gram, ``block_bytes`` the text of a block.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out")
     n_buckets = bucket_count(docs)
-    corpus = stored(docs.mapInArrow(_number_words, MESSAGE), "corpus")
+    corpus = docs.mapInArrow(_number_words(block_bytes), MESSAGE)
+    corpus = stored_by(corpus, "corpus", "block", n_buckets)
     n_docs = docs.filter(~F.col("held_out")).count()
     totals: dict = {"docs": n_docs, "tokens": 0, "words": 0, "discounts": {}}
-    payload = corpus.select(F.lit(0).alias("level"), "block", "bucket", "message")
-    known = payload
+    known = corpus.sparkSession.createDataFrame([], ANSWER)
     for level in range(1, order + 1):
-        asked = known.groupBy("block").applyInArrow(_asking(level, n_buckets, dict(totals)), MESSAGE)
+        by_block = known.groupBy("block")
+        asking = _asking(level, n_buckets, dict(totals))
+        asked = corpus.groupBy("block").cogroup(by_block).applyInArrow(asking, MESSAGE)
         answers = asked.groupBy("bucket").applyInArrow(_answer(level), ANSWER)
         answers = stored(answers, f"answers-{level}", "level")
         statistics = _statistics(answers, level)
@@ -367,7 +380,8 @@ def katz_scores(docs: DataFrame, order: int = 2) -> DataFrame:
             totals["reserve"] = 0.0 if freed > 1e-9 else 1.0
             totals["freed"] = freed if freed > 1e-9 else 1.0
         known = known.unionByName(answers.filter(F.col("level") == level))
-    scored = known.groupBy("block").applyInArrow(_scoring(order, n_buckets, totals), ROWS)
+    scoring = _scoring(order, n_buckets, totals)
+    scored = corpus.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(scoring, ROWS)
     return scored.withColumn("train_tokens", F.lit(totals["tokens"]).cast("long"))
 
 
