@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayflow.llm import ngram_lm, token_counts
+from quayflow.llm import ngram_lm, simhash, token_counts
 from quayflow.llm.blocks import read_documents
 
 
@@ -18,11 +18,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), path, limit=2048)
 
 
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_documents(spark, sf_dir))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_katz_scores,
         op2_token_counts,
+        op4_simhash_groups,
     )
 }
 
