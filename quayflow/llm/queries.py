@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quayflow.llm import ngram_lm, simhash, token_counts
-from quayflow.llm.blocks import read_documents
+from quayflow.llm import crf, mixing, ngram_lm, ordinal, simhash, token_counts
+from quayflow.llm.blocks import read_documents, remainder
+
+
+def read_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
 def op1_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,18 +23,48 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), path, limit=2048)
 
 
+def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, expected_grade, tail_probability, kept``; learnt from all labelled rows."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    grades = ordinal.label_grades(read_labels(spark, sf_dir))
+    graded = ordinal.with_grades(docs, ordinal.fit_ordinal(docs, grades))
+    return ordinal.selected(graded).drop("text")
+
+
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
 
+def op9_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
+
+
+def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a field fitted to the labels not held out."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    labels = read_labels(spark, sf_dir).filter(remainder("doc_id") != 0)
+    scored = crf.toxicity(docs, crf.fit_crf(docs, labels))
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id") == 0).alias("held_out"),
+        "score",
+        "predicted",
+        "n_toxic",
+        F.size("spans").alias("n_spans"),
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_katz_scores,
         op2_token_counts,
+        op3_ordinal_quality,
         op4_simhash_groups,
+        op9_mixed_sources,
+        op10_toxic_spans,
     )
 }
 
 # DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op9_mixed_sources": mixing.MIX_SQL}
