@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.llm import crf, mixing, ngram_lm, ordinal, simhash, token_counts
+from quayflow.llm import crf, mixing, ngram_lm, ordinal, parsing, simhash, token_counts
 from quayflow.llm.blocks import read_documents, remainder
 
 
@@ -35,6 +35,10 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
 
+def op5_parsed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.fingerprints(read_documents(spark, sf_dir))
+
+
 def op9_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
 
@@ -61,6 +65,7 @@ QUERIES = {
         op2_token_counts,
         op3_ordinal_quality,
         op4_simhash_groups,
+        op5_parsed_fingerprints,
         op9_mixed_sources,
         op10_toxic_spans,
     )
