@@ -97,6 +97,14 @@ def discounts(counts_of_counts: np.ndarray) -> np.ndarray:
     return factor
 
 
+def unigram_probability(count: np.ndarray, totals: dict) -> np.ndarray:
+    """Of words by their training counts; of the unknown word at 0."""
+    factor = totals["discounts"][1]
+    discounted = factor[np.minimum(count, DISCOUNTED + 1).astype(int)] * count
+    everything = max(1.0, totals["tokens"] + totals["reserve"])
+    return np.where(count > 0, discounted, float(totals["freed"])) / everything
+
+
 class _Block:
     """A block's documents and, order by order, its distinct n-grams and their answers."""
 
@@ -178,6 +186,9 @@ class _Block:
         order = np.lexsort((self.gram_hash, self.context_hash[self.context], bucket))
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         context_cuts = np.searchsorted(context_bucket, np.arange(n_buckets + 1))
+        if self.level == 2 and lower is not None:
+            # a word's probability follows from its count, which packs better
+            lower = self.unigram
         lower = lower[self.first] if lower is not None else np.zeros(len(bucket))
         for b in np.flatnonzero(np.diff(context_cuts)):
             part = order[cuts[b] : cuts[b + 1]]
@@ -188,7 +199,7 @@ class _Block:
                 np.bincount(at, minlength=len(own)).astype(np.int32),
                 self.word_hash[part],
                 self.trained[part].astype(np.int32),
-                *_coded(lower[part]),
+                *([lower[part].astype(np.int32)] if self.level == 2 else _coded(lower[part])),
             )
 
     def read(self, answers: dict[int, bytes], n_buckets: int, totals: dict) -> None:
@@ -208,9 +219,7 @@ class _Block:
         count = self.count[self.gram]
         discounted = factor[np.minimum(count, DISCOUNTED + 1).astype(int)] * count
         if self.level == 1:
-            n = totals["tokens"]
-            freed = float(totals["freed"])
-            return np.where(count > 0, discounted, freed) / max(1.0, n + totals["reserve"])
+            return unigram_probability(count, totals)
         classes, above, covered = self.sums[:, : DISCOUNTED + 1], self.sums[:, -2], self.sums[:, -1]
         times = np.arange(DISCOUNTED + 1)
         total = classes @ times + above
@@ -269,7 +278,7 @@ def _asking(level: int, n_buckets: int, totals: dict):
     return asking
 
 
-def _answer(level: int):
+def _answer(level: int, totals: dict):
     """Add up a bucket's training counts over all blocks."""
 
     def answer(table: pa.Table) -> pa.Table:
@@ -295,7 +304,10 @@ def _answer(level: int):
             owner = np.zeros(len(gram), np.int64)
             lower = np.zeros(len(gram))
             owner[at] = np.searchsorted(context, np.concatenate(of_row))
-            lower[at] = np.concatenate([a[4][a[5]] for a in asked])
+            if level == 2:
+                lower[at] = unigram_probability(np.concatenate([a[4] for a in asked]), totals)
+            else:
+                lower[at] = np.concatenate([a[4][a[5]] for a in asked])
             sums = np.zeros((len(context), DISCOUNTED + 3))
             for r in range(1, DISCOUNTED + 1):
                 sums[:, r] = np.bincount(owner[seen == r], minlength=len(context))
@@ -368,7 +380,7 @@ def katz_scores(docs: DataFrame, order: int = 2, block_bytes: int = BLOCK) -> Da
         by_block = known.groupBy("block")
         asking = _asking(level, n_buckets, dict(totals))
         asked = corpus.groupBy("block").cogroup(by_block).applyInArrow(asking, MESSAGE)
-        answers = asked.groupBy("bucket").applyInArrow(_answer(level), ANSWER)
+        answers = asked.groupBy("bucket").applyInArrow(_answer(level, dict(totals)), ANSWER)
         answers = stored(answers, f"answers-{level}", "level")
         statistics = _statistics(answers, level)
         totals["discounts"][level] = discounts(statistics[:-1])
