@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.llm import crf, mixing, ngram_lm, ordinal, parsing, simhash, token_counts
+from quayflow.llm import crf, mixing, ngram_lm, ordinal, parsing, simhash, suffixes, token_counts
 from quayflow.llm.blocks import read_documents, remainder
 
 
@@ -39,6 +39,10 @@ def op5_parsed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.fingerprints(read_documents(spark, sf_dir))
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_digest(read_documents(spark, sf_dir))
+
+
 def op9_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
 
@@ -66,6 +70,7 @@ QUERIES = {
         op3_ordinal_quality,
         op4_simhash_groups,
         op5_parsed_fingerprints,
+        op6_repeated_passages,
         op9_mixed_sources,
         op10_toxic_spans,
     )
