@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.llm import crf, mixing, ngram_lm, ordinal, parsing, simhash, suffixes, token_counts
+from quayflow.llm import crf, mixing, ngram_lm, ordinal, parsing, sampling, simhash, suffixes, token_counts
 from quayflow.llm.blocks import read_documents, remainder
 
 
@@ -43,6 +43,23 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeat_digest(read_documents(spark, sf_dir))
 
 
+def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two segmentations of each text with a digest of their pieces, decoded again."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = sampling.sampled_segmentations(read_documents(spark, sf_dir), path, k=2)
+    decoded = sampling.decoded(F.col("pieces"), path)
+    return found.select(
+        "doc_id",
+        "sample",
+        "n_pieces",
+        "log_prob",
+        "perturbed",
+        "log_inclusion",
+        F.sha2("pieces", 256).alias("pieces_sha256"),
+        F.sha2(F.encode(decoded, "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
 
@@ -71,6 +88,7 @@ QUERIES = {
         op4_simhash_groups,
         op5_parsed_fingerprints,
         op6_repeated_passages,
+        op7_sampled_segmentations,
         op9_mixed_sources,
         op10_toxic_spans,
     )
