@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.llm import crf, mixing, ngram_lm, ordinal, parsing, sampling, simhash, suffixes, token_counts
+from quayflow.llm import cover_tree, crf, mixing, ngram_lm, ordinal, parsing, sampling, simhash, suffixes, token_counts
 from quayflow.llm.blocks import read_documents, remainder
 
 
@@ -60,6 +60,10 @@ def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.98)
+
+
 def op9_mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
 
@@ -89,6 +93,7 @@ QUERIES = {
         op5_parsed_fingerprints,
         op6_repeated_passages,
         op7_sampled_segmentations,
+        op8_near_vectors,
         op9_mixed_sources,
         op10_toxic_spans,
     )
