@@ -510,11 +510,12 @@ def _cut(names: list[str]):
     def cut(corpus: pa.Table, marks: pa.Table) -> pa.Table:
         data, ends = _load(corpus.column("message")[0].as_py())
         rest = pa.ipc.open_stream(corpus.column("rest")[0].as_py()).read_all()
-        change = np.zeros(len(data) + 1, np.int32)
-        for message in marks.column("message"):
-            first, last = unpack(message.as_py())
-            change += np.bincount(first, minlength=len(change)).astype(np.int32)
-            change -= np.bincount(last, minlength=len(change)).astype(np.int32)
+        found = [unpack(message.as_py()) for message in marks.column("message")]
+        change = np.zeros(len(data) + 1, np.int64)
+        if found:
+            first, last = (np.concatenate(part) for part in zip(*found, strict=True))
+            change += np.bincount(first, minlength=len(change))
+            change -= np.bincount(last, minlength=len(change))
         gone = np.cumsum(change[:-1]) > 0
         starts = np.concatenate([[0], ends[:-1]])
         sums = np.concatenate([[0], np.cumsum(gone)])
