@@ -46,8 +46,7 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two segmentations of each text with a digest of their pieces, decoded again."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    found = sampling.sampled_segmentations(read_documents(spark, sf_dir), path, k=2)
-    decoded = sampling.decoded(F.col("pieces"), path)
+    found = sampling.sampled_segmentations(read_documents(spark, sf_dir), path, k=2, decode=True)
     return found.select(
         "doc_id",
         "sample",
@@ -56,7 +55,7 @@ def op7_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "perturbed",
         "log_inclusion",
         F.sha2("pieces", 256).alias("pieces_sha256"),
-        F.sha2(F.encode(decoded, "UTF-8"), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -116,55 +116,58 @@ class Lattice:
     """Lattices of distinct units: edges by end, with running shares for sampling."""
 
     def __init__(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, v: Vocabulary):
-        ends = np.cumsum(lengths)
+        lengths = lengths.astype(np.int32)
+        ends = np.cumsum(lengths, dtype=np.int32)
+        units = np.arange(len(lengths), dtype=np.int32)
         self.first = ends - lengths  # a unit's first character
-        self.stop = ends + np.arange(len(lengths))  # its last state; states: characters + 1
-        within = np.arange(ends[-1]) - np.repeat(self.first, lengths)
-        chars = codes[np.repeat(starts, lengths) + within].astype(np.uint64) + np.uint64(1)
-        state = np.arange(ends[-1]) + np.repeat(np.arange(len(lengths)), lengths)
-        room = np.repeat(lengths, lengths) - within
+        self.stop = ends + units  # its last state; states: characters + 1
+        owner = np.repeat(units, lengths)
+        place = np.arange(ends[-1], dtype=np.int32)
+        chars = codes[place + (starts.astype(np.int32) - self.first)[owner]].astype(np.uint64) + np.uint64(1)
+        state = place + owner
+        stop = self.stop[owner]
         # edges by length of piece, as long as some piece begins so
-        active = np.arange(len(chars))
+        active = place
         h = np.zeros(len(chars), np.uint64)
-        begin, size, piece = [], [], []
+        source, end, piece = [], [], []
         single = np.zeros(len(chars), bool)
         for n in range(1, v.longest + 1):
-            h = h * _BASE + chars[active + n - 1]
+            h = h * _BASE + chars[active + (n - 1)]
             at = v.find(h)
             known = at >= 0
-            found = known & (v.piece[at] >= 0)
-            begin.append(active[found])
-            size.append(np.full(found.sum(), n))
+            found = np.flatnonzero(known & (v.piece[at] >= 0))
+            own = state[active[found]]
+            source.append(own)
+            end.append(own + np.int32(n))
             piece.append(v.piece[at[found]])
             if n == 1:
-                single[active[found]] = True
-            going = known & (room[active] > n)
+                single[found] = True
+            going = np.flatnonzero(known & (state[active] + n < stop[active]))
             active, h = active[going], h[going]
             if not len(active):
                 break
         spelled = np.flatnonzero(~single)
-        begin.append(spelled)
-        size.append(np.ones(len(spelled), np.int64))
+        source.append(state[spelled])
+        end.append(state[spelled] + np.int32(1))
         # bytes of a character, as a negative number that holds the character
-        piece.append(-chars[spelled].astype(np.int64))
+        piece.append((-chars[spelled].astype(np.int64)).astype(np.int32))
         # long pieces first: they are likely, and a draw looks at edges in order
-        begin, size, piece = (np.concatenate(x[::-1]) for x in (begin, size, piece))
-        n_bytes = _utf8_length(-piece[piece < 0] - 1)
-        weight = np.empty(len(piece))
-        weight[piece >= 0] = v.weight[piece[piece >= 0]]
-        weight[piece < 0] = v.byte_weight * n_bytes
-        end = (state[begin] + size).astype(np.int32)
+        source, end, piece = (np.concatenate(x[::-1]) for x in (source, end, piece))
         order = np.argsort(end, kind="stable")
-        end, self.piece, self.weight = end[order], piece[order], weight[order]
-        self.source = state[begin][order].astype(np.int32)
-        relative = (within[begin] + size)[order]
-        del active, h, begin, size, chars, state, room, piece, weight, order
+        end, self.source, self.piece = end[order], source[order], piece[order]
+        begin_of = np.repeat(self.first + units, lengths + 1)  # of a state, its unit's first
+        relative = end - begin_of[end]
+        del active, h, chars, state, stop, owner, place, source, piece, order, begin_of
+        self.weight = v.weight[self.piece]
+        odd = np.flatnonzero(self.piece < 0)
+        self.weight[odd] = v.byte_weight * _utf8_length(-self.piece[odd].astype(np.int64) - 1)
         n_states = int(self.stop[-1]) + 1
         self.mass = np.full(n_states, -np.inf)
-        self.mass[self.first + np.arange(len(self.first))] = 0.0
+        self.mass[self.first + units] = 0.0
         self._forward(end, relative)
         self.share = np.exp(self.mass[self.source] + self.weight - self.mass[end])
-        self.cut = np.searchsorted(end, np.arange(n_states + 1)).astype(np.int32)
+        self.cut = np.zeros(n_states + 1, np.int32)
+        np.cumsum(np.bincount(end, minlength=n_states), out=self.cut[1:])
         total = np.cumsum(self.share)
         self.running = total - np.concatenate([[0.0], total])[self.cut[:-1]][end]
         # the last edge of a state takes what rounding leaves
@@ -456,7 +459,7 @@ def _unit_hashes(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
     return mix(own ^ mix(lengths.astype(np.uint64)))
 
 
-def _sample(path: str, k: int, seed: int):
+def _sample(path: str, k: int, seed: int, decode: bool):
     def sample(batches):
         v = vocabulary(path)
         width = np.uint16 if v.size <= 1 << 16 else np.uint32
@@ -475,31 +478,36 @@ def _sample(path: str, k: int, seed: int):
                 gap = np.exp(np.minimum(log_prob - threshold, 700))
                 with np.errstate(divide="ignore"):
                     inclusion = np.where(gap < 1e-9, log_prob - threshold, np.log(-np.expm1(-gap)))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": ids.take(pa.array(rows)),
-                        "sample": pa.array(np.full(len(rows), number, np.int32)),
-                        "n_pieces": pa.array([len(pieces[r]) for r in rows], pa.int64()),
-                        "log_prob": log_prob[rows],
-                        "perturbed": perturbed[rows],
-                        "log_inclusion": inclusion[rows],
-                        "pieces": pa.array([pieces[r].astype(width).tobytes() for r in rows], pa.binary()),
-                    }
-                )
+                columns = {
+                    "doc_id": ids.take(pa.array(rows)),
+                    "sample": pa.array(np.full(len(rows), number, np.int32)),
+                    "n_pieces": pa.array([len(pieces[r]) for r in rows], pa.int64()),
+                    "log_prob": log_prob[rows],
+                    "perturbed": perturbed[rows],
+                    "log_inclusion": inclusion[rows],
+                    "pieces": pa.array([pieces[r].astype(width).tobytes() for r in rows], pa.binary()),
+                }
+                if decode:
+                    columns["decoded"] = pa.array([decode_pieces(pieces[r], v) for r in rows], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
 
     return sample
 
 
-def sampled_segmentations(docs: DataFrame, model_path: str, k: int = 2, seed: int = SEED) -> DataFrame:
+def sampled_segmentations(
+    docs: DataFrame, model_path: str, k: int = 2, seed: int = SEED, decode: bool = False
+) -> DataFrame:
     """Up to ``k`` distinct segmentations of each row of ``docs(doc_id, text)``, best first.
 
     ``pieces`` holds the ids as little-endian numbers of two bytes (four for vocabularies
     above 65,536); ``log_prob`` is the segmentation's, ``perturbed`` its Gumbel value and
     ``log_inclusion`` the log probability of being among the k, given the k + 1st value.
+    ``decode`` adds ``decoded``, the text that the pieces give again.
     ``model_path`` names a sentencepiece model on every machine.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(_sample(model_path, k, seed), ROWS)
+    rows = ROWS + ", decoded string" if decode else ROWS
+    return docs.mapInArrow(_sample(model_path, k, seed, decode), rows)
 
 
 def decode_pieces(ids: np.ndarray, v: Vocabulary) -> str:
