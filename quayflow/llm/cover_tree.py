@@ -31,9 +31,10 @@ from quayflow.llm.blocks import stored
 from quayflow.llm.components import components
 
 CELL = 1024
-PIVOTS = 16
+PIVOTS = 8
 LEVELS = 24
 LEAF = 24
+GUESTS = 1024  # visitors that get a tree of their own
 SLACK = 1e-9
 POINTS = "point long, cell string, home boolean, times long, vector binary"
 
@@ -82,9 +83,8 @@ def _to_nearest(batches):
         number = np.zeros(batch.num_rows, np.int32)
         far = np.zeros(batch.num_rows)
         for _, rows in _by_cell(batch):
-            part = batch.take(pa.array(rows))
-            centers = _matrix(part.column("pivots")[0].values)
-            chords = _chords(_matrix(part.column("vector")), centers)
+            centers = _matrix(batch.column("pivots")[int(rows[0])].values)
+            chords = _chords(_matrix(batch.column("vector").take(pa.array(rows))), centers)
             number[rows], far[rows] = chords.argmin(1), chords.min(1)
         names = [f"{c}.{n}" for c, n in zip(batch.column("cell").to_pylist(), number, strict=True)]
         yield pa.RecordBatch.from_pydict(
@@ -104,19 +104,19 @@ def _visits(radius: float):
     def visits(batches):
         for batch in batches:
             cells, keep = [], []
+            own = batch.column("own").to_numpy(False)
             for name, rows in _by_cell(batch):
-                part = batch.take(pa.array(rows))
-                children = part.column("children")[0].as_py()
+                children = batch.column("children")[int(rows[0])].as_py()
                 centers = np.frombuffer(b"".join(c["center"] for c in children)).reshape(len(children), -1)
                 reach = np.array([c["far"] for c in children]) + radius + SLACK
-                near = _chords(_matrix(part.column("vector")), centers) <= reach
-                own = part.column("own").to_pylist()
-                for row, child in zip(*np.nonzero(near), strict=True):
-                    number = children[child]["child"]
-                    if own[row] != number:
-                        keep.append(int(rows[row]))
-                        cells.append(f"{name}.{number}")
-            taken = batch.take(pa.array(keep, pa.int64()))
+                vectors = _matrix(batch.column("vector").take(pa.array(rows)))
+                numbers = np.array([c["child"] for c in children])
+                near = _chords(vectors, centers) <= reach
+                near &= own[rows][:, None] != numbers[None, :]
+                visitor, child = np.nonzero(near)
+                keep += rows[visitor].tolist()
+                cells += [f"{name}.{n}" for n in numbers[child].tolist()]
+            taken = batch.select(["point", "times", "vector"]).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_pydict(
                 {
                     "point": taken.column("point"),
@@ -172,7 +172,18 @@ class CoverTree:
             self._node(rows, _chords(vectors, vectors[:1])[:, 0], 1.0)
         self.far_of = np.array(self.far)
         self.center_of = np.array(self.center, np.int64)
-        self.leaf = np.array([not c for c in self.children], bool)
+        counts = np.array([len(c) for c in self.children], np.int64)
+        self.leaf = counts == 0
+        self.n_children = counts
+        self.first_child = np.cumsum(counts) - counts
+        self.child = np.array([c for own in self.children for c in own], np.int64)
+
+    def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Children of nodes, and the place of each one's parent among them."""
+        counts = self.n_children[nodes]
+        parent = np.repeat(np.arange(len(nodes)), counts)
+        place = np.arange(len(parent)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return self.child[self.first_child[nodes][parent] + place], parent
 
     def _node(self, rows: np.ndarray, chords: np.ndarray, reach: float) -> int:
         """A node of ``rows`` whose centre, the first, is ``chords`` away from them."""
@@ -206,9 +217,9 @@ def linked(a: CoverTree, b: CoverTree, cosine: float):
     radius = np.sqrt(2 - 2 * cosine)
     left, right = np.zeros(1, np.int64), np.zeros(1, np.int64)
     whole, compare = [], []
+    centers = _chords(a.vectors[a.center_of], b.vectors[b.center_of])
     while len(left):
-        x, y = a.vectors[a.center_of[left]], b.vectors[b.center_of[right]]
-        apart = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", x, y), 0))
+        apart = centers[left, right]
         both = a.far_of[left] + b.far_of[right]
         inside = apart + both <= radius - 1e-6
         whole.append((left[inside], right[inside]))
@@ -219,10 +230,12 @@ def linked(a: CoverTree, b: CoverTree, cosine: float):
         left, right = left[~done], right[~done]
         # the node with the larger radius is replaced by its children
         first = ~a.leaf[left] & (b.leaf[right] | (a.far_of[left] >= b.far_of[right]))
-        pairs = [(c, r) for n, r in zip(left[first].tolist(), right[first].tolist(), strict=True) for c in a.children[n]]
-        pairs += [(n, c) for n, r in zip(left[~first].tolist(), right[~first].tolist(), strict=True) for c in b.children[r]]
-        grown = np.array(pairs, np.int64).reshape(-1, 2)
-        left, right = grown[:, 0], grown[:, 1]
+        down, parent = a.below(left[first])
+        other, partner = b.below(right[~first])
+        left, right = (
+            np.concatenate([down, left[~first][partner]]),
+            np.concatenate([right[first][parent], other]),
+        )
     return [tuple(np.concatenate(p) for p in zip(*parts, strict=True)) for parts in (whole, compare)]
 
 
@@ -261,14 +274,32 @@ def _meet(a, ids_a, links, b, ids_b, times_b, cosine, forest) -> None:
         for i in ids_a[rows].tolist() + ids_b[others].tolist():
             forest.join(i, int(ids_b[others[0]]))
     left, right = compare
-    for n in np.unique(left).tolist():
-        others = np.concatenate([b.points[m] for m in right[left == n].tolist()])
+    if not len(left):
+        return
+    order = np.argsort(left, kind="stable")
+    nodes, starts = np.unique(left[order], return_index=True)
+    for n, partners in zip(nodes.tolist(), np.split(right[order], starts[1:]), strict=True):
+        others = np.concatenate([b.points[m] for m in partners.tolist()])
         rows = a.points[n]
         hit = a.vectors[rows] @ b.vectors[others].T >= cosine
         hit &= ids_a[rows][:, None] != ids_b[others][None, :]
         links[rows] += hit @ times_b[others]
-        for r, c in zip(*np.nonzero(hit), strict=True):
-            forest.join(int(ids_a[rows[r]]), int(ids_b[others[c]]))
+        found = np.flatnonzero(hit.any(0))
+        if not len(found):
+            continue
+        # one link to each set of linked points is enough
+        roots = np.array([forest.root(i) for i in ids_b[others[found]].tolist()])
+        for r in np.flatnonzero(hit.any(1)).tolist():
+            near = np.flatnonzero(hit[r, found])
+            _, sets = np.unique(roots[near], return_index=True)
+            for c in found[near[sets]].tolist():
+                forest.join(int(ids_a[rows[r]]), int(ids_b[others[c]]))
+
+
+def _pieces(batches):
+    for batch in batches:
+        for start in range(0, batch.num_rows, GUESTS):
+            yield batch.slice(start, GUESTS)
 
 
 def _leaf(cosine: float):
@@ -287,7 +318,7 @@ def _leaf(cosine: float):
 
     def leaf(batches):
         state = None
-        for batch in batches:
+        for batch in _pieces(batches):
             for name, rows in _by_cell(batch):
                 part = batch.take(pa.array(rows))
                 home = np.array(part.column("home").to_pylist(), bool)
