@@ -6,9 +6,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A value of any size is valid; quotes and numbers are those of the JSON standard.
+_STRICT = {
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "maxStringLen": str(2**31 - 1),
+}
+
+
+def is_json(text: Column) -> Column:
+    """Whether a text is exactly one JSON value; repeated keys are allowed.
+
+    As an array's only element the text must be one value, and before another element
+    it must end there.
+    """
+
+    def elements(tail: str, count: int) -> Column:
+        array = F.concat(F.lit("["), text, F.lit(tail))
+        return F.size(F.from_json(array, "array<string>", _STRICT)) == count
+
+    return F.coalesce(elements("]", 1) & elements(",0]", 2), F.lit(False))
+
+
 def parse_json(text: Column) -> Column:
     """VARIANT of a text that is exactly one JSON value, else NULL.
 
+    Of repeated keys the last counts where ``spark.sql.variant.allowDuplicateKeys`` is
+    set, as the library's session settings do. Texts beyond a VARIANT's size (16 MB,
+    above what brokers accept by default) are NULL.
+
     ``try_parse_json`` alone stops after the first value and accepts whatever
     follows it. A text that parses both as the only member of an object and as
     the only element of an array cannot have anything after its value.

@@ -46,5 +46,8 @@ def iso_utc(ts: Column) -> Column:
 
 
 def epoch_nanos(ts: Column) -> Column:
-    """Nanoseconds since the epoch; Spark's clock resolution is one microsecond."""
-    return F.unix_micros(ts) * F.lit(1000)
+    """Nanoseconds since the epoch, NULL outside the years 1677 to 2262 that they reach.
+
+    Spark's clock resolution is one microsecond.
+    """
+    return F.try_multiply(F.unix_micros(ts), F.lit(1000))

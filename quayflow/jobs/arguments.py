@@ -37,3 +37,11 @@ def parser(description: str, *required: str, **optional: str | None) -> argparse
         must = name in required and default is None
         result.add_argument(f"--{name}", default=default, required=must, help=hint)
     return result
+
+
+def require_store(options: argparse.ArgumentParser, args: argparse.Namespace) -> None:
+    """Stop before the session starts unless all settings of the point store are there."""
+    names = ("store_url", "store_org", "store_bucket", "store_token")
+    missing = [f"--{name.replace('_', '-')}" for name in names if not getattr(args, name)]
+    if missing:
+        options.error(f"the point store needs {', '.join(missing)}")

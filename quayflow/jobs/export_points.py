@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from quayflow.jobs.arguments import parser
+from quayflow.jobs.arguments import parser, require_store
 from quayflow.operators.points import line_protocol
 from quayflow.plans.export import export_points
 from quayflow.session import build_session
@@ -27,8 +27,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     options.add_argument("--sink", choices=["store", "text", "parquet"], default="store")
     options.add_argument("--writers", type=int, help="tasks that call the store at once")
     args = options.parse_args(argv)
-    if args.sink == "store" and not args.store_token:
-        options.error("a token for the point store is required")
+    if args.sink == "store":
+        require_store(options, args)
     if args.sink != "store" and not args.output:
         options.error("--output is required for a file sink")
 
@@ -49,7 +49,8 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     spark = build_session("point export")
     curated_table(spark, args.curated).printSchema()
-    print(f"points: {export_points(spark, args.curated, args.measurement, write)}")
+    counts = export_points(spark, args.curated, args.measurement, write)
+    print(f"points: {counts.points}, rows with a time out of range: {counts.unplaced}")
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from quayflow.jobs.arguments import parser
-from quayflow.operators.passages import passages
+from quayflow.operators.passages import line_refs_of
 from quayflow.plans.references import line_reference, stop_reference
 from quayflow.session import build_session
 from quayflow.sources.tables import lines_csv, raw_table, stops_csv
@@ -21,7 +21,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     stops = stop_reference(stops_csv(spark, args.stop_catalogue), whole_words=args.whole_words)
     stops.write.mode("overwrite").option("header", True).option("escape", '"').csv(args.stop_output)
     lines = line_reference(
-        lines_csv(spark, args.line_catalogue), passages(raw_table(spark, args.raw))
+        lines_csv(spark, args.line_catalogue), line_refs_of(raw_table(spark, args.raw))
     )
     lines.write.mode("overwrite").option("header", True).csv(args.line_output)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from quayflow.jobs.arguments import parser
-from quayflow.operators.events import fetch_counts
 from quayflow.plans.publish import publish_events
 from quayflow.schemas import FETCH_OUTCOME
 from quayflow.session import build_session
@@ -17,10 +16,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = options.parse_args(argv)
     spark = build_session("publish events")
     outcomes = spark.read.schema(FETCH_OUTCOME).parquet(args.outcomes)
-    publish_events(
+    counts = publish_events(
         stops_csv(spark, args.stops), outcomes, args.event_source, args.servers, args.topic
     )
-    fetch_counts(outcomes).show()
+    print(f"stops: {counts.total}, sent: {counts.ok}, failed: {counts.failed}")
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayflow.functions.documents import event_json, parse_json
+from quayflow.functions.documents import event_json, is_json
 from quayflow.functions.texts import text_or_empty
 from quayflow.functions.times import iso_utc
 
@@ -28,7 +28,7 @@ def stop_labels(stops: DataFrame) -> DataFrame:
 
 def _fetched() -> Column:
     """True where a payload arrived and is one JSON value."""
-    return F.col("error").isNull() & parse_json(F.col("payload")).isNotNull()
+    return F.col("error").isNull() & is_json(F.col("payload"))
 
 
 def build_events(

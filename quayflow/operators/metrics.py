@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayflow.functions.documents import parse_json
-from quayflow.functions.times import epoch_nanos
+from quayflow.operators.points import measurement_text, tag_text
 
 # The metric fields by conversion rule, and the constant tags.
 INTEGER_FIELDS = [
@@ -166,25 +166,27 @@ def read_metrics(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def metric_time(offset: str | None = None, processed_at: Column | None = None) -> Column:
-    """Processing time in nanoseconds.
+def metric_time(offset: str, at: Column) -> Column:
+    """Time of a record's point in nanoseconds, distinct within its topic partition.
 
-    All messages of a micro-batch share one processing time, and points of equal
-    time and tags replace each other in a time-series store. The digits below the
-    clock's microsecond carry the last three digits of ``offset``, so neighbouring
-    records of a topic partition stay apart. Records of a long backlog should pass
-    their own timestamp as ``processed_at``.
+    Points of equal time and tags replace each other in a time-series store. The time
+    is ``at``, for a Kafka record its own timestamp, to the millisecond, and the six
+    digits below hold the end of ``offset``; the partition is a tag. Two records share
+    both only if a partition gets a million records with one millisecond.
     """
-    nanos = epoch_nanos(F.current_timestamp() if processed_at is None else processed_at)
-    return nanos if offset is None else nanos + F.pmod(F.col(offset), F.lit(1000))
+    millis = F.unix_millis(at)
+    return millis * F.lit(1_000_000) + F.pmod(F.col(offset), F.lit(1_000_000))
 
 
-def _tagged(topic: str, measurement: str, time_ns: Column) -> list[Column]:
+def _tagged(
+    topic: str, measurement: str, time_ns: Column, partition: str, host: str
+) -> list[Column]:
     return [
         F.lit(measurement).alias("measurement"),
         F.lit(SOURCE_TAG).alias("source"),
-        F.lit(HOST_TAG).alias("rm_host"),
+        F.lit(host).alias("rm_host"),
         F.lit(topic).alias("topic"),
+        F.col(partition).cast("string").alias("partition"),
         time_ns.alias("time_ns"),
     ]
 
@@ -195,11 +197,13 @@ def metric_points(
     measurement: str,
     time_ns: Column,
     keep: tuple[str, ...] = (),
+    partition: str = "kafka_partition",
+    host: str = HOST_TAG,
 ) -> DataFrame:
     """Long form: one row for each field of each accepted message."""
     return (
         read.select(
-            *_tagged(topic, measurement, time_ns),
+            *_tagged(topic, measurement, time_ns, partition, host),
             *keep,
             F.explode_outer("metric_fields").alias("m"),
         )
@@ -209,7 +213,14 @@ def metric_points(
     )
 
 
-def metric_lines(read: DataFrame, topic: str, measurement: str, time_ns: Column) -> DataFrame:
+def metric_lines(
+    read: DataFrame,
+    topic: str,
+    measurement: str,
+    time_ns: Column,
+    partition: str = "kafka_partition",
+    host: str = HOST_TAG,
+) -> DataFrame:
     """One line of line protocol text for each accepted message with at least one field."""
 
     def pair(m: Column) -> Column:
@@ -222,7 +233,14 @@ def metric_lines(read: DataFrame, topic: str, measurement: str, time_ns: Column)
         return F.concat(m["field"], F.lit("="), text)
 
     pairs = F.array_join(F.transform("metric_fields", pair), ",")
-    tags = F.lit(f"{measurement},rm_host={HOST_TAG},source={SOURCE_TAG},topic={topic}")
+    tags = F.concat_ws(
+        ",",
+        measurement_text(F.lit(measurement)),
+        F.concat(F.lit("partition="), F.col(partition).cast("string")),
+        F.concat(F.lit("rm_host="), tag_text(F.lit(host))),
+        F.lit(f"source={SOURCE_TAG}"),
+        F.concat(F.lit("topic="), tag_text(F.lit(topic))),
+    )
     line = F.when(pairs != "", F.concat_ws(" ", tags, pairs, time_ns.cast("string")))
     return read.select(line.alias("line")).where(F.col("line").isNotNull())
 

@@ -14,31 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayflow.functions.times import TimeMode, parse_event_time
-from quayflow.schemas import EVENT, LINEAGE_COLUMNS, PASSAGE_COLUMNS
+from quayflow.schemas import EVENT, LINE_REFS, LINEAGE_COLUMNS
 
-# Where a passage column comes from in a visit.
+# Fixed value: where a visit names its line.
 LINE_REF_PATH = "MonitoredVehicleJourney.LineRef.value"
-VALUE_PATHS = {
-    "item_identifier": "ItemIdentifier",
-    "direction_ref": "MonitoredVehicleJourney.DirectionRef.value",
-    "destination_ref": "MonitoredVehicleJourney.DestinationRef.value",
-    "departure_status": "MonitoredVehicleJourney.MonitoredCall.DepartureStatus",
-    "vehicle_at_stop": "MonitoredVehicleJourney.MonitoredCall.VehicleAtStop",
-}
-FIRST_TEXT_PATHS = {
-    "direction_name": "MonitoredVehicleJourney.DirectionName",
-    "destination_name": "MonitoredVehicleJourney.DestinationName",
-    "stop_point_name": "MonitoredVehicleJourney.MonitoredCall.StopPointName",
-}
-TIME_PATHS = {
-    "recorded_at_time": "RecordedAtTime",
-    "expected_departure_time": "MonitoredVehicleJourney.MonitoredCall.ExpectedDepartureTime",
-}
-
-
-def parse_events(raw: DataFrame) -> DataFrame:
-    """Lineage columns and the document as a struct; unreadable text gives NULL fields."""
-    return raw.select(*LINEAGE_COLUMNS, F.from_json("raw_json", EVENT).alias("event"))
+
+
+def parse_events(raw: DataFrame, schema: str = EVENT) -> DataFrame:
+    """Lineage columns and the document as a struct; unreadable text gives NULL fields.
+
+    ``schema`` may declare less than an event's fields, which spares reading the others.
+    """
+    return raw.select(*LINEAGE_COLUMNS, F.from_json("raw_json", schema).alias("event"))
 
 
 def lift_deliveries(parsed: DataFrame) -> DataFrame:
@@ -66,32 +53,54 @@ def with_line_ref(visits: DataFrame) -> DataFrame:
     return visits.withColumn("line_ref", F.col(f"visit.{LINE_REF_PATH}"))
 
 
-def _passage_columns(times: TimeMode) -> dict[str, Column]:
-    """The columns that are computed; the other passage columns are taken as they are."""
-    columns = {name: F.col(f"visit.{path}") for name, path in VALUE_PATHS.items()}
-    for name, path in FIRST_TEXT_PATHS.items():
-        # NULL for a NULL or empty array, where an index would raise
-        columns[name] = F.get(F.col(f"visit.{path}"), F.lit(0))["value"]
-    for name, path in TIME_PATHS.items():
-        columns[name] = parse_event_time(F.col(f"visit.{path}"), times)
-    columns["producer_ts"] = parse_event_time(F.col("producer_ts_raw"), times)
-    return columns
-
-
 def project_passages(
     visits: DataFrame, times: TimeMode = "tolerant", keep: Sequence[str] = ()
 ) -> DataFrame:
     """The 22 passage columns of visits that have ``line_ref``, then the columns to ``keep``."""
-    computed = _passage_columns(times)
+    journey = F.col("visit.MonitoredVehicleJourney")
+    call = journey["MonitoredCall"]
+
+    def first_text(texts: Column) -> Column:
+        # NULL for a NULL or empty array, where an index would raise
+        return F.get(texts, F.lit(0))["value"]
+
+    # The paths in a visit.
     return visits.select(
-        *[
-            computed[name].alias(name) if name in computed else F.col(name)
-            for name in PASSAGE_COLUMNS
-        ],
+        "ingest_date",
+        "ingest_ts",
+        "kafka_topic",
+        "kafka_partition",
+        "kafka_offset",
+        "kafka_timestamp",
+        "event_source",
+        "event_version",
+        "monitoring_ref",
+        "kafka_key",
+        parse_event_time(F.col("producer_ts_raw"), times).alias("producer_ts"),
+        parse_event_time(F.col("visit.RecordedAtTime"), times).alias("recorded_at_time"),
+        F.col("visit.ItemIdentifier").alias("item_identifier"),
+        "line_ref",
+        journey["DirectionRef"]["value"].alias("direction_ref"),
+        first_text(journey["DirectionName"]).alias("direction_name"),
+        journey["DestinationRef"]["value"].alias("destination_ref"),
+        first_text(journey["DestinationName"]).alias("destination_name"),
+        first_text(call["StopPointName"]).alias("stop_point_name"),
+        parse_event_time(call["ExpectedDepartureTime"], times).alias("expected_departure_time"),
+        call["DepartureStatus"].alias("departure_status"),
+        call["VehicleAtStop"].alias("vehicle_at_stop"),
         *keep,
     )
 
 
+def line_refs_of(raw: DataFrame) -> DataFrame:
+    """``line_ref`` of each visit, reading nothing else of the documents."""
+    parsed = raw.select(F.from_json("raw_json", LINE_REFS).alias("event"))
+    deliveries = F.col("event.payload.Siri.ServiceDelivery.StopMonitoringDelivery")
+    per_delivery = parsed.select(F.explode_outer(deliveries).alias("delivery"))
+    visits = per_delivery.select(F.explode_outer("delivery.MonitoredStopVisit").alias("visit"))
+    return visits.select(F.col(f"visit.{LINE_REF_PATH}").alias("line_ref"))
+
+
 def visits_of(raw: DataFrame) -> DataFrame:
     """Raw rows to visits in one narrow stage, without a shuffle."""
     return with_line_ref(explode_visits(lift_deliveries(parse_events(raw))))

@@ -68,6 +68,7 @@ def to_points(
 
     Tags and fields are structs with one typed column each, where NULL means that
     the point does not have it. Columns that are neither tag nor time are fields.
+    ``time_ns`` is NULL where the time is beyond what nanoseconds reach.
     """
     tags = [F.col(name).cast("string").alias(name) for name in tag_columns if name in df.columns]
     fields = [
@@ -105,12 +106,23 @@ _TAG_ESCAPES = [
     ("\t", r"\t"),
     ("\r", r"\r"),
 ]
-_TEXT_ESCAPES = [("\\", r"\\"), ('"', r"\"")]
+# A text field's line breaks become the two characters, as one point is one line.
+_TEXT_ESCAPES = [("\\", r"\\"), ('"', r"\""), ("\n", r"\n"), ("\r", r"\r")]
 
 
-def _tag_text(value: Column) -> Column:
-    """Escaped tag value; NULL for the empty string, which cannot be a tag value."""
-    return _escaped(F.nullif(value, F.lit("")), _TAG_ESCAPES)
+def measurement_text(value: Column) -> Column:
+    """Escaped measurement name."""
+    return _escaped(value, _MEASUREMENT_ESCAPES)
+
+
+def tag_text(value: Column) -> Column:
+    """Escaped tag value; NULL for the empty string, which cannot be a tag value.
+
+    A backslash at the end would escape the separator after it. Line protocol has no
+    escape for it, so it is made an escaped blank.
+    """
+    text = _escaped(F.nullif(value, F.lit("")), _TAG_ESCAPES)
+    return F.when(text.endswith("\\"), F.concat(text, F.lit(" "))).otherwise(text)
 
 
 def _field_text(value: Column, data_type: T.DataType) -> Column:
@@ -132,11 +144,11 @@ def _writable(column: T.StructField) -> Column:
 
 
 def line_protocol(points: DataFrame) -> DataFrame:
-    """One ``line`` of line protocol text for each point; points without a field have none."""
+    """One ``line`` of line protocol text for each point that has a field and a time."""
     schema = points.schema
-    head = [_escaped(F.col("measurement"), _MEASUREMENT_ESCAPES)]
+    head = [measurement_text(F.col("measurement"))]
     for name in sorted(schema["tags"].dataType.names):
-        tag = _tag_text(F.col("tags")[name])
+        tag = tag_text(F.col("tags")[name])
         head.append(F.concat(F.lit(f"{_escape_key(name)}="), tag))
     body = []
     columns = sorted(schema["fields"].dataType.fields, key=lambda field: field.name)
@@ -147,4 +159,5 @@ def line_protocol(points: DataFrame) -> DataFrame:
         " ", F.concat_ws(",", *head), F.concat_ws(",", *body), F.col("time_ns").cast("string")
     )
     has_field = F.coalesce(*[_writable(column).cast("string") for column in columns])
-    return points.where(has_field.isNotNull()).select(line.alias("line"))
+    writable = has_field.isNotNull() & F.col("time_ns").isNotNull()
+    return points.where(writable).select(line.alias("line"))

@@ -27,6 +27,7 @@ from quayflow.operators.metrics import (
 from quayflow.operators.passages import (
     explode_visits,
     lift_deliveries,
+    line_refs_of,
     parse_events,
     passages,
     project_passages,
@@ -42,6 +43,7 @@ from quayflow.operators.points import (
 from quayflow.operators.raw import to_raw
 from quayflow.operators.reference import identify_stops, observed_lines, select_roi_stops
 from quayflow.plans.curated import curated_rows, enriched_rows, refresh_curated
+from quayflow.plans.publish import publish_counts, stop_events
 from quayflow.plans.star_events import (
     METRICS_TOPIC,
     event_records,
@@ -49,7 +51,6 @@ from quayflow.plans.star_events import (
     metrics_records,
     part_lines,
     raw_layer,
-    spread,
     stored_layer,
     table,
 )
@@ -99,12 +100,12 @@ def raw_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream of its files: one file of that name or a folder of parts.
+
+    Streams list folders; as a pattern the path may be a file as well.
+    """
     schema = table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.[p]arquet")
 
 
 def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +147,7 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 13 == 1, F.concat(payload, F.lit(" tail")))
         .when(key % 13 == 2, F.concat(payload, F.lit("}")))
         .when(key % 13 == 3, F.concat(F.lit('{"broken": '), payload))
+        .when(key % 13 == 4, F.concat(F.lit('{"same": 1, "same": '), payload, F.lit("}")))
         .otherwise(payload)
         .alias("payload"),
         F.when(key % 17 == 0, "timeout").alias("error"),
@@ -178,6 +180,15 @@ def fetch_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch_counts(_outcomes(spark, sf_dir))
 
 
+def publish_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as stops and customers as outcomes: unlisted and missing stops occur."""
+    key = F.col("s_suppkey")
+    stops = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit(" STIF:StopPoint:Q:"), key * 2, F.lit(":")).alias("siri_monitoring_ref")
+    )
+    return publish_counts(stops, stop_events(stops, _outcomes(spark, sf_dir), "star.customer"))
+
+
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = table(spark, sf_dir, "orders").select(
         F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey").cast("string")).alias(
@@ -210,8 +221,9 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = F.from_json("props", "k int")
-    return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"))
+    """The web events' own documents, read as events with a schema of their own."""
+    parsed = parse_events(_event_rows(spark, sf_dir), "k int")
+    return parsed.select(F.col("kafka_offset").alias("event_id"), "event.k")
 
 
 def parsed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,17 +299,14 @@ def curated_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curated = _curated(spark, sf_dir)
-    layers = {
-        "raw": _raw(spark, sf_dir),
-        "curated": curated,
-        "kpi": kpi_ready(curated),
-    }
-    counts = [
-        row_count(df, "n_rows").select(F.lit(name).alias("layer"), "n_rows")
-        for name, df in layers.items()
-    ]
-    return counts[0].union(counts[1]).union(counts[2])
+    """Rows of the layers; those of the curated layer and of its points in one pass."""
+    raw = row_count(_raw(spark, sf_dir), "n_rows").select(F.lit("raw").alias("layer"), "n_rows")
+    counts = _curated(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("curated"),
+        F.count_if(F.col("expected_departure_time").isNotNull()).alias("kpi"),
+    )
+    named = [F.struct(F.lit(n).alias("layer"), F.col(n).alias("n_rows")) for n in ("curated", "kpi")]
+    return raw.union(counts.select(F.inline(F.array(*named))))
 
 
 # points
@@ -358,14 +367,39 @@ def _read_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metrics_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     time_ns = metric_time("offset", F.col("timestamp"))
     points = metric_points(
-        _read_metrics(spark, sf_dir), METRICS_TOPIC, "cluster", time_ns, ("offset",)
+        _read_metrics(spark, sf_dir), METRICS_TOPIC, "cluster", time_ns, ("offset",), "partition"
     )
     return points.withColumnRenamed("offset", "kafka_offset")
 
 
 def metrics_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     time_ns = metric_time("offset", F.col("timestamp"))
-    return metric_lines(_read_metrics(spark, sf_dir), METRICS_TOPIC, "cluster", time_ns)
+    read = _read_metrics(spark, sf_dir)
+    return metric_lines(read, METRICS_TOPIC, "cluster", time_ns, "partition")
+
+
+def metrics_point_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted messages with fields and their points, for offsets that repeat in the
+    partitions and one time for the whole batch."""
+    messages = metrics_messages(spark, sf_dir).withColumns(
+        {
+            "partition": (F.col("offset") % 8).cast("int"),
+            "event": F.col("offset"),
+            "offset": F.expr("offset DIV 8"),
+            "timestamp": F.timestamp_seconds(F.lit(1_700_000_000)),
+        }
+    )
+    points = metric_points(
+        read_metrics(messages.withColumn("kafka_partition", F.col("partition"))),
+        METRICS_TOPIC,
+        "cluster",
+        metric_time("offset", F.col("timestamp")),
+        ("event",),
+    )
+    identity = F.struct("source", "rm_host", "topic", "partition", "time_ns")
+    return points.agg(
+        F.count_distinct("event").alias("n_messages"), F.count_distinct(identity).alias("n_points")
+    )
 
 
 def metrics_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,7 +412,6 @@ def metrics_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     points, rejected = scratch_path(spark, "points"), scratch_path(spark, "rejected")
-    # ``ts`` is the processing time here, for a reproducible result
     query = start_metrics_ingest(
         metrics_records(_table_stream(spark, sf_dir, "events")),
         "cluster",
@@ -386,7 +419,7 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "checkpoint"),
         topic=METRICS_TOPIC,
         available_now=True,
-        processed_at=F.col("timestamp"),
+        record_time=F.col("timestamp"),
     )
     wait(query)
     return spark.read.parquet(points).drop("batch_id", "kafka_topic", "kafka_partition")
@@ -410,7 +443,7 @@ def line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", normalise_name(F.col("text")).alias("name_norm"))
 
 
@@ -426,7 +459,8 @@ def roi_match_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = part_lines(spark, sf_dir)
-    return observed_lines(lines, _visits(spark, sf_dir)).select("line_id", "siri_line_ref", "name")
+    refs = line_refs_of(_raw(spark, sf_dir))
+    return observed_lines(lines, refs).select("line_id", "siri_line_ref", "name")
 
 
 QUERIES: dict[str, Query] = {
@@ -438,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "unkeyed_metric_records": unkeyed_metric_records,
     "fetch_outcome_counts": fetch_outcome_counts,
     "batch_counts": batch_counts,
+    "publish_counts": publish_batch_counts,
     "stop_list": stop_list,
     "parse_props": parse_props,
     "parsed_envelopes": parsed_envelopes,
@@ -457,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "point_text_sink": point_text_sink,
     "metrics_points": metrics_points,
     "metrics_lines": metrics_lines,
+    "metrics_point_identity": metrics_point_identity,
     "metrics_rejected": metrics_rejected,
     "stream_metrics": stream_metrics,
     "stop_ids": stop_ids,

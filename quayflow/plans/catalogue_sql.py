@@ -86,8 +86,10 @@ _FETCHES = """
 WITH fetches AS (
   SELECT c_custkey AS k, CASE WHEN c_custkey % 11 > 1
                               THEN 'STIF:StopPoint:Q:' || c_custkey || ':' END AS ref,
-         '{"Name": "' || c_name || ' — né", "Segment": "' || c_mktsegment || '", "Nation": '
-           || c_nationkey || ', "Balance": 1.50, "none": null}' AS payload,
+         CASE WHEN c_custkey % 13 = 4 THEN '{"same": 1, "same": ' ELSE '' END
+           || '{"Name": "' || c_name || ' — né", "Segment": "' || c_mktsegment || '", "Nation": '
+           || c_nationkey || ', "Balance": 1.50, "none": null}'
+           || CASE WHEN c_custkey % 13 = 4 THEN '}' ELSE '' END AS payload,
          c_custkey % 13 > 3 AND c_custkey % 17 <> 0 AS ok,
          1704067200000000 + c_custkey * 250001 AS fetched_us
   FROM customer
@@ -136,7 +138,7 @@ messages AS (
                 ELSE CASE WHEN e % 7 > 2 AND e % 49 IN (3, 10)
                           THEN 'unreadable number: availableMB' END
     END AS reject_reason,
-    us * 1000 + e % 1000 AS time_ns
+    (us // 1000) * 1000000 + e % 1000000 AS time_ns
   FROM whole
 ),
 accepted AS (SELECT * FROM messages WHERE reject_reason IS NULL AND e % 53 <> 3),
@@ -168,9 +170,10 @@ _METRIC_POINTS = (
     _METRICS
     + """
 SELECT 'cluster' AS measurement, 'yarn_rm' AS source, 'master' AS rm_host,
-       'cluster-metrics' AS topic, time_ns, e AS kafka_offset, field, long_value,
+       'cluster-metrics' AS topic, CAST(u % 8 AS VARCHAR) AS "partition", time_ns,
+       e AS kafka_offset, field, long_value,
        CAST(double_value AS DOUBLE) AS double_value, bool_value
-FROM fields
+FROM fields JOIN (SELECT e, u FROM messages) USING (e)
 """
 )
 
@@ -244,6 +247,13 @@ ORACLE_SQL: dict[str, str] = {
     + """SELECT count(*) AS total, count(*) FILTER (ok) AS ok,
                 count(*) FILTER (NOT ok) AS failed
          FROM fetches WHERE ref IS NOT NULL""",
+    "publish_counts": _FETCHES
+    + """, listed AS (
+  SELECT DISTINCT 'STIF:StopPoint:Q:' || s_suppkey * 2 || ':' AS ref FROM supplier)
+SELECT count(*) AS total, count(monitoring_ref) AS ok,
+       count(*) FILTER (monitoring_ref IS NULL) AS failed
+FROM listed LEFT JOIN (SELECT DISTINCT monitoring_ref FROM events_out) ON ref = monitoring_ref
+""",
     "batch_counts": """
 SELECT count(*) AS total, count(*) FILTER (o_orderstatus <> 'P') AS ok,
        count(*) FILTER (o_orderstatus = 'P') AS failed
@@ -300,13 +310,15 @@ FROM ev
     "metrics_points": _METRIC_POINTS,
     "metrics_lines": _METRICS
     + """
-SELECT 'cluster,rm_host=master,source=yarn_rm,topic=cluster-metrics '
-  || string_agg(field || '=' || coalesce(long_value || 'i', CAST(double_value AS VARCHAR),
+SELECT 'cluster,partition=' || any_value(u % 8)
+  || ',rm_host=master,source=yarn_rm,topic=cluster-metrics ' || string_agg(field || '=' || coalesce(long_value || 'i', CAST(double_value AS VARCHAR),
                                          CAST(bool_value AS VARCHAR)), ','
                 ORDER BY pos)
   || ' ' || any_value(time_ns) AS line
-FROM fields GROUP BY e
+FROM fields JOIN (SELECT e, u FROM messages) USING (e) GROUP BY e
 """,
+    "metrics_point_identity": _METRICS
+    + "SELECT count(DISTINCT e) AS n_messages, count(DISTINCT e) AS n_points FROM fields",
     "metrics_rejected": _METRICS
     + """SELECT e AS kafka_offset, message, reject_reason FROM messages
          WHERE reject_reason IS NOT NULL""",

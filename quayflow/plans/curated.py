@@ -48,7 +48,7 @@ def refresh_curated(
     *,
     ingest_date: str | None = None,
     times: TimeMode = "tolerant",
-    overwrite: Overwrite = "dynamic",
+    overwrite: Overwrite = "static",
 ) -> dict[str, int]:
     """Rebuild the curated layer, or one date of it, and count rows on the way.
 
@@ -60,7 +60,7 @@ def refresh_curated(
     )
     visits = with_line_ref(explode_visits(lifted))
     rows, curated = counted(curated_rows(visits, lines_csv(spark, lines_path), times))
-    write_curated(rows, curated_path, overwrite)
+    write_curated(rows, curated_path, overwrite, ingest_date)
     return {
         "raw_rows": events.get["rows"],
         "unreadable_rows": events.get["unreadable"],

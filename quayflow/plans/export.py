@@ -3,23 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayflow.operators.counts import counted
 from quayflow.operators.points import kpi_ready, to_points
 from quayflow.sources.tables import curated_table
 
 
+class PointCounts(NamedTuple):
+    points: int
+    unplaced: int
+
+
 def export_points(
     spark: SparkSession, curated_path: str, measurement: str, write: Callable[[DataFrame], None]
-) -> int:
+) -> PointCounts:
     """Convert the rows that have an expected departure and hand them to ``write``.
 
     ``write`` gets the lazy points frame and runs one action on it; rows go from
-    the executors straight to the sink. Returns the number of points.
+    the executors straight to the sink. Returns how many points there are, and how many
+    rows have no point as their time is beyond what nanoseconds reach.
     """
     ready = kpi_ready(curated_table(spark, curated_path))
-    points, written = counted(to_points(ready, measurement))
-    write(points)
-    return written.get["rows"]
+    points, seen = counted(
+        to_points(ready, measurement), unplaced=F.count_if(F.col("time_ns").isNull())
+    )
+    write(points.where(F.col("time_ns").isNotNull()))
+    counts = seen.get
+    return PointCounts(counts["rows"] - counts["unplaced"], counts["unplaced"])

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from quayflow.operators.counts import counted
 from quayflow.operators.events import build_events, keyed_records, monitored_stops
 from quayflow.sinks.kafka import write_records
 
@@ -15,11 +19,39 @@ def stop_events(stops: DataFrame, outcomes: DataFrame, event_source: str) -> Dat
     return keyed_records(events, "event", "monitoring_ref")
 
 
+class PublishCounts(NamedTuple):
+    """Of the listed stops: all, those whose event was sent, and the others."""
+
+    total: int
+    ok: int
+    failed: int
+
+
+def publish_counts(stops: DataFrame, events: DataFrame) -> DataFrame:
+    """``total, ok, failed`` of the listed stops: one without an event failed, however
+    many outcomes it has, and outcomes of unlisted stops do not count."""
+    listed = monitored_stops(stops).select(F.col("monitoring_ref").alias("key")).distinct()
+    sent = events.select("key").distinct().withColumn("sent", F.lit(True))
+    return listed.join(sent, "key", "left").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count("sent").alias("ok"),
+        F.count_if(F.col("sent").isNull()).alias("failed"),
+    )
+
+
 def publish_events(
     stops: DataFrame, outcomes: DataFrame, event_source: str, servers: str, topic: str
-) -> None:
-    """Send the events; the write returns when the brokers have them."""
-    write_records(stop_events(stops, outcomes, event_source), servers, topic)
+) -> PublishCounts:
+    """Send the events and count them on the way; the payloads are read once.
+
+    The write returns when the brokers have the events. With several outcomes of a stop
+    each is sent, and ``ok`` counts them.
+    """
+    events, sent = counted(stop_events(stops, outcomes, event_source))
+    write_records(events, servers, topic)
+    total = monitored_stops(stops).select("monitoring_ref").distinct().count()
+    ok = sent.get["rows"]
+    return PublishCounts(total, ok, max(0, total - ok))
 
 
 def publish_metrics(messages: DataFrame, value: str, servers: str, topic: str) -> None:

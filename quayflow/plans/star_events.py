@@ -29,16 +29,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table of few file splits.
-
-    Building and parsing documents is CPU work, and a small file with one row group
-    would leave it to one task. A table with a split for each core is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def timestamp(column: str) -> Column:
     """The tables hold zone-free timestamps; the session zone is UTC."""
     return F.col(column).cast("timestamp")
@@ -181,7 +171,7 @@ def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linestatus",
         "l_shipdate",
     )
-    return to_raw(lineitem_records(spread(lineitem)), F.col("ingested"))
+    return to_raw(lineitem_records(lineitem), F.col("ingested"))
 
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -237,7 +227,7 @@ def event_records(events: DataFrame) -> DataFrame:
 def metrics_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The web events' cluster-metrics messages."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    return metrics_records(spread(events))
+    return metrics_records(events)
 
 
 def metrics_records(events: DataFrame) -> DataFrame:

@@ -35,6 +35,13 @@ EVENT = (
     f"struct<StopMonitoringDelivery: array<{_DELIVERY}>>>>"
 )
 
+# The one path that tells which lines are observed.
+LINE_REFS = (
+    "payload struct<Siri: struct<ServiceDelivery: struct<StopMonitoringDelivery: "
+    "array<struct<MonitoredStopVisit: array<struct<MonitoredVehicleJourney: "
+    f"struct<LineRef: {_REF}>>>>>>>>"
+)
+
 LINEAGE_COLUMNS = [
     "kafka_key",
     "kafka_topic",
@@ -57,8 +64,6 @@ CURATED = (
     "roi_label string, name string, short_name string, transport_mode string"
 )
 
-_CURATED_COLUMNS = [column.split()[0] for column in CURATED.split(", ")]
-PASSAGE_COLUMNS = [name for name in _CURATED_COLUMNS if name not in LINE_COLUMNS]
 
 # Outcome of fetching one stop: the JSON text received, or why there is none.
 FETCH_OUTCOME = "monitoring_ref string, payload string, error string"

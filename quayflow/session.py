@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 # them: skewed rebalance partitions and skewed join partitions are split.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # of repeated JSON keys the last counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

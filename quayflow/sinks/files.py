@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from typing import Literal
 
 from pyspark.sql import DataFrame
@@ -19,21 +20,31 @@ def write_raw(raw: DataFrame, path: str) -> None:
     raw.write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
-def write_curated(curated: DataFrame, path: str, overwrite: Overwrite = "dynamic") -> None:
+def write_curated(
+    curated: DataFrame,
+    path: str,
+    overwrite: Overwrite = "static",
+    ingest_date: str | None = None,
+) -> None:
     """Overwrite the curated layer, partitioned by ingestion date and line label.
 
-    ``dynamic`` replaces only the partitions that get rows, so one date can be
-    refreshed alone; ``static`` replaces the whole path.
+    ``static`` replaces the whole path or, where all rows are of ``ingest_date``, that
+    date's folder: labels that are gone leave no rows behind. ``dynamic`` replaces only
+    the partitions that get rows.
 
     The rebalance brings the rows of a partition together, so each gets a few
     files of the advisory size instead of one from every task, and splits a
     partition beyond that size over several tasks, however hot its label is.
     """
+    partitions = CURATED_PARTITIONS
+    if ingest_date and overwrite == "static":
+        path = f"{path.rstrip('/')}/ingest_date={date.fromisoformat(ingest_date)}"
+        curated, partitions = curated.drop("ingest_date"), CURATED_PARTITIONS[1:]
     (
-        curated.hint("rebalance", *CURATED_PARTITIONS)
+        curated.hint("rebalance", *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
-        .partitionBy(*CURATED_PARTITIONS)
+        .partitionBy(*partitions)
         .parquet(path)
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
@@ -11,6 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 FORMAT = "line_protocol_http"
+# Answers of a store that is busy for now, and how often and how long to wait for it.
+BUSY = (429, 503)
+RETRIES = 6
+LONGEST_WAIT = 30.0
 
 
 @dataclass
@@ -33,6 +39,8 @@ class _LineWriter(DataSourceArrowWriter):
         self.token = options["token"]
         self.block = int(options.get("block_lines", "5000"))
         self.timeout = float(options.get("timeout_seconds", "30"))
+        first = float(options.get("first_wait_seconds", "1"))
+        self.waits = [min(first * 2**n, LONGEST_WAIT) for n in range(RETRIES)]
 
     def _post(self, lines: list[str]) -> None:
         request = urllib.request.Request(
@@ -44,9 +52,16 @@ class _LineWriter(DataSourceArrowWriter):
             },
             method="POST",
         )
-        # An error status raises and fails the task, which Spark then retries.
-        with urllib.request.urlopen(request, timeout=self.timeout):
-            pass
+        for wait in (*self.waits, None):
+            try:
+                with urllib.request.urlopen(request, timeout=self.timeout):
+                    return
+            except urllib.error.HTTPError as error:
+                # A busy store is asked again; any other error fails the task.
+                if wait is None or error.code not in BUSY:
+                    raise
+                asked = error.headers.get("Retry-After", "") if error.headers else ""
+                time.sleep(min(float(asked), LONGEST_WAIT) if asked.isdigit() else wait)
 
     def write(self, iterator: Iterator) -> LinesWritten:
         written = 0
@@ -60,7 +75,7 @@ class _LineWriter(DataSourceArrowWriter):
 
 
 class LineProtocolHttp(DataSource):
-    """Write-only source; options ``url org bucket token block_lines timeout_seconds``."""
+    """Write-only source; options ``url org bucket token block_lines timeout_seconds first_wait_seconds``."""
 
     @classmethod
     def name(cls) -> str:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.schemas import RAW
+from quayflow.schemas import CURATED, RAW
 
 
 def on_ingest_date(df: DataFrame, ingest_date: str | None) -> DataFrame:
@@ -27,7 +27,7 @@ def on_ingest_date(df: DataFrame, ingest_date: str | None) -> DataFrame:
 
 def raw_table(spark: SparkSession, path: str, ingest_date: str | None = None) -> DataFrame:
     """The raw layer, optionally one partition of it."""
-    return on_ingest_date(spark.read.parquet(path), ingest_date)
+    return on_ingest_date(spark.read.schema(RAW).parquet(path), ingest_date)
 
 
 def raw_stream(
@@ -41,8 +41,8 @@ def raw_stream(
 
 
 def curated_table(spark: SparkSession, path: str) -> DataFrame:
-    """The curated layer."""
-    return spark.read.parquet(path)
+    """The curated layer; the declared types keep a label like ``007`` text."""
+    return spark.read.schema(CURATED).parquet(path)
 
 
 def lines_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayflow.operators.metrics import (
+    HOST_TAG,
     metric_lines,
     metric_points,
     metric_time,
@@ -69,13 +70,14 @@ def start_metrics_ingest(
     topic: str,
     interval: str = DEFAULT_INTERVAL,
     available_now: bool = False,
-    processed_at: Column | None = None,
+    record_time: Column | None = None,
+    host: str = HOST_TAG,
 ) -> StreamingQuery:
     """Convert each message once and write its points; unreadable ones go aside.
 
-    The processing time is set in the streaming plan, where Spark takes it from
-    the batch's log entry: a batch that runs again after a failure gives the same
-    points. Progress is committed after the sink returns, so delivery is at least
+    A point's time comes from its record (``record_time``, by default the Kafka
+    timestamp) and offset, and its tags hold the partition, so no two records of a
+    topic share a point and a batch that runs again gives the same points. Progress is committed after the sink returns, so delivery is at least
     once, and both points and files are replaced by their repetition.
     """
     stamped = records.select(
@@ -84,7 +86,7 @@ def start_metrics_ingest(
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
-        (F.current_timestamp() if processed_at is None else processed_at).alias("processed_at"),
+        (F.col("timestamp") if record_time is None else record_time).alias("record_time"),
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -92,12 +94,14 @@ def start_metrics_ingest(
         # the cache is read again from the source at the batch's offsets.
         read = read_metrics(batch).persist()
         try:
-            time_ns = metric_time("kafka_offset", F.col("processed_at"))
+            time_ns = metric_time("kafka_offset", F.col("record_time"))
             sink(
                 MetricsBatch(
                     number=batch_id,
-                    points=metric_points(read, topic, measurement, time_ns, _RECORD),
-                    lines=metric_lines(read, topic, measurement, time_ns),
+                    points=metric_points(
+                        read, topic, measurement, time_ns, _RECORD, host=host
+                    ),
+                    lines=metric_lines(read, topic, measurement, time_ns, host=host),
                     rejected=rejected_messages(read),
                 )
             )

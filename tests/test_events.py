@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from quayflow.functions.documents import parse_json
+from quayflow.functions.documents import is_json, parse_json
 from quayflow.operators.events import build_events, fetch_counts, keyed_records, monitored_stops
 from quayflow.operators.passages import explode_visits, lift_deliveries, parse_events, passages
 from quayflow.operators.raw import to_raw
@@ -135,7 +135,12 @@ def test_raw_row(spark):
         (" [1, 2] ", True),
         ("null", True),
         ('"text"', True),
+        ('{"a": 1, "a": 2}', True),
         ('{"a": 1} tail', False),
+        ("1],[2", False),
+        ("1,2],[3", False),
+        ("{'a': 1}", False),
+        ("NaN", False),
         ('{"a": 1}{"b": 2}', False),
         ('{"a": 1}]', False),
         ('{"a": 1}}', False),
@@ -148,7 +153,13 @@ def test_raw_row(spark):
 )
 def test_whole_text_is_one_json_value(spark, text, valid):
     df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(parse_json(F.col("t")).isNotNull()).collect()[0][0] is valid
+    read = df.select(parse_json(F.col("t")).isNotNull(), is_json(F.col("t"))).collect()[0]
+    assert tuple(read) == (valid, valid)
+
+
+def test_large_payload_is_valid(spark):
+    text = F.concat(F.lit('{"a": "'), F.repeat(F.lit("x"), 21_000_000), F.lit('"}'))
+    assert spark.range(1).select(is_json(text)).first()[0] is True
 
 
 def test_build_events_and_counts(spark):

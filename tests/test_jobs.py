@@ -44,10 +44,11 @@ def test_missing_option_is_reported(job, capsys):
     assert "required" in capsys.readouterr().err
 
 
-def test_export_needs_token(capsys):
+def test_export_needs_all_settings_of_the_store(capsys):
+    given = ["--store-url", "u", "--store-org", "o", "--store-token", "t"]
     with pytest.raises(SystemExit):
-        export_points.main(["--curated", "c", "--measurement", "m"])
-    assert "token" in capsys.readouterr().err
+        export_points.main(["--curated", "c", "--measurement", "m", *given])
+    assert "needs --store-bucket" in capsys.readouterr().err
 
 
 def test_batch_jobs(spark, tmp_path, capsys):

@@ -1,5 +1,6 @@
 """The join with the line table, and the curated layer on disk."""
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -106,7 +107,7 @@ def test_write_replaces_only_its_partitions(spark, lines, tmp_path):
     assert curated_table(spark, path).count() == 6
     assert schema_of(curated_table(spark, path)) == schema_of(curated)
     first_day = on_ingest_date(curated, "2026-01-01").where("short_name = 'A'")
-    write_curated(first_day.withColumn("name", F.lit("new")), path)
+    write_curated(first_day.withColumn("name", F.lit("new")), path, "dynamic")
     names = {
         (str(row.ingest_date), row.roi_label): row.name
         for row in curated_table(spark, path).where("roi_label = 'RER A'").collect()
@@ -117,6 +118,29 @@ def test_write_replaces_only_its_partitions(spark, lines, tmp_path):
     assert curated_table(spark, path).count() == 1
 
 
+def test_refresh_leaves_no_rows_of_labels_that_are_gone(spark, lines, tmp_path):
+    curated = curated_rows(visits_of(raw_rows(spark)), lines)
+    path = str(tmp_path / "curated")
+    write_curated(curated, path)
+    whole = curated_table(spark, path).collect()
+    day = on_ingest_date(curated, "2026-01-01")
+    write_curated(day.where("roi_label = 'none left'"), path, ingest_date="2026-01-01")
+    rows = curated_table(spark, path).collect()
+    assert rows and {str(r.ingest_date) for r in rows} == {"2026-01-02"}
+    assert len(rows) == sum(str(r.ingest_date) == "2026-01-02" for r in whole)
+    write_curated(day, path, ingest_date="2026-01-01")
+    assert Counter(curated_table(spark, path).collect()) == Counter(whole)
+    write_curated(curated.where("short_name = 'A'"), path)
+    assert {r.short_name for r in curated_table(spark, path).collect()} == {"A"}
+
+
+def test_labels_that_look_like_numbers_stay_text(spark, lines, tmp_path):
+    curated = curated_rows(visits_of(raw_rows(spark)), lines)
+    path = str(tmp_path / "curated")
+    write_curated(curated.withColumn("roi_label", F.lit("007")), path)
+    assert {r.roi_label for r in curated_table(spark, path).collect()} == {"007"}
+
+
 def test_hot_partition_is_split_and_small_ones_are_not(spark, lines, tmp_path):
     """One label of one date with most rows: several tasks write it, none of the others."""
     row = curated_rows(visits_of(raw_rows(spark, ["2026-01-01"])), lines).where("name = 'A'")

@@ -45,7 +45,7 @@ def expected(name, value):
 
 def read(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "offset bigint, value string")
-    return read_metrics(df)
+    return read_metrics(df.withColumn("kafka_partition", F.lit(0)))
 
 
 def points(spark, read_frame):
@@ -119,11 +119,17 @@ def test_message_without_fields_gives_nothing(spark, text):
 def test_lines(spark):
     text = '{"clusterMetrics": {"totalMB": 2.9, "utilizedMBPercent": "nan", "appsRunning": true}}'
     (row,) = metric_lines(read(spark, [text]), "topic", "m", F.lit(5)).collect()
-    assert row.line == "m,rm_host=master,source=yarn_rm,topic=topic totalMB=2i,appsRunning=true 5"
-
-
-def test_neighbours_of_a_batch_have_different_times(spark):
-    frame = read(spark, ['{"clusterMetrics": {"totalMB": 1}}'] * 1000)
-    rows = metric_points(frame, "topic", "m", metric_time("offset"))
-    assert rows.select("time_ns").distinct().count() == 1000
-    assert rows.select(F.expr("time_ns div 1000")).distinct().count() == 1
+    assert row.line == "m,partition=0,rm_host=master,source=yarn_rm,topic=topic totalMB=2i,appsRunning=true 5"
+
+
+def test_records_of_one_millisecond_have_points_of_their_own(spark):
+    """1,001 offsets in each of two partitions, all at one time."""
+    frame = read(spark, ['{"clusterMetrics": {"totalMB": 1}}'] * 2002).withColumns(
+        {"partition": F.expr("int(offset div 1001)"), "offset": F.expr("offset % 1001")}
+    )
+    at = F.lit("2026-01-01 00:00:00.123456").cast("timestamp")
+    rows = metric_points(frame, "topic", "m", metric_time("offset", at), partition="partition")
+    assert rows.select("partition", "time_ns").distinct().count() == 2002
+    assert rows.select(F.expr("time_ns div 1000000")).distinct().count() == 1
+    lines = metric_lines(frame, "topic", "m", metric_time("offset", at), "partition")
+    assert lines.distinct().count() == 2002

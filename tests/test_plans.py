@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from quayflow.operators.metrics import metric_points, read_metrics, rejected_messages
 from quayflow.operators.passages import visits_of
+from quayflow.plans.catalogue import QUERIES
 from quayflow.plans.curated import curated_rows
 from quayflow.plans.star_events import part_lines, raw_layer
 from quayflow.sources.tables import raw_table
@@ -19,7 +20,7 @@ def plan(df, mode="formatted"):
     )
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(driver.queries()[name](spark, sf_dir))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -67,7 +68,7 @@ def test_date_prunes_partitions_and_columns(spark, sf_dir):
 
 @pytest.mark.parametrize("output", ["points", "rejected"])
 def test_metrics_are_parsed_once(spark, output):
-    messages = spark.range(10).select(F.col("id").cast("string").alias("value"))
+    messages = spark.range(10).select(F.col("id").cast("string").alias("value"), F.lit(0).alias("kafka_partition"))
     read = read_metrics(messages)
     points = metric_points(read, "t", "m", F.lit(1))
     result = points if output == "points" else rejected_messages(read)
@@ -78,3 +79,11 @@ def test_metrics_are_parsed_once(spark, output):
 def test_observed_lines_reduce_before_the_shuffle(spark, sf_dir):
     text = plan(driver.queries()["lines_observed"](spark, sf_dir), "simple")
     assert text.count("HashAggregate") == 2
+    assert text.count("from_json") == 1
+    assert "ExpectedDepartureTime" not in text
+
+
+def test_layer_counts_parse_once_for_each_layer(spark, sf_dir):
+    text = plan(driver.queries()["layer_counts"](spark, sf_dir), "simple")
+    assert len(set(re.findall(r"from_json\(", text))) <= 1
+    assert text.count("from_json") <= 2  # in the plan before and after adaptive execution

@@ -118,15 +118,53 @@ def test_kpi_ready_and_counts(spark):
 @pytest.mark.parametrize("text", [False, True])
 def test_export_to_files(spark, tmp_path, text):
     layer, out = str(tmp_path / "curated"), str(tmp_path / "points")
-    curated(spark, {}, {"expected_departure_time": None}, {"kafka_offset": 8}).write.parquet(layer)
+    far = {"expected_departure_time": datetime(9999, 12, 31)}
+    none = {"expected_departure_time": None}
+    curated(spark, {}, none, {"kafka_offset": 8}, far).write.parquet(layer)
 
     def write(points):
         write_lines(line_protocol(points), out) if text else write_points(points, out)
 
-    assert export_points(spark, layer, "m", write) == 2
+    assert export_points(spark, layer, "m", write) == (2, 1)
     assert (spark.read.text(out) if text else spark.read.parquet(out)).count() == 2
 
 
+def test_times_beyond_nanoseconds_have_no_point(spark):
+    far = [datetime(9999, 12, 31), datetime(1600, 1, 1), datetime(2262, 1, 1)]
+    df = curated(spark, *[{"expected_departure_time": time} for time in far])
+    points = to_points(df, "m")
+    assert [row.time_ns is None for row in points.collect()] == [True, True, False]
+    assert line_protocol(points).count() == 1
+
+
+def test_one_line_and_one_separator_whatever_the_text(spark):
+    df = curated(spark, {"roi_label": "Stop\\", "line_ref": "two\nlines", "short_name": "a\rb"})
+    (row,) = line_protocol(to_points(df, "m,n o")).collect()
+    assert "\n" not in row.line and "\r" not in row.line
+    assert row.line.startswith("m\\,n\\ o,")
+    assert "roi_label=Stop\\ ,short_name=a\\rb " in row.line
+    assert 'line_ref="two\\nlines"' in row.line
+
+
+def test_busy_store_is_asked_again(monkeypatch):
+    waits, answers = [], [429, 503, None, 400]
+
+    def opener(request, timeout):
+        code = answers.pop(0)
+        if code:
+            raise point_store.urllib.error.HTTPError(request.full_url, code, "", {}, None)
+        return Answer()
+
+    monkeypatch.setattr(point_store.urllib.request, "urlopen", opener)
+    monkeypatch.setattr(point_store.time, "sleep", waits.append)
+    writer = point_store._LineWriter({"url": "http://store", "org": "o", "bucket": "b", "token": "t"})
+    writer._post(["x"])
+    assert waits == [1, 2] and answers == [400]
+    with pytest.raises(point_store.urllib.error.HTTPError):
+        writer._post(["x"])
+    assert len(waits) == 2
+
+
 def test_token_is_required(spark):
     with pytest.raises(ValueError, match="token"):
         point_store.post_lines(spark.range(0), url="u", org="o", bucket="b", token="")

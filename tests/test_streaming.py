@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayflow.operators.lines import join_lines, roi_only
 from quayflow.operators.passages import project_passages, visits_of
+from quayflow.plans import catalogue
 from quayflow.plans.curated import curated_rows
 from quayflow.schemas import KAFKA_RECORD, LINE_COLUMNS
 from quayflow.sources.kafka import kafka_options
@@ -182,3 +183,14 @@ def test_kafka_options():
     assert (more["maxOffsetsPerTrigger"], more["minPartitions"]) == ("5", "8")
     with pytest.raises(ValueError):
         kafka_options("a:1", "t", starting="now")
+
+
+def test_table_stream_reads_a_file_and_a_folder_alike(spark, sf_dir, tmp_path):
+    """The driver's tables are one file or a folder of part files."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    for query in ("stream_raw", "stream_metrics"):
+        one = catalogue.QUERIES[query](spark, sf_dir)
+        many = catalogue.QUERIES[query](spark, str(tmp_path))
+        assert one.count() > 0
+        assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
