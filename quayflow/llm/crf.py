@@ -57,7 +57,7 @@ class Crf:
 
 def token_features(word: str) -> list[str]:
     """The word without signs around it, its beginnings and its end."""
-    core = word[:64].lower().strip(_SIGNS)
+    core = word.lower().strip(_SIGNS)
     out = ["w" + core]
     out += [f"b{core[:n]}" for n in (4, 5, 6) if len(core) > n]
     if len(core) > 5:

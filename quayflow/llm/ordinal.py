@@ -50,7 +50,7 @@ class OrdinalModel:
 def word_features(word: str) -> tuple[str, ...]:
     """The word, its shape (letters by case, digits, signs) and its last two characters."""
     letters = "A" if word.isupper() and len(word) > 1 else "a"
-    shape = _CLASSES[1][0].sub("9", _CLASSES[0][0].sub(letters, word[:64]))
+    shape = _CLASSES[1][0].sub("9", _CLASSES[0][0].sub(letters, word))
     return "w" + word.lower(), "s" + shape, "e" + word[-2:]
 
 

@@ -33,7 +33,7 @@ from quayflow.llm.blocks import blocks, column, mix, texts
 
 SMOOTH = 10
 BYTE_RANK = 1 << 16
-BLOCK = 2 << 20
+BLOCK = 4 << 20
 BLANK = "▁"
 SEED = 7
 ROWS = (
@@ -85,6 +85,9 @@ class Vocabulary:
         self.piece = np.array([*(spread[h] for h in sorted(spread)), -1], np.int32)
         slots = (self.begins[:-1] >> np.uint64(48)).astype(np.int64)
         self.slot = np.searchsorted(slots, np.arange(1 << 16)).astype(np.int32)
+        self.pool = np.frombuffer(b"".join(self.decoded), np.uint8)
+        self.pool_length = np.array([len(d) for d in self.decoded], np.int32)
+        self.pool_start = np.cumsum(self.pool_length, dtype=np.int32) - self.pool_length
         self.weight = weight
         self.byte_weight = -np.log(BYTE_RANK + SMOOTH)
 
@@ -488,7 +491,7 @@ def _sample(path: str, k: int, seed: int, decode: bool):
                     "pieces": pa.array([pieces[r].astype(width).tobytes() for r in rows], pa.binary()),
                 }
                 if decode:
-                    columns["decoded"] = pa.array([decode_pieces(pieces[r], v) for r in rows], pa.string())
+                    columns["decoded"] = pa.array(decode_pieces([pieces[r] for r in rows], v), pa.string())
                 yield pa.RecordBatch.from_pydict(columns)
 
     return sample
@@ -510,10 +513,19 @@ def sampled_segmentations(
     return docs.mapInArrow(_sample(model_path, k, seed, decode), rows)
 
 
-def decode_pieces(ids: np.ndarray, v: Vocabulary) -> str:
-    """The text of piece ids; bytes that are no character become U+FFFD."""
-    raw = b"".join(map(v.decoded.__getitem__, ids.tolist()))
-    return raw.removeprefix(b" ").decode("utf-8", "replace")
+def decode_pieces(pieces: list[np.ndarray], v: Vocabulary) -> list[str]:
+    """The texts of lists of piece ids; bytes that are no character become U+FFFD."""
+    if not pieces:
+        return []
+    ids = np.concatenate(pieces).astype(np.int32)
+    length = v.pool_length[ids]
+    ends = np.cumsum(length, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    source = np.repeat(v.pool_start[ids] - (ends - length), length) + np.arange(total)
+    raw = v.pool[source].tobytes()
+    text_ends = np.concatenate([[0], ends])[np.cumsum([len(p) for p in pieces])].tolist()
+    cut = (raw[a:b] for a, b in zip([0, *text_ends[:-1]], text_ends, strict=True))
+    return [text.removeprefix(b" ").decode("utf-8", "replace") for text in cut]
 
 
 def decoded(pieces: Column, model_path: str) -> Column:
@@ -522,7 +534,7 @@ def decoded(pieces: Column, model_path: str) -> Column:
     def decode(values: pa.Array) -> pa.Array:
         v = vocabulary(model_path)
         width = np.uint16 if v.size <= 1 << 16 else np.uint32
-        out = [None if x is None else decode_pieces(np.frombuffer(x, width), v) for x in values.to_pylist()]
-        return pa.array(out, pa.string())
+        given = [np.frombuffer(x or b"", width) for x in values.to_pylist()]
+        return pa.array(decode_pieces(given, v), pa.string(), mask=values.is_null().to_numpy(False))
 
     return F.arrow_udf(decode, "string")(pieces)
