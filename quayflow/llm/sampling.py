@@ -33,7 +33,7 @@ from quayflow.llm.blocks import blocks, column, mix, texts
 
 SMOOTH = 10
 BYTE_RANK = 1 << 16
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 BLANK = "▁"
 SEED = 7
 ROWS = (
@@ -41,7 +41,6 @@ ROWS = (
     "log_inclusion double, pieces binary"
 )
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _LEAST_MASS = 1e-9
 
@@ -171,8 +170,8 @@ class Lattice:
         self.share = np.exp(self.mass[self.source] + self.weight - self.mass[end])
         self.cut = np.zeros(n_states + 1, np.int32)
         np.cumsum(np.bincount(end, minlength=n_states), out=self.cut[1:])
-        total = np.cumsum(self.share)
-        self.running = total - np.concatenate([[0.0], total])[self.cut[:-1]][end]
+        self.running = np.cumsum(self.share)
+        self.running -= np.concatenate([[0.0], self.running])[self.cut[:-1]][end]
         # the last edge of a state takes what rounding leaves
         self.running[self.cut[1:][np.diff(self.cut) > 0] - 1] = 2.0
 
@@ -180,17 +179,17 @@ class Lattice:
         """Log mass of the paths to each state, one character after the other."""
         longest = int(relative.max(initial=0))
         by_step = np.argsort(relative.astype(np.uint16 if longest < 1 << 16 else np.int64), kind="stable")
-        ends, sources, weights = end[by_step], self.source[by_step], self.weight[by_step]
-        heads = np.flatnonzero(np.diff(ends, prepend=-1))
-        lengths = np.diff(np.append(heads, len(ends)))
-        steps = np.searchsorted(relative[by_step], np.arange(1, longest + 2))
-        head_steps = np.searchsorted(heads, steps)
-        for a, b, c, d in zip(steps[:-1], steps[1:], head_steps[:-1], head_steps[1:], strict=True):
-            value = self.mass[sources[a:b]] + weights[a:b]
-            own = heads[c:d] - a
-            top = np.maximum.reduceat(value, own)
-            total = np.add.reduceat(np.exp(value - np.repeat(top, lengths[c:d])), own)
-            self.mass[ends[heads[c:d]]] = top + np.log(total)
+        steps = np.concatenate([[0], np.cumsum(np.bincount(relative, minlength=longest + 1))])
+        for a, b in zip(steps[1:-1], steps[2:], strict=True):
+            edges = by_step[a:b]
+            if not len(edges):
+                continue
+            value = self.mass[self.source[edges]] + self.weight[edges]
+            ends = end[edges]
+            heads = np.flatnonzero(np.diff(ends, prepend=-1))
+            top = np.maximum.reduceat(value, heads)
+            value -= np.repeat(top, np.diff(np.append(heads, len(ends))))
+            self.mass[ends[heads]] = top + np.log(np.add.reduceat(np.exp(value), heads))
 
     def sample(self, unit: np.ndarray, keys: np.ndarray):
         """Draw a path for each of ``unit``: edges in reverse, as (row, step, edge) arrays."""
@@ -383,7 +382,7 @@ class Sampler:
             node.add(segmentation)
         # units before the leaving one are the parent's, those after it are fresh
         lengths = np.array([len(o) for o in other], np.int64)
-        pool = [path.edges for path in paths] + [fresh.edges, np.array([e for o in other for e in o], np.int64)]
+        pool = [path.edges for path in paths] + [fresh.edges, np.array([e for o in other for e in o], np.int32)]
         offsets = np.cumsum([0, *map(len, pool)])
         source = fresh.starts + offsets[-3]
         count = fresh.ends - fresh.starts
@@ -453,20 +452,21 @@ def _below(mass: np.ndarray, most: np.ndarray, uniform: np.ndarray) -> np.ndarra
 
 
 def _unit_hashes(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    up = np.full(len(codes), _BASE)
-    down = np.full(len(codes), _BACK)
-    up[0] = down[0] = 1
-    up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(codes.astype(np.uint64)) * up)])
-    own = (sums[starts + lengths] - sums[starts]) * down[starts]
-    return mix(own ^ mix(lengths.astype(np.uint64)))
+    """Hash of each unit's characters, one character of all units after the other."""
+    out = mix(lengths.astype(np.uint64))
+    active, n = np.arange(len(starts)), 0
+    while len(active):
+        out[active] = out[active] * _BASE + codes[starts[active] + n]
+        n += 1
+        active = active[lengths[active] > n]
+    return mix(out)
 
 
-def _sample(path: str, k: int, seed: int, decode: bool):
+def _sample(path: str, k: int, seed: int, decode: bool, size: int):
     def sample(batches):
         v = vocabulary(path)
         width = np.uint16 if v.size <= 1 << 16 else np.uint32
-        for table in blocks(batches, size=BLOCK):
+        for table in blocks(batches, size=size):
             ids = column(table, "doc_id")
             keys = np.array(
                 [xxhash.xxh64_intdigest(str(i), seed) for i in ids.to_pylist()], np.uint64
@@ -498,7 +498,12 @@ def _sample(path: str, k: int, seed: int, decode: bool):
 
 
 def sampled_segmentations(
-    docs: DataFrame, model_path: str, k: int = 2, seed: int = SEED, decode: bool = False
+    docs: DataFrame,
+    model_path: str,
+    k: int = 2,
+    seed: int = SEED,
+    decode: bool = False,
+    block_bytes: int = BLOCK,
 ) -> DataFrame:
     """Up to ``k`` distinct segmentations of each row of ``docs(doc_id, text)``, best first.
 
@@ -506,11 +511,12 @@ def sampled_segmentations(
     above 65,536); ``log_prob`` is the segmentation's, ``perturbed`` its Gumbel value and
     ``log_inclusion`` the log probability of being among the k, given the k + 1st value.
     ``decode`` adds ``decoded``, the text that the pieces give again.
+    ``block_bytes`` of text are searched at once; a task needs some 120 times as many bytes.
     ``model_path`` names a sentencepiece model on every machine.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = ROWS + ", decoded string" if decode else ROWS
-    return docs.mapInArrow(_sample(model_path, k, seed, decode), rows)
+    return docs.mapInArrow(_sample(model_path, k, seed, decode, block_bytes), rows)
 
 
 def decode_pieces(pieces: list[np.ndarray], v: Vocabulary) -> list[str]:
