@@ -15,15 +15,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     options = parser(
         __doc__, "stop-catalogue", "line-catalogue", "raw", "stop-output", "line-output"
     )
+    options.add_argument("--line-selection", help="CSV of line_id and roi_label")
     options.add_argument("--whole-words", action="store_true")
     args = options.parse_args(argv)
     spark = build_session("prepare references")
     stops = stop_reference(stops_csv(spark, args.stop_catalogue), whole_words=args.whole_words)
     stops.write.mode("overwrite").option("header", True).option("escape", '"').csv(args.stop_output)
+    selection = lines_csv(spark, args.line_selection) if args.line_selection else None
     lines = line_reference(
-        lines_csv(spark, args.line_catalogue), line_refs_of(raw_table(spark, args.raw))
+        lines_csv(spark, args.line_catalogue), line_refs_of(raw_table(spark, args.raw)), selection
     )
-    lines.write.mode("overwrite").option("header", True).csv(args.line_output)
+    lines.write.mode("overwrite").option("header", True).option("escape", '"').csv(args.line_output)
 
 
 if __name__ == "__main__":

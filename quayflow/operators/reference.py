@@ -69,6 +69,15 @@ def identify_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def select_lines(lines: DataFrame, selection: DataFrame) -> DataFrame:
+    """The lines of ``selection(line_id, roi_label)`` with their label.
+
+    A line with several labels gives a row for each, a label repeated for a line one.
+    """
+    chosen = selection.select("line_id", "roi_label").where("roi_label IS NOT NULL").distinct()
+    return lines.drop("roi_label").join(chosen, "line_id")
+
+
 def observed_lines(lines: DataFrame, passages: DataFrame) -> DataFrame:
     """Lines whose reference occurs in the real-time data.
 

@@ -43,7 +43,9 @@ from quayflow.operators.points import (
 from quayflow.operators.raw import to_raw
 from quayflow.operators.reference import identify_stops, observed_lines, select_roi_stops
 from quayflow.plans.curated import curated_rows, enriched_rows, refresh_curated
+from quayflow.plans.export import export_points
 from quayflow.plans.publish import publish_counts, stop_events
+from quayflow.plans.references import line_reference
 from quayflow.plans.star_events import (
     METRICS_TOPIC,
     event_records,
@@ -56,8 +58,8 @@ from quayflow.plans.star_events import (
 )
 from quayflow.schemas import LINE_COLUMNS
 from quayflow.session import scratch_path
-from quayflow.sinks.files import write_curated, write_lines, write_raw
-from quayflow.sources.tables import curated_table, raw_table
+from quayflow.sinks.files import write_curated, write_lines, write_points, write_raw
+from quayflow.sources.tables import curated_table, raw_table, stops_csv
 from quayflow.streaming.control import wait
 from quayflow.streaming.metrics_ingest import file_sink, start_metrics_ingest
 from quayflow.streaming.raw_ingest import start_raw_ingest
@@ -189,6 +191,36 @@ def publish_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_counts(stops, stop_events(stops, _outcomes(spark, sf_dir), "star.customer"))
 
 
+def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a run share one ingestion time and date."""
+    rows = to_raw(event_records(table(spark, sf_dir, "events")))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("ingest_ts").alias("n_times"),
+        F.count_distinct("ingest_date").alias("n_dates"),
+    )
+
+
+def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts again with its checkpoint adds nothing."""
+    path, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
+    counts = []
+    for _ in range(2):
+        query = start_raw_ingest(
+            event_records(_table_stream(spark, sf_dir, "events")),
+            path,
+            checkpoint,
+            available_now=True,
+            ingest_ts=F.col("timestamp"),
+        )
+        wait(query)
+        counts.append(raw_table(spark, path).count())
+    first, second = (F.lit(n).cast("bigint") for n in counts)
+    return row_count(raw_table(spark, path)).select(
+        first.alias("first_run"), second.alias("second_run"), F.col("rows").alias("n_rows")
+    )
+
+
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = table(spark, sf_dir, "orders").select(
         F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey").cast("string")).alias(
@@ -347,6 +379,19 @@ def point_tags_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(spark, sf_dir).select("measurement", "tags.*", "fields.*", "time_ns")
 
 
+def export_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the export reports, and the points and insertion times that it wrote."""
+    path = scratch_path(spark, "points")
+    counts = export_points(
+        spark, curated_layer(spark, sf_dir), "passages", lambda points: write_points(points, path)
+    )
+    return spark.read.parquet(path).agg(
+        F.lit(counts.points).cast("bigint").alias("n_reported"),
+        F.count(F.lit(1)).alias("n_written"),
+        F.count_distinct(f"fields.{INSERTED_AT_FIELD}").alias("n_stamps"),
+    )
+
+
 def point_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_protocol(_points(spark, sf_dir))
 
@@ -457,6 +502,27 @@ def roi_match_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_roi_stops(parts, PART_KEYWORDS, name="p_name", whole_words=True).drop("p_name")
 
 
+def stops_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as a stop table in CSV, with quotes and line breaks in the names."""
+    path = scratch_path(spark, "stops")
+    name = F.concat(F.lit('"'), F.col("s_name"), F.lit('",\nné'))
+    stops = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"),
+        F.when(F.col("s_suppkey") % 3 > 0, name).otherwise(F.col("s_name")).alias("name"),
+        F.when(F.col("s_suppkey") % 4 > 0, F.col("s_nationkey").cast("string")).alias("town"),
+    )
+    stops.write.option("header", True).option("escape", '"').csv(path)
+    return stops_csv(spark, path)
+
+
+def line_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as lines, those up to size 25 selected by a table of labels."""
+    parts = part_lines(spark, sf_dir)
+    selection = parts.select("line_id", "roi_label")
+    reference = line_reference(parts, line_refs_of(_raw(spark, sf_dir)), selection)
+    return reference.select("line_id", "siri_line_ref", "roi_label")
+
+
 def lines_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = part_lines(spark, sf_dir)
     refs = line_refs_of(_raw(spark, sf_dir))
@@ -501,4 +567,9 @@ QUERIES: dict[str, Query] = {
     "roi_match": roi_match,
     "roi_match_words": roi_match_words,
     "lines_observed": lines_observed,
+    "line_selection": line_selection,
+    "stops_roundtrip": stops_roundtrip,
+    "run_stamps": run_stamps,
+    "ingest_twice": ingest_twice,
+    "export_counts": export_counts,
 }

@@ -342,6 +342,23 @@ FROM documents
     "roi_match": _KEYWORDS + "contains(name_norm, keyword)",
     "roi_match_words": _KEYWORDS
     + "contains(' ' || name_norm || ' ', ' ' || keyword || ' ')",
+    "line_selection": _VISITS
+    + """SELECT line_id, siri_line_ref, roi_label FROM lines WHERE roi_label IS NOT NULL
+         AND EXISTS (SELECT 1 FROM passages WHERE line_ref = siri_line_ref)""",
+    "stops_roundtrip": """
+SELECT CAST(s_suppkey AS VARCHAR) AS id,
+       CASE WHEN s_suppkey % 3 > 0 THEN '"' || s_name || '",' || chr(10) || 'né' ELSE s_name END
+         AS name,
+       CASE WHEN s_suppkey % 4 > 0 THEN CAST(s_nationkey AS VARCHAR) END AS town
+FROM supplier
+""",
+    "run_stamps": """SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_times,
+                     CAST(1 AS BIGINT) AS n_dates FROM events""",
+    "ingest_twice": """SELECT count(*) AS first_run, count(*) AS second_run, count(*) AS n_rows
+                       FROM events""",
+    "export_counts": _VISITS
+    + """SELECT count(*) AS n_reported, count(*) AS n_written, CAST(1 AS BIGINT) AS n_stamps
+         FROM kpi""",
     "lines_observed": _VISITS
     + """SELECT line_id, siri_line_ref, name FROM lines
          WHERE EXISTS (SELECT 1 FROM passages WHERE line_ref = siri_line_ref)""",

@@ -11,6 +11,7 @@ from quayflow.operators.reference import (
     identify_lines,
     identify_stops,
     observed_lines,
+    select_lines,
     select_roi_stops,
 )
 
@@ -31,6 +32,13 @@ def stop_reference(
     )
 
 
-def line_reference(catalogue: DataFrame, passages: DataFrame) -> DataFrame:
-    """Catalogue lines with their real-time reference, as far as it was observed."""
-    return observed_lines(identify_lines(catalogue), passages)
+def line_reference(
+    catalogue: DataFrame, passages: DataFrame, selection: DataFrame | None = None
+) -> DataFrame:
+    """Catalogue lines with their real-time reference, as far as it was observed.
+
+    ``selection(line_id, roi_label)`` names the lines of the region and their labels,
+    which the curated job needs unless the catalogue already has them.
+    """
+    lines = catalogue if selection is None else select_lines(catalogue, selection)
+    return observed_lines(identify_lines(lines), passages)

@@ -46,8 +46,8 @@ def curated_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lines_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Line reference table: names from the header, every column text."""
-    return spark.read.option("header", True).csv(path)
+    """Line reference table: names from the header, every column text, quotes doubled."""
+    return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
 def stops_csv(spark: SparkSession, path: str) -> DataFrame:

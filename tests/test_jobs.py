@@ -86,6 +86,14 @@ def test_prepare_references(spark, tmp_path):
     assert (stop.name, stop.siri_monitoring_ref) == ('Auber "A"', "STIF:StopPoint:Q:1:")
     (line,) = lines_csv(spark, out[1]).collect()
     assert line.siri_line_ref == "STIF:Line::C1:"
+    chosen = tmp_path / "chosen.csv"
+    chosen.write_text("line_id,roi_label\nFR1:Line:C1:,Rail A\nFR1:Line:C1:,Rail A\n")
+    prepare_references.main(
+        ["--stop-catalogue", str(stops), "--line-catalogue", str(lines), "--raw", raw]
+        + ["--stop-output", out[0], "--line-output", out[1], "--line-selection", str(chosen)]
+    )
+    (line,) = lines_csv(spark, out[1]).collect()
+    assert (line.roi_label, line.siri_line_ref) == ("Rail A", "STIF:Line::C1:")
 
 
 def test_scratch_is_in_the_shared_folder(spark):
