@@ -174,7 +174,19 @@ def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_raw(lineitem_records(lineitem), F.col("ingested"))
 
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple, str] = {}
+
+
+def _files_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells the input files of the layers from rewritten ones."""
+    found = []
+    for name in ("lineitem", "part"):
+        files = table(spark, sf_dir, name).select(
+            "_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size"
+        )
+        file = F.xxhash64("file_path", "file_modification_time", "file_size")
+        found.append(files.distinct().agg(F.bit_xor(file).alias("files")).first()["files"])
+    return tuple(found)
 
 
 def stored_layer(
@@ -183,9 +195,10 @@ def stored_layer(
     """Path of a layer, written on first use by this application.
 
     The pipeline keeps its layers as tables, and so do the queries on it: each starts
-    from the layer below its own and does not build that one again.
+    from the layer below its own and does not build that one again. Input files that
+    were rewritten since give a layer of their own.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name, *_files_of(spark, sf_dir))
     if key not in _written:
         path = scratch_path(spark, name)
         write(path)

@@ -87,3 +87,15 @@ def test_layer_counts_parse_once_for_each_layer(spark, sf_dir):
     text = plan(driver.queries()["layer_counts"](spark, sf_dir), "simple")
     assert len(set(re.findall(r"from_json\(", text))) <= 1
     assert text.count("from_json") <= 2  # in the plan before and after adaptive execution
+
+
+def test_layers_follow_their_input_files(spark, sf_dir, tmp_path):
+    def rewrite(n):
+        for name in ("lineitem", "part"):
+            rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").limit(n)
+            rows.write.mode("overwrite").parquet(str(tmp_path / f"{name}.parquet"))
+
+    rewrite(10)
+    assert raw_table(spark, raw_layer(spark, str(tmp_path))).count() == 10
+    rewrite(20)
+    assert raw_table(spark, raw_layer(spark, str(tmp_path))).count() == 20
