@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from test_simhash import expected as simhash_groups
 from test_suffixes import brute
@@ -79,3 +80,32 @@ def test_segmentation(stages):
 def test_run_equals_the_stages(spark, sf_dir, stages):
     key = lambda df: Counter((r.doc_id, r.sample, bytes(r.pieces)) for r in df.collect())
     assert key(corpus_pipeline.run(spark, sf_dir)) == key(stages[5])
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_rows_and_clashing_columns(spark, sf_dir, tmp_path, empty):
+    """Names that the operators use inside are ordinary columns here."""
+    extra = ["kept", "size", "key", "tie", "copies", "taken", "repeats", "component_id", "sample", "block"]
+    rows = [
+        (1, None, None, "s", None),
+        (2, "", "en", None, 0),
+        (3, "one two three", "en", "s", 13),
+        (3, "one two three", "en", "s", 13),
+        (None, "no id here", "en", "s", 10),
+        (5, "w " * 30_000, "en", "t", 60_000),
+        (6, " ".join(f"word{i * i % 997}" for i in range(400)), "en", "t", 9),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows[: 0 if empty else None], schema)
+    for name in extra:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}:"), F.coalesce("text", F.lit("-"))))
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, sf_dir)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        out.write.parquet(str(tmp_path / name))
+        out = spark.read.parquet(str(tmp_path / name))
+        before = {(r.doc_id, *(r[n] for n in extra)) for r in docs.collect()}
+        assert {(r.doc_id, *(r[n] for n in extra)) for r in out.collect()} <= before
+    last = corpus_pipeline.segmented(spark, out, sf_dir)
+    assert (last.count() == 0) is empty
