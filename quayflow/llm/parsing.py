@@ -31,7 +31,7 @@ from quayflow.llm.blocks import blocks, column, mix, pack, text_bytes, texts, un
 
 BINS = 64
 LEVEL = 2
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
 LEAST_RANGES = 64
 SLICE = 1 << 19  # code points parsed at once
 MESSAGE = "part int, tail boolean, message binary"

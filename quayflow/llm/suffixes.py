@@ -37,7 +37,7 @@ OFTEN = 4096  # anchors that occur more often are divided by a second one
 SLICE = 1 << 19
 PIECE = 1 << 22
 SHARD = 1 << 20
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 MESSAGE = "block string, bucket int, message binary"
 
 _BYTE = mix(np.arange(1, 257).astype(np.uint64))
@@ -511,19 +511,21 @@ def _cut(names: list[str]):
         data, ends = _load(corpus.column("message")[0].as_py())
         rest = pa.ipc.open_stream(corpus.column("rest")[0].as_py()).read_all()
         found = [unpack(message.as_py()) for message in marks.column("message")]
-        change = np.zeros(len(data) + 1, np.int64)
-        if found:
-            first, last = (np.concatenate(part) for part in zip(*found, strict=True))
-            change += np.bincount(first, minlength=len(change))
-            change -= np.bincount(last, minlength=len(change))
-        gone = np.cumsum(change[:-1]) > 0
+        change = np.zeros(len(data) + 1, np.int32)
+        for first, last in found:
+            np.add.at(change, first, 1)
+            np.add.at(change, last, -1)
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        del change, found
         starts = np.concatenate([[0], ends[:-1]])
-        sums = np.concatenate([[0], np.cumsum(gone)])
+        sums = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(gone, out=sums[1:])
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         opening = starts[starts < len(data)]
         begins[opening] = gone[opening]
-        spans = np.concatenate([[0], np.cumsum(begins)])
+        spans = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(begins, out=spans[1:])
         raw = data[~gone].tobytes()
         kept_ends = (ends - sums[ends]).tolist()
         kept = [raw[a:b] for a, b in zip([0, *kept_ends], kept_ends, strict=False)]
@@ -532,9 +534,9 @@ def _cut(names: list[str]):
         columns["text"] = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
         columns["repeats"] = pa.StructArray.from_arrays(
             [
-                pa.array(ends - starts),
-                pa.array(sums[ends] - sums[starts]),
-                pa.array(spans[ends] - spans[starts]),
+                pa.array(ends - starts, pa.int64()),
+                pa.array(sums[ends] - sums[starts]).cast(pa.int64()),
+                pa.array(spans[ends] - spans[starts]).cast(pa.int64()),
                 pa.array(kept, pa.binary()),
             ],
             ["n_bytes", "n_removed", "n_spans", "kept"],
