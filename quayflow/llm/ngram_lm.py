@@ -375,7 +375,9 @@ def katz_scores(docs: DataFrame, order: int = 2, block_bytes: int = BLOCK) -> Da
     corpus = stored_by(corpus, "corpus", "block", n_buckets)
     n_docs = docs.filter(~F.col("held_out")).count()
     totals: dict = {"docs": n_docs, "tokens": 0, "words": 0, "discounts": {}}
-    known = corpus.select(F.lit(0).alias("level"), "block", "bucket", "message").filter("false")
+    known = corpus.sparkSession.range(0).selectExpr(
+        "0 AS level", "'' AS block", "0 AS bucket", "CAST('' AS binary) AS message"
+    )
     for level in range(1, order + 1):
         by_block = known.groupBy("block")
         asking = _asking(level, n_buckets, dict(totals))
