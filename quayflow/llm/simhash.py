@@ -231,12 +231,14 @@ def hexadecimal(name: str) -> Column:
     return F.lpad(F.lower(F.hex(name)), 16, "0")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` whose id names their group, one row for each group.
 
-    Rows without an id are kept unless a row with an id is in their group.
+    ``groups`` has ``doc_id, component_id`` for each row; by default it is
+    ``near_duplicates``. Rows without an id are kept unless a row with an id is in their
+    group.
     """
-    groups = near_duplicates(docs)
+    groups = near_duplicates(docs) if groups is None else groups
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
     ranked = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
