@@ -4,7 +4,9 @@ Every window of ``LENGTH`` bytes is assigned to one anchor in it, the leftmost s
 hash among its ``GRAM``-byte strings. Equal windows have equal anchors, so a window can
 only repeat if its anchor does; anchors are counted over the corpus and the text around
 repeated ones (the run of windows of that anchor) is dealt to the anchors' buckets, equal
-texts of a block once. Anchors that occur very often are divided by a second one.
+texts of a block once. Around anchors that occur very often no texts are gathered: their
+windows are counted one by one, by a 96-bit hash that a block sends once for each window,
+so what a task gets does not grow with the surroundings of a common passage.
 
 A bucket's distinct texts form shards. A shard's suffix array is made by induced sorting:
 suffixes are classified, leftmost-smaller (LMS) substrings are sorted by inducing and
@@ -33,7 +35,7 @@ from quayflow.llm.token_counts import bucket_count
 
 LENGTH = 400
 GRAM = 128
-OFTEN = 4096  # anchors that occur more often are divided by a second one
+OFTEN = 4096  # windows of anchors that occur more often are counted by their hashes
 SLICE = 1 << 19
 PIECE = 1 << 22
 SHARD = 1 << 20
@@ -68,11 +70,8 @@ def _smallest(order: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def _anchored(data: np.ndarray, ends: np.ndarray, often, length: int, gram: int):
-    """Runs of windows with one anchor: key, anchor, first window, last window.
-
-    ``often`` tells which anchors are divided by a second one, which changes their key.
-    """
+def _anchored(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
+    """Runs of windows with one anchor: anchor, its place, first window, last window."""
     up, down = _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
@@ -89,19 +88,12 @@ def _anchored(data: np.ndarray, ends: np.ndarray, often, length: int, gram: int)
     )
     window = np.flatnonzero(np.cumsum(opened[:-1]))
     at = at[window]
-    anchor = key = hashed[at]
-    at <<= 24
-    if often is not None and (hot := often(anchor)).any():
-        second = mix(hashed ^ np.uint64(0x5851F42D4C957F2D))
-        other = (_smallest(second & ~low | place, width) & low).astype(np.int64)[window]
-        key = np.where(hot, mix(anchor ^ second[other]), anchor)
-        at += np.where(hot, other, 0)
     first = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(window, prepend=-2) != 1))
     last = np.append(first[1:], len(window))[: len(first)] - 1
-    return key[first], anchor[first], window[first], window[last]
+    return hashed[at[first]], at[first], window[first], window[last]
 
 
-def anchor_runs(data: np.ndarray, ends: np.ndarray, often=None, length=LENGTH, gram=GRAM):
+def anchor_runs(data: np.ndarray, ends: np.ndarray, length=LENGTH, gram=GRAM):
     """``_anchored`` over slices of whole documents."""
     parts, at, begin = [], 0, 0
     while at < len(ends):
@@ -114,14 +106,38 @@ def anchor_runs(data: np.ndarray, ends: np.ndarray, often=None, length=LENGTH, g
             pieces = [(x, min(end, x + PIECE), np.array([min(end, x + PIECE) - x])) for x in lows]
         for low, high, inside in pieces:
             if high - low >= length:
-                key, anchor, first, last = _anchored(data[low:high], inside, often, length, gram)
-                parts.append((key, anchor, first + low, last + low))
+                anchor, at_byte, first, last = _anchored(data[low:high], inside, length, gram)
+                parts.append((anchor, at_byte + low, first + low, last + low))
         at, begin = stop, end
     if not parts:
-        return (*np.zeros((2, 0), np.uint64), *np.zeros((2, 0), np.int64))
+        return (np.zeros(0, np.uint64), *np.zeros((3, 0), np.int64))
     return tuple(np.concatenate(part) for part in zip(*parts, strict=True))
 
 
+def window_hashes(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, length: int = LENGTH):
+    """Windows of runs in order, each once, and 64 and 32 bits of hash for each."""
+    opened = np.bincount(firsts, minlength=len(data) + 1) - np.bincount(lasts + 1, minlength=len(data) + 1)
+    windows = np.flatnonzero(np.cumsum(opened))
+    wide, narrow = np.empty(len(windows), np.uint64), np.empty(len(windows), np.uint32)
+    step = SLICE - length
+    for begin in range(0, len(data), step):
+        a, b = np.searchsorted(windows, [begin, begin + step])
+        if a == b:
+            continue
+        values, at = data[begin : begin + SLICE], windows[a:b] - begin
+        up, down = _powers(len(values))
+        sums = np.zeros(len(values) + 1, np.uint64)
+        for salt in (np.uint64(0), np.uint64(0x2545F4914F6CDD1D)):
+            coded = mix(_BYTE ^ salt)
+            np.cumsum(coded[values] * up[: len(values)], out=sums[1:])
+            hashed = mix((sums[at + length] - sums[at]) * down[at] ^ salt)
+            if salt:
+                narrow[a:b] = hashed >> np.uint64(32)
+            else:
+                wide[a:b] = hashed
+    return windows, wide, narrow
+
+
 # --- suffix arrays of shards
 
 
@@ -368,7 +384,7 @@ def _ask(n_buckets: int):
         for batch in batches:
             for block, message in zip(batch.column("block"), batch.column("message"), strict=True):
                 data, ends = _load(message.as_py())
-                anchors, times = np.unique(anchor_runs(data, ends)[1], return_counts=True)
+                anchors, times = np.unique(anchor_runs(data, ends)[0], return_counts=True)
                 rows = [
                     (b, pack(np.diff(anchors[at], prepend=np.uint64(0)), times[at].astype(np.int32)))
                     for b, at in _by_bucket(anchors, n_buckets)
@@ -407,27 +423,31 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _gather(n_buckets: int):
-    """Send the texts around repeated anchors to their buckets."""
+    """Send the texts around repeated anchors to their buckets, window hashes of frequent ones.
+
+    The hashes' buckets follow those of the texts.
+    """
 
     def gather(corpus: pa.Table, answers: pa.Table) -> pa.Table:
         block = corpus.column("block")[0].as_py()
         data, ends = _load(corpus.column("message")[0].as_py())
         found = anchor_runs(data, ends)
-        anchors = np.unique(found[1])
+        anchors = np.unique(found[0])
         code = np.zeros(len(anchors), np.uint8)
         answer = dict(zip(answers.column("bucket").to_pylist(), answers.column("message"), strict=True))
         for b, at in _by_bucket(anchors, n_buckets):
             code[at] = unpack(answer[b].as_py())[0]
-        if (code == 2).any():
-            frequent = anchors[code == 2]
-            found = anchor_runs(data, ends, lambda values: _among(values, frequent))
-        sent = _among(found[1], anchors[code > 0])
+        frequent = _among(found[0], anchors[code == 2])
+        rows = []
+        if frequent.any():
+            windows, wide, narrow = window_hashes(data, found[2][frequent], found[3][frequent])
+            rows = _window_rows(windows, wide, narrow, n_buckets)
+        sent = _among(found[0], anchors[code == 1])
         places: dict[tuple[int, int, bytes], list[int]] = {}
         raw = data.tobytes()
         for key, low, high in zip(*(found[i][sent].tolist() for i in (0, 2, 3)), strict=True):
             places.setdefault((key, high - low + 1, raw[low : high + LENGTH]), []).append(low)
         passages = list(places)
-        rows = []
         keys = np.array([p[0] for p in passages], np.uint64)
         for b, at in _by_bucket(keys, n_buckets):
             mine = [passages[i] for i in at.tolist()]
@@ -449,8 +469,66 @@ def _gather(n_buckets: int):
     return gather
 
 
-def _mark(table: pa.Table) -> pa.Table:
-    """Find the repeats among a bucket's passages; answer with the bytes to remove."""
+def _window_rows(windows, wide, narrow, n_buckets: int) -> list[tuple[int, bytes]]:
+    """Messages of a block's distinct windows: their hashes, times and places."""
+    order = np.lexsort((narrow, wide))
+    wide, narrow, windows = wide[order], narrow[order], windows[order]
+    fresh = np.ones(len(wide), bool)
+    fresh[1:] = (wide[1:] != wide[:-1]) | (narrow[1:] != narrow[:-1])
+    begin = np.flatnonzero(fresh)
+    times = np.diff(np.append(begin, len(wide)))
+    rows = []
+    for b, at in _by_bucket(wide[begin], n_buckets):
+        places = np.repeat(begin[at], times[at]) + np.arange(times[at].sum()) - np.repeat(
+            np.cumsum(times[at]) - times[at], times[at]
+        )
+        steps = np.diff(wide[begin[at]], prepend=np.uint64(0))
+        parts = steps, narrow[begin[at]], times[at].astype(np.int32), windows[places].astype(np.int32)
+        rows.append((n_buckets + b, pack(*parts)))
+    return rows
+
+
+def _count_windows(table: pa.Table) -> list[np.ndarray]:
+    """For each message, the first and last bytes' ends of its windows that repeat."""
+    asked = [unpack(message.as_py()) for message in table.column("message")]
+    wide = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps, *_ in asked])
+    narrow = np.concatenate([n for _, n, *_ in asked])
+    times = np.concatenate([t for _, _, t, _ in asked])
+    order = np.lexsort((narrow, wide))
+    fresh = np.ones(len(wide), bool)
+    fresh[1:] = (np.diff(wide[order]) != 0) | (np.diff(narrow[order]) != 0)
+    group = np.empty(len(wide), np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    repeated = np.bincount(group, weights=times)[group] > 1
+    out, at = [], 0
+    for _, n, t, places in asked:
+        lows = np.sort(places[np.repeat(repeated[at : at + len(n)], t)].astype(np.int64))
+        at += len(n)
+        first = np.flatnonzero(np.diff(lows, prepend=-2) != 1)
+        last = np.append(first[1:], len(lows))[: len(first)] - 1
+        out.append(np.stack([lows[first], lows[last] + LENGTH], 1))
+    return out
+
+
+def _mark(n_buckets: int):
+    """Find the repeats that a bucket got; answer with the bytes to remove."""
+
+    def mark(table: pa.Table) -> pa.Table:
+        by_hash = table.column("bucket")[0].as_py() >= n_buckets
+        spans = _count_windows(table) if by_hash else _mark_passages(table)
+        return pa.table(
+            {
+                "block": table.column("block"),
+                "bucket": table.column("bucket"),
+                "message": pa.array([pack(s[:, 0].copy(), s[:, 1].copy()) for s in spans], pa.binary()),
+            }
+        )
+
+    return mark
+
+
+def _mark_passages(table: pa.Table) -> list[np.ndarray]:
+    """Find the repeats among a bucket's passages."""
     # anchor -> passage -> [times, windows, (message, place of its lows)]
     anchors: dict[int, dict[bytes, list]] = {}
     lows, removed = [], [[] for _ in range(table.num_rows)]
@@ -496,14 +574,7 @@ def _mark(table: pa.Table) -> pa.Table:
             size = 0
     if shard:
         settle()
-    spans = [np.concatenate(r) if r else np.zeros((0, 2), np.int64) for r in removed]
-    return pa.table(
-        {
-            "block": table.column("block"),
-            "bucket": table.column("bucket"),
-            "message": pa.array([pack(s[:, 0].copy(), s[:, 1].copy()) for s in spans], pa.binary()),
-        }
-    )
+    return [np.concatenate(r) if r else np.zeros((0, 2), np.int64) for r in removed]
 
 
 def _cut(names: list[str]):
@@ -551,7 +622,7 @@ def remove_repeats(docs: DataFrame, often: int = OFTEN) -> DataFrame:
 
     ``repeats`` is a struct of ``n_bytes`` of the text before, ``n_removed`` of them,
     ``n_spans`` removed in a run, and ``kept``, the bytes left. A column of that name is
-    replaced. Anchors that occur more than ``often`` times are divided by a second one.
+    replaced. Windows of anchors that occur more than ``often`` times are counted by hashes.
     """
     docs = docs.drop("repeats")
     n_buckets = bucket_count(docs)
@@ -566,7 +637,7 @@ def remove_repeats(docs: DataFrame, often: int = OFTEN) -> DataFrame:
     )
     by_block = corpus.select("block", "message").groupBy("block")
     passages = by_block.cogroup(answers.groupBy("block")).applyInArrow(_gather(n_buckets), MESSAGE)
-    marks = passages.groupBy("bucket").applyInArrow(_mark, MESSAGE)
+    marks = passages.groupBy("bucket").applyInArrow(_mark(n_buckets), MESSAGE)
     found = "struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>"
     schema = docs.withColumn("repeats", F.lit(None).cast(found)).schema
     cut = _cut(schema.names)

@@ -73,6 +73,35 @@ def test_frequent_anchors_are_divided(spark):
     assert sorted(tuple(r) for r in found) == sorted((r[0], r[2]) for r in brute(rows))
 
 
+def test_common_passage_in_many_surroundings(spark):
+    """No bucket gets the surroundings of a passage that each document has elsewhere."""
+    rows = [(i, prose(1000 + i, 60) + PASSAGE[:380] + prose(2000 + i, 60)) for i in range(300)]
+    rows += [(1000 + i, prose(1, 40) + PASSAGE[:390] + prose(2, 40)) for i in range(2)]
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    ends = np.cumsum([len(t.encode()) for _, t in rows])
+    runs = suffixes.anchor_runs(data, ends)
+    windows, wide, narrow = suffixes.window_hashes(data, runs[2], runs[3])
+    rows_of = suffixes._window_rows(windows, wide, narrow, 16)
+    loads = [len(suffixes.unpack(message)[0]) for _, message in rows_of]
+    assert len(loads) == 16 and max(loads) < 1.2 * np.mean(loads)
+    df = spark.createDataFrame([(i, t, 0, "") for i, t in rows], SCHEMA)
+    seen = suffixes.remove_repeats(df, often=5).select("doc_id", "repeats.n_removed", "repeats.n_spans")
+    assert sorted(tuple(r) for r in seen.collect()) == sorted((r[0], r[2], r[3]) for r in brute(rows))
+
+
+def test_window_hashes_over_slices(monkeypatch):
+    data = np.frombuffer((prose(3, 900) + prose(3, 900)).encode(), np.uint8)
+    first, last = np.array([3, 2500]), np.array([2600, len(data) - 400])
+    whole = suffixes.window_hashes(data, first, last)
+    monkeypatch.setattr(suffixes, "SLICE", 700)
+    cut = suffixes.window_hashes(data, first, last)
+    assert all((x == y).all() for x, y in zip(whole, cut, strict=True))
+    assert whole[0].tolist() == list(range(3, len(data) - 399))
+    equal = Counter(zip(whole[1].tolist(), whole[2].tolist(), strict=True))
+    raw = data.tobytes()
+    assert sorted(equal.values()) == sorted(Counter(raw[i : i + 400] for i in whole[0].tolist()).values())
+
+
 def test_whole_table(spark, sf_dir):
     docs = read_documents(spark, sf_dir)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
