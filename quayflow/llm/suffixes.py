@@ -17,6 +17,10 @@ the place of deeper levels. Common prefixes are computed in text order: only irr
 ones are compared, the others follow by counting down. A run of suffixes that share
 ``LENGTH`` bytes and holds two window starts is a repeat.
 
+Passages can be sought by words as well: windows of so many words, whatever blanks are
+between them, get anchors of their own among runs of words, and those of repeated anchors
+are counted by their hashes in the same way.
+
 Null texts count as empty; null ids are kept; repeated rows are repeats of each other;
 extra columns are ignored; an empty table gives no rows; shorter texts keep all bytes.
 """
@@ -36,6 +40,7 @@ from quayflow.llm.token_counts import bucket_count
 LENGTH = 400
 GRAM = 128
 OFTEN = 4096  # windows of anchors that occur more often are counted by their hashes
+PHRASE_SALT = np.uint64(0x8C95B3D1F2E6A74B)
 SLICE = 1 << 19
 PIECE = 1 << 22
 SHARD = 1 << 20
@@ -70,11 +75,42 @@ def _smallest(order: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
+def _coded(values: np.ndarray, salt: np.uint64 = np.uint64(0)) -> np.ndarray:
+    """Numbers to add up for bytes, or for words given by their hashes."""
+    if values.dtype == np.uint8:
+        return (mix(_BYTE ^ salt) if salt else _BYTE)[values]
+    return mix(values ^ salt)
+
+
+def word_hashes(data: np.ndarray, ends: np.ndarray):
+    """Words between ASCII white space: hashes, first bytes, ends, each text's end in words."""
+    inside = (data != 32) & ((data < 9) | (data > 13))
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    at = ends[(ends > 0) & (ends < len(data))]
+    opens[at] = inside[at]
+    closes[at - 1] = inside[at - 1]
+    first, last = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    hashes = np.empty(len(first), np.uint64)
+    at = 0
+    while at < len(first):
+        stop = max(at + 1, int(np.searchsorted(last, first[at] + SLICE, "right")))
+        low, high = first[at], last[stop - 1]
+        starts = first[at:stop] - low
+        place = np.arange(high - low) - np.repeat(starts, np.diff(np.append(starts, high - low)))
+        values = _BYTE[data[low:high]] * _powers(len(place))[0][place]
+        values[~inside[low:high]] = 0
+        hashes[at:stop] = mix(np.add.reduceat(values, starts))
+        at = stop
+    return hashes, first, last, np.searchsorted(first, ends, "left")
+
+
 def _anchored(data: np.ndarray, ends: np.ndarray, length: int, gram: int):
     """Runs of windows with one anchor: anchor, its place, first window, last window."""
     up, down = _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(_coded(data) * up[: len(data)], out=sums[1:])
     hashed = mix((sums[gram:] - sums[:-gram]) * down[: len(data) - gram + 1])
     place = np.arange(len(hashed), dtype=np.uint64)
     width = length - gram + 1
@@ -128,8 +164,7 @@ def window_hashes(data: np.ndarray, firsts: np.ndarray, lasts: np.ndarray, lengt
         up, down = _powers(len(values))
         sums = np.zeros(len(values) + 1, np.uint64)
         for salt in (np.uint64(0), np.uint64(0x2545F4914F6CDD1D)):
-            coded = mix(_BYTE ^ salt)
-            np.cumsum(coded[values] * up[: len(values)], out=sums[1:])
+            np.cumsum(_coded(values, salt) * up[: len(values)], out=sums[1:])
             hashed = mix((sums[at + length] - sums[at]) * down[at] ^ salt)
             if salt:
                 narrow[a:b] = hashed >> np.uint64(32)
@@ -379,12 +414,22 @@ def _message_rows(block: str, rows: list[tuple[int, bytes]]) -> pa.Table:
     )
 
 
-def _ask(n_buckets: int):
+def _phrase_runs(data: np.ndarray, ends: np.ndarray, phrase: int):
+    """Words of a block and the runs of windows of ``phrase`` of them."""
+    hashes, first, last, word_ends = word_hashes(data, ends)
+    runs = anchor_runs(hashes, word_ends, phrase, max(1, phrase // 3))
+    return (hashes, first, last), (runs[0] ^ PHRASE_SALT, *runs[1:])
+
+
+def _ask(n_buckets: int, phrase: int | None):
     def ask(batches):
         for batch in batches:
             for block, message in zip(batch.column("block"), batch.column("message"), strict=True):
                 data, ends = _load(message.as_py())
-                anchors, times = np.unique(anchor_runs(data, ends)[0], return_counts=True)
+                anchors = anchor_runs(data, ends)[0]
+                if phrase:
+                    anchors = np.concatenate([anchors, _phrase_runs(data, ends, phrase)[1][0]])
+                anchors, times = np.unique(anchors, return_counts=True)
                 rows = [
                     (b, pack(np.diff(anchors[at], prepend=np.uint64(0)), times[at].astype(np.int32)))
                     for b, at in _by_bucket(anchors, n_buckets)
@@ -422,7 +467,7 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _gather(n_buckets: int):
+def _gather(n_buckets: int, phrase: int | None):
     """Send the texts around repeated anchors to their buckets, window hashes of frequent ones.
 
     The hashes' buckets follow those of the texts.
@@ -432,7 +477,11 @@ def _gather(n_buckets: int):
         block = corpus.column("block")[0].as_py()
         data, ends = _load(corpus.column("message")[0].as_py())
         found = anchor_runs(data, ends)
-        anchors = np.unique(found[0])
+        anchors = found[0]
+        if phrase:
+            (hashes, first, last), runs = _phrase_runs(data, ends, phrase)
+            anchors = np.concatenate([anchors, runs[0]])
+        anchors = np.unique(anchors)
         code = np.zeros(len(anchors), np.uint8)
         answer = dict(zip(answers.column("bucket").to_pylist(), answers.column("message"), strict=True))
         for b, at in _by_bucket(anchors, n_buckets):
@@ -441,7 +490,11 @@ def _gather(n_buckets: int):
         rows = []
         if frequent.any():
             windows, wide, narrow = window_hashes(data, found[2][frequent], found[3][frequent])
-            rows = _window_rows(windows, wide, narrow, n_buckets)
+            rows += _window_rows(wide, narrow, windows, np.full(len(windows), LENGTH), n_buckets)
+        if phrase and (met := _among(runs[0], anchors[code > 0])).any():
+            windows, wide, narrow = window_hashes(hashes, runs[2][met], runs[3][met], phrase)
+            begin = first[windows]
+            rows += _window_rows(wide, narrow, begin, last[windows + phrase - 1] - begin, n_buckets)
         sent = _among(found[0], anchors[code == 1])
         places: dict[tuple[int, int, bytes], list[int]] = {}
         raw = data.tobytes()
@@ -469,10 +522,11 @@ def _gather(n_buckets: int):
     return gather
 
 
-def _window_rows(windows, wide, narrow, n_buckets: int) -> list[tuple[int, bytes]]:
-    """Messages of a block's distinct windows: their hashes, times and places."""
+def _window_rows(wide, narrow, lows, sizes, n_buckets: int) -> list[tuple[int, bytes]]:
+    """Messages of a block's distinct windows: their hashes, times, places and sizes."""
     order = np.lexsort((narrow, wide))
-    wide, narrow, windows = wide[order], narrow[order], windows[order]
+    wide, narrow = wide[order], narrow[order]
+    lows, sizes = lows[order].astype(np.int32), sizes[order].astype(np.int32)
     fresh = np.ones(len(wide), bool)
     fresh[1:] = (wide[1:] != wide[:-1]) | (narrow[1:] != narrow[:-1])
     begin = np.flatnonzero(fresh)
@@ -483,7 +537,7 @@ def _window_rows(windows, wide, narrow, n_buckets: int) -> list[tuple[int, bytes
             np.cumsum(times[at]) - times[at], times[at]
         )
         steps = np.diff(wide[begin[at]], prepend=np.uint64(0))
-        parts = steps, narrow[begin[at]], times[at].astype(np.int32), windows[places].astype(np.int32)
+        parts = steps, narrow[begin[at]], times[at].astype(np.int32), lows[places], sizes[places]
         rows.append((n_buckets + b, pack(*parts)))
     return rows
 
@@ -493,7 +547,7 @@ def _count_windows(table: pa.Table) -> list[np.ndarray]:
     asked = [unpack(message.as_py()) for message in table.column("message")]
     wide = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps, *_ in asked])
     narrow = np.concatenate([n for _, n, *_ in asked])
-    times = np.concatenate([t for _, _, t, _ in asked])
+    times = np.concatenate([t for _, _, t, *_ in asked])
     order = np.lexsort((narrow, wide))
     fresh = np.ones(len(wide), bool)
     fresh[1:] = (np.diff(wide[order]) != 0) | (np.diff(narrow[order]) != 0)
@@ -501,12 +555,15 @@ def _count_windows(table: pa.Table) -> list[np.ndarray]:
     group[order] = np.cumsum(fresh) - 1
     repeated = np.bincount(group, weights=times)[group] > 1
     out, at = [], 0
-    for _, n, t, places in asked:
-        lows = np.sort(places[np.repeat(repeated[at : at + len(n)], t)].astype(np.int64))
+    for _, n, t, lows, sizes in asked:
+        taken = np.repeat(repeated[at : at + len(n)], t)
         at += len(n)
-        first = np.flatnonzero(np.diff(lows, prepend=-2) != 1)
+        order = np.argsort(lows[taken], kind="stable")
+        lows = lows[taken][order].astype(np.int64)
+        ends = np.maximum.accumulate(lows + sizes[taken][order])
+        first = np.flatnonzero(np.append(True, lows[1:] >= ends[:-1])[: len(lows)])
         last = np.append(first[1:], len(lows))[: len(first)] - 1
-        out.append(np.stack([lows[first], lows[last] + LENGTH], 1))
+        out.append(np.stack([lows[first], ends[last]], 1))
     return out
 
 
@@ -617,12 +674,13 @@ def _cut(names: list[str]):
     return cut
 
 
-def remove_repeats(docs: DataFrame, often: int = OFTEN) -> DataFrame:
+def remove_repeats(docs: DataFrame, often: int = OFTEN, phrase: int | None = None) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and ``repeats``.
 
     ``repeats`` is a struct of ``n_bytes`` of the text before, ``n_removed`` of them,
     ``n_spans`` removed in a run, and ``kept``, the bytes left. A column of that name is
     replaced. Windows of anchors that occur more than ``often`` times are counted by hashes.
+    With ``phrase``, passages of so many words or more are repeats too, however short.
     """
     docs = docs.drop("repeats")
     n_buckets = bucket_count(docs)
@@ -631,12 +689,12 @@ def remove_repeats(docs: DataFrame, often: int = OFTEN) -> DataFrame:
     )
     answers = (
         corpus.select("block", "message")
-        .mapInArrow(_ask(n_buckets), MESSAGE)
+        .mapInArrow(_ask(n_buckets, phrase), MESSAGE)
         .groupBy("bucket")
         .applyInArrow(_count(often), MESSAGE)
     )
     by_block = corpus.select("block", "message").groupBy("block")
-    passages = by_block.cogroup(answers.groupBy("block")).applyInArrow(_gather(n_buckets), MESSAGE)
+    passages = by_block.cogroup(answers.groupBy("block")).applyInArrow(_gather(n_buckets, phrase), MESSAGE)
     marks = passages.groupBy("bucket").applyInArrow(_mark(n_buckets), MESSAGE)
     found = "struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>"
     schema = docs.withColumn("repeats", F.lit(None).cast(found)).schema

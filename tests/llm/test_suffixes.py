@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from quayflow.llm import suffixes
 from quayflow.llm.blocks import read_documents
 
@@ -81,7 +83,7 @@ def test_common_passage_in_many_surroundings(spark):
     ends = np.cumsum([len(t.encode()) for _, t in rows])
     runs = suffixes.anchor_runs(data, ends)
     windows, wide, narrow = suffixes.window_hashes(data, runs[2], runs[3])
-    rows_of = suffixes._window_rows(windows, wide, narrow, 16)
+    rows_of = suffixes._window_rows(wide, narrow, windows, np.full(len(windows), 400), 16)
     loads = [len(suffixes.unpack(message)[0]) for _, message in rows_of]
     assert len(loads) == 16 and max(loads) < 1.2 * np.mean(loads)
     df = spark.createDataFrame([(i, t, 0, "") for i, t in rows], SCHEMA)
@@ -89,6 +91,47 @@ def test_common_passage_in_many_surroundings(spark):
     assert sorted(tuple(r) for r in seen.collect()) == sorted((r[0], r[2], r[3]) for r in brute(rows))
 
 
+def brute_phrases(rows, phrase):
+    """Bytes gone by 400-byte windows or by windows of words."""
+    data = [(t or "").encode() for _, t in rows]
+    found = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)] for d in data]
+    lists = [[d[a:b] for a, b in spans] for d, spans in zip(data, found, strict=True)]
+    windows = Counter(d[i : i + 400] for d in data for i in range(len(d) - 399))
+    runs = Counter(tuple(x[i : i + phrase]) for x in lists for i in range(len(x) - phrase + 1))
+    out = []
+    for (doc_id, _), d, spans, own in zip(rows, data, found, lists, strict=True):
+        gone = np.zeros(len(d), bool)
+        for i in range(len(d) - 399):
+            gone[i : i + 400] |= windows[d[i : i + 400]] > 1
+        for i in range(len(own) - phrase + 1):
+            gone[spans[i][0] : spans[i + phrase - 1][1]] |= runs[tuple(own[i : i + phrase])] > 1
+        out.append((doc_id, int(gone.sum())))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("often", [suffixes.OFTEN, 2])
+def test_phrases_equal_brute_force(spark, often):
+    words = prose(9, 60).split()
+    rows = [
+        *ROWS,
+        (20, prose(21, 80) + " " + " ".join(words[:51]) + " " + prose(22, 30)),
+        (21, prose(23, 80) + "\n" + "\t ".join(words[:51])),
+        (22, " ".join(words[1:51]) + " " + prose(24, 80)),
+        (23, " ".join(f"{i % 7}" for i in range(70))),
+    ]
+    df = spark.createDataFrame([(i, t, 0, "") for i, t in rows], SCHEMA)
+    found = suffixes.remove_repeats(df, often=often, phrase=51).select("doc_id", "repeats.n_removed")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_phrases(rows, 51)
+
+
+def test_stage_cuts_passages_of_51_words(spark, sf_dir):
+    passage = " ".join(f"p{i}" for i in range(51))  # 193 bytes
+    rows = [(i, f"{prose(30 + i, 60)} {passage} {prose(40 + i, 60)}") for i in range(2)]
+    df = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    cut = corpus_pipeline.without_repeats(spark, df, sf_dir).collect()
+    assert sorted((r.doc_id, r.text) for r in cut) == [(i, t.replace(passage, "")) for i, t in rows]
+
+
 def test_window_hashes_over_slices(monkeypatch):
     data = np.frombuffer((prose(3, 900) + prose(3, 900)).encode(), np.uint8)
     first, last = np.array([3, 2500]), np.array([2600, len(data) - 400])
