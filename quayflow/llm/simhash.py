@@ -111,6 +111,12 @@ def _runs(batches, limit: int):
             if len(keys):
                 yield keys, values, False
             held, held_rows = [], 0
+        elif held and held[-1][0][-1] != key[0]:  # the group held ended with its batch
+            keys, values = (np.concatenate(part) for part in zip(*held, strict=True))
+            yield keys, values, cut_key is not None
+            held, held_rows, cut_key = [], 0, None
+        elif cut_key is not None and cut_key != key[0]:
+            cut_key = None
         held.append((key[last:], value[last:]))
         held_rows += len(key) - last
         if held_rows > limit:

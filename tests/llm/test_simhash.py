@@ -121,6 +121,20 @@ def test_dense_fingerprints(spark, group):
         assert ours == min(back[v] for v in groups[value])
 
 
+@pytest.mark.parametrize("size", [1, 5, 10, 20])
+def test_groups_that_start_at_a_batch_border(size):
+    """Each run has whole groups, or rows of one group that are all marked as cut."""
+    keys = np.repeat([1, 2, 3, 4], [5, 40, 5, 30])
+    table = pa.table({"key": keys, "fingerprint": np.arange(len(keys))})
+    runs = list(simhash._runs(table.to_batches(max_chunksize=size), 12))
+    assert np.concatenate([k for k, _, _ in runs]).tolist() == keys.tolist()
+    for key in (2, 4):
+        assert all(cut and set(k.tolist()) == {key} for k, _, cut in runs if key in k)
+    for key in (1, 3):
+        assert sum(key in k for k, _, _ in runs) == 1
+        assert not any(cut for k, _, cut in runs if key in k)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(0, 40)] + [(1000, i) for i in range(900, 960)] + [(5, 5)]
     found = components(spark.createDataFrame([*chain, (None, 3)], "a long, b long")).collect()
