@@ -242,7 +242,7 @@ def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
 
     ``groups`` has ``doc_id, component_id`` for each row; by default it is
     ``near_duplicates``. Rows without an id are kept unless a row with an id is in their
-    group.
+    group. Of rows that share an id the one with the smallest text is kept.
     """
     groups = near_duplicates(docs) if groups is None else groups
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -253,7 +253,12 @@ def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     )
     if repeated.isEmpty():
         return ranked
-    once = ranked.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    order = F.struct(F.col("text"), F.to_json(row))
+    once = ranked.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min_by(row, order).alias("_row")
+    )
+    once = once.select("_row.*")
     return ranked.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(
         once.select(docs.columns)
     )
