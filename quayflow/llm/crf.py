@@ -204,6 +204,21 @@ def _weak_labels(ids, offsets, distinct: list[str], toxic: np.ndarray):
     return names, has
 
 
+def _fit_documents(sizes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Documents whose texts fit ``FIT_BYTES``, in order; the shortest of each label always."""
+    fit, left = np.zeros(len(sizes), bool), FIT_BYTES
+    for label in (0, 1):
+        of_label = np.flatnonzero(toxic == label)
+        shortest = of_label[np.argmin(sizes[of_label])]
+        fit[shortest] = True
+        left -= sizes[shortest]
+    for i in np.flatnonzero(~fit).tolist():
+        if sizes[i] <= left:
+            fit[i] = True
+            left -= sizes[i]
+    return fit
+
+
 def fit_field(values: pa.Array, labels: np.ndarray) -> Crf:
     """The field of texts with document labels 0 and 1."""
     toxic = labels.astype(float)
@@ -216,26 +231,26 @@ def fit_field(values: pa.Array, labels: np.ndarray) -> Crf:
     names = distinct.to_pylist()
     strong, has = _weak_labels(ids, offsets, names, toxic)
     number = {name: i for i, name in enumerate(strong)}
-    sizes = np.cumsum(np.diff(offsets))
     # the likelihood uses whole documents up to a bound of text
-    text_ends = np.cumsum(pc.binary_length(values).to_numpy())
-    n_docs = max(1, int(np.searchsorted(text_ends, FIT_BYTES, "right")))
-    n = int(sizes[n_docs - 1])
-    chain = Chain(offsets[: n_docs + 1])
-    truth = has[ids[:n]] & np.repeat(toxic[:n_docs] > 0, np.diff(offsets[: n_docs + 1]))
+    fit = _fit_documents(pc.binary_length(values).to_numpy(), toxic)
+    own = ids[np.repeat(fit, np.diff(offsets))]
+    bounds = np.concatenate([[0], np.cumsum(np.diff(offsets)[fit])])
+    n = len(own)
+    chain = Chain(bounds)
+    truth = has[own] & np.repeat(toxic[fit] > 0, np.diff(bounds))
     word, feature = _coded(names, number)
-    use = np.bincount(ids[:n], minlength=len(names)).astype(float)
-    hit = np.bincount(ids[:n], weights=truth, minlength=len(names))
+    use = np.bincount(own, minlength=len(names)).astype(float)
+    hit = np.bincount(own, weights=truth, minlength=len(names))
     parameters = np.concatenate([np.zeros(len(strong)), [-3.0], np.zeros(4)])
     wanted = np.zeros((2, 2))
-    inside = ~np.isin(np.arange(1, n), offsets[: n_docs + 1])
+    inside = ~np.isin(np.arange(1, n), bounds)
     np.add.at(wanted, (truth[:-1][inside].astype(int), truth[1:][inside].astype(int)), 1)
     first = second = np.zeros_like(parameters)
     for step in range(1, STEPS + 1):
         weights, bias, transitions = np.split(parameters, [len(strong), len(strong) + 1])
         per_word = bias[0] + np.bincount(word, weights=weights[feature], minlength=len(names))
-        chance, pairs = chain.marginals(per_word[ids[:n]], transitions.reshape(2, 2))
-        got = np.bincount(ids[:n], weights=chance, minlength=len(names))
+        chance, pairs = chain.marginals(per_word[own], transitions.reshape(2, 2))
+        got = np.bincount(own, weights=chance, minlength=len(names))
         miss = (hit - got) / use.sum()
         gradient = np.concatenate(
             [

@@ -133,3 +133,14 @@ def test_toxicity_of_odd_rows(spark):
     every = crf.fit_crf(docs, labels.filter("toxic = 1"))
     assert {r.predicted for r in crf.toxicity(docs, every).collect()} == {1}
     assert crf.toxicity(docs.limit(0), none).count() == 0
+
+
+def test_one_long_text_does_not_end_the_fit(monkeypatch):
+    values = [f"good day number{i} " * 5 + ("awfulword here" if i % 2 else "fine here") for i in range(60)]
+    labels = np.array([i % 2 for i in range(60)])
+    monkeypatch.setattr(crf, "FIT_BYTES", 20_000)
+    long = "calm words " * 5_000
+    model = crf.fit_field(pa.array([long, *values]), np.append(0, labels))
+    assert any(abs(weight) > 0.5 for weight in model.weights.values())
+    odds = crf.document_evidence(model, pa.array(values))[0]
+    assert odds[labels == 1].min() > odds[labels == 0].max()
