@@ -126,11 +126,15 @@ def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
 
 
 def stored_by(df: DataFrame, name: str, key: str, n_buckets: int) -> DataFrame:
-    """Like ``stored``, bucketed by ``key``: grouping by it later moves none of these rows."""
+    """Like ``stored``, bucketed by ``key``: grouping by it later moves none of these rows.
+
+    Beyond ``spark.sql.sources.bucketing.maxBuckets`` a bucket gets more rows instead.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = path.rpartition("/")[2].replace("-", "_")
-    df.write.bucketBy(n_buckets, key).format("parquet").saveAsTable(table, path=path)
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    df.write.bucketBy(min(n_buckets, most), key).format("parquet").saveAsTable(table, path=path)
     return spark.table(table)
 
 

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.llm import cover_tree, crf, mixing, ngram_lm, ordinal, parsing, sampling, simhash, suffixes, token_counts
+from quayflow.llm import cover_tree, crf, filter_audit, line_dedup, mixing, ngram_lm, ordinal, parsing
+from quayflow.llm import sampling, simhash, suffixes, token_counts, vector_codes
 from quayflow.llm.blocks import read_documents, remainder
 
 
@@ -82,6 +83,19 @@ def op10_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_audit.document_masks(read_documents(spark, sf_dir), read_labels(spark, sf_dir))
+    return filter_audit.audit(masks, "ABCDE")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digest(read_documents(spark, sf_dir))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -95,8 +109,16 @@ QUERIES = {
         op8_near_vectors,
         op9_mixed_sources,
         op10_toxic_spans,
+        op11_vector_codes,
+        op12_filter_audit,
+        op13_line_dedup,
     )
 }
 
 # DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL = {"op9_mixed_sources": mixing.MIX_SQL}
+ORACLE_SQL = {
+    "op9_mixed_sources": mixing.MIX_SQL,
+    "op11_vector_codes": vector_codes.CODES_SQL,
+    "op12_filter_audit": filter_audit.AUDIT_SQL,
+    "op13_line_dedup": line_dedup.LINES_SQL,
+}
