@@ -4,10 +4,12 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the stage befo
 all but the last return the columns of ``documents``. Further columns stay as they are
 under any name, since the row travels through a stage as one struct; only ``text`` and
 ``n_chars`` change, where passages are removed. Texts that are null or without words are
-kept by near_duplicates, each row of them, and by repeated_passages; the first stage judges
-them by the grades' base rates and the mixing as any other. Rows without an id are kept
-unless they are near copies; rows with words that share an id are one document, of which
-near_duplicates keeps the row with the smallest text; empty tables stay empty.
+near copies of each other, all of fingerprint zero, of which one stays; the first stage
+judges them by the grades' base rates and the other stages as any other text. Rows without
+an id are kept unless they are near copies of one with an id; rows that share an id are one
+document, of which near_duplicates keeps the row with the smallest text. A text of any
+length is worked on whole; a task that segments it needs memory in proportion to it. Empty
+tables stay empty.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.llm import mixing, ordinal, resemblance, sampling, simhash, suffixes
+from quayflow.llm import mixing, ordinal, sampling, simhash, suffixes
 from quayflow.llm.blocks import read_documents
 from quayflow.session import scratch_path
 
@@ -39,10 +41,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 0.8 of the five-word shingles."""
-    worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.filter(worded)
-    return simhash.one_of_each(rows, resemblance.near_duplicates(rows)).union(docs.filter(~worded))
+    """One document of each group linked by fingerprints of at most three differing bits."""
+    return simhash.one_of_each(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
