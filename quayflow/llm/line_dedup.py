@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from quayflow.llm.blocks import blocks, column, stored, stored_by, texts
 from quayflow.llm.token_counts import bucket_count
 
+BLOCK = 4 << 20
 BLANKS = " \t\n\x0b\x0c\r"
 LEAST_LENGTH = 40
 LEAST_DOCS = 5
@@ -75,7 +76,7 @@ class _Lines:
 
 
 def _store(batches: Iterator[pa.RecordBatch]):
-    for number, table in enumerate(blocks(batches)):
+    for number, table in enumerate(blocks(batches, size=BLOCK)):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(table.combine_chunks())
