@@ -276,7 +276,7 @@ def code_digest(vectors: DataFrame) -> DataFrame:
     """``vec_id, code, error, label_error, codebooks_sha256`` for each usable row.
 
     ``label_error`` is the sum of ``error`` over the rows of the same label, null labels
-    together; null where it exceeds 64 bits.
+    together, and leaves out errors that are null; null where it exceeds 64 bits.
     """
     coded, books = vector_codes(vectors)
     coded = stored(coded, "codes")
