@@ -39,6 +39,7 @@ from quayflow.llm.token_counts import bucket_count
 
 LENGTH = 400
 GRAM = 128
+PHRASE = 51  # words
 OFTEN = 4096  # windows of anchors that occur more often are counted by their hashes
 PHRASE_SALT = np.uint64(0x8C95B3D1F2E6A74B)
 SLICE = 1 << 19
@@ -470,7 +471,7 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 def _gather(n_buckets: int, phrase: int | None):
     """Send the texts around repeated anchors to their buckets, window hashes of frequent ones.
 
-    The hashes' buckets follow those of the texts.
+    The hashes' buckets follow those of the texts, and those of words the hashes'.
     """
 
     def gather(corpus: pa.Table, answers: pa.Table) -> pa.Table:
@@ -494,7 +495,8 @@ def _gather(n_buckets: int, phrase: int | None):
         if phrase and (met := _among(runs[0], anchors[code > 0])).any():
             windows, wide, narrow = window_hashes(hashes, runs[2][met], runs[3][met], phrase)
             begin = first[windows]
-            rows += _window_rows(wide, narrow, begin, last[windows + phrase - 1] - begin, n_buckets)
+            sizes = last[windows + phrase - 1] - begin
+            rows += [(n_buckets + b, m) for b, m in _window_rows(wide, narrow, begin, sizes, n_buckets)]
         sent = _among(found[0], anchors[code == 1])
         places: dict[tuple[int, int, bytes], list[int]] = {}
         raw = data.tobytes()
@@ -634,20 +636,37 @@ def _mark_passages(table: pa.Table) -> list[np.ndarray]:
     return [np.concatenate(r) if r else np.zeros((0, 2), np.int64) for r in removed]
 
 
-def _cut(names: list[str]):
+def _covered(size: int, marks: list) -> np.ndarray:
+    """Which bytes of a block its marks cover."""
+    change = np.zeros(size + 1, np.int32)
+    for message in marks:
+        first, last = unpack(message.as_py())
+        np.add.at(change, first, 1)
+        np.add.at(change, last, -1)
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
+
+
+def _sums(gone: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(gone) + 1, np.int32)
+    np.cumsum(gone, out=sums[1:])
+    return sums
+
+
+def _cut(names: list[str], n_buckets: int, cut_phrases: bool):
     def cut(corpus: pa.Table, marks: pa.Table) -> pa.Table:
         data, ends = _load(corpus.column("message")[0].as_py())
         rest = pa.ipc.open_stream(corpus.column("rest")[0].as_py()).read_all()
-        found = [unpack(message.as_py()) for message in marks.column("message")]
-        change = np.zeros(len(data) + 1, np.int32)
-        for first, last in found:
-            np.add.at(change, first, 1)
-            np.add.at(change, last, -1)
-        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
-        del change, found
         starts = np.concatenate([[0], ends[:-1]])
-        sums = np.zeros(len(data) + 1, np.int32)
-        np.cumsum(gone, out=sums[1:])
+        by_words = marks.column("bucket").to_numpy() >= 2 * n_buckets
+        messages = list(zip(marks.column("message"), by_words.tolist(), strict=True))
+        gone = _covered(len(data), [m for m, words in messages if words])
+        sums = _sums(gone)
+        in_phrases = sums[ends] - sums[starts]
+        if cut_phrases:
+            gone |= _covered(len(data), [m for m, words in messages if not words])
+        else:
+            gone = _covered(len(data), [m for m, words in messages if not words])
+        sums = _sums(gone)
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         opening = starts[starts < len(data)]
@@ -665,22 +684,26 @@ def _cut(names: list[str]):
                 pa.array(ends - starts, pa.int64()),
                 pa.array(sums[ends] - sums[starts]).cast(pa.int64()),
                 pa.array(spans[ends] - spans[starts]).cast(pa.int64()),
+                pa.array(in_phrases).cast(pa.int64()),
                 pa.array(kept, pa.binary()),
             ],
-            ["n_bytes", "n_removed", "n_spans", "kept"],
+            ["n_bytes", "n_removed", "n_spans", "n_phrase_bytes", "kept"],
         )
         return pa.table({name: columns[name] for name in names})
 
     return cut
 
 
-def remove_repeats(docs: DataFrame, often: int = OFTEN, phrase: int | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, often: int = OFTEN, phrase: int | None = None, cut_phrases: bool = True
+) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``, and ``repeats``.
 
     ``repeats`` is a struct of ``n_bytes`` of the text before, ``n_removed`` of them,
-    ``n_spans`` removed in a run, and ``kept``, the bytes left. A column of that name is
-    replaced. Windows of anchors that occur more than ``often`` times are counted by hashes.
-    With ``phrase``, passages of so many words or more are repeats too, however short.
+    ``n_spans`` removed in a run, ``n_phrase_bytes`` in repeated phrases, and ``kept``, the
+    bytes left. A column of that name is replaced. Windows of anchors that occur more than
+    ``often`` times are counted by hashes. With ``phrase``, passages of so many words or more
+    are repeats too, however short; they are only counted if not ``cut_phrases``.
     """
     docs = docs.drop("repeats")
     n_buckets = bucket_count(docs)
@@ -696,19 +719,24 @@ def remove_repeats(docs: DataFrame, often: int = OFTEN, phrase: int | None = Non
     by_block = corpus.select("block", "message").groupBy("block")
     passages = by_block.cogroup(answers.groupBy("block")).applyInArrow(_gather(n_buckets, phrase), MESSAGE)
     marks = passages.groupBy("bucket").applyInArrow(_mark(n_buckets), MESSAGE)
-    found = "struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>"
+    found = "struct<n_bytes:long,n_removed:long,n_spans:long,n_phrase_bytes:long,kept:binary>"
     schema = docs.withColumn("repeats", F.lit(None).cast(found)).schema
-    cut = _cut(schema.names)
+    cut = _cut(schema.names, n_buckets, cut_phrases)
     return corpus.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(cut, schema)
 
 
 def repeat_digest(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_phrase_bytes`` for each row.
+
+    The last one counts the bytes in passages of ``PHRASE`` words or more that occur again,
+    which may be shorter than ``LENGTH`` bytes and then stay.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return remove_repeats(docs).select(
+    return remove_repeats(docs, phrase=PHRASE, cut_phrases=False).select(
         "doc_id",
         "repeats.n_bytes",
         "repeats.n_removed",
         "repeats.n_spans",
         F.sha2("repeats.kept", 256).alias("kept_sha256"),
+        "repeats.n_phrase_bytes",
     )
