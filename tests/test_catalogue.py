@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
-from quayflow.plans.catalogue import QUERIES
-from quayflow.plans.catalogue_sql import ORACLE_SQL
+from quayflow.plans.queries import ORACLE_SQL, QUERIES
 from compare import difference, duckdb_rows, spark_rows
 
 
