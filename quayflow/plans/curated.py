@@ -15,9 +15,18 @@ from quayflow.operators.passages import (
     project_passages,
     with_line_ref,
 )
-from quayflow.schemas import LINE_COLUMNS
-from quayflow.sinks.files import Overwrite, write_curated
-from quayflow.sources.tables import lines_csv, raw_table
+from quayflow.schemas import CURATED, LINE_COLUMNS
+from quayflow.sinks.files import Overwrite, write_curated, write_version
+from quayflow.sources.manifest import (
+    Manifest,
+    files_not_in,
+    ledger,
+    publish,
+    read_manifest,
+    write_ledger,
+    written_folders,
+)
+from quayflow.sources.tables import lines_csv, manifest_rows, raw_files, raw_rows_of, raw_table
 
 
 def enriched_rows(visits: DataFrame, lines: DataFrame, times: TimeMode = "tolerant") -> DataFrame:
@@ -66,3 +75,49 @@ def refresh_curated(
         "unreadable_rows": events.get["unreadable"],
         "curated_rows": curated.get["rows"],
     }
+
+
+def refresh_versions(
+    spark: SparkSession,
+    raw_path: str,
+    lines_path: str,
+    curated_path: str,
+    *,
+    ingest_date: str | None = None,
+    times: TimeMode = "tolerant",
+    incremental: bool = False,
+) -> dict[str, int]:
+    """Write a new version of the curated layer, whole, of one date, or of new raw files only.
+
+    Readers see the layer as before until the version's manifest is there, and after a
+    failure still. ``incremental`` parses only raw files that no earlier version was made
+    from and adds their rows; the lines must be those of the earlier versions, else a whole
+    refresh is due. The counts come from the files read and written, not from tasks, which
+    may run twice.
+    """
+    raw_path, curated_path = raw_path.rstrip("/"), curated_path.rstrip("/")
+    before = read_manifest(spark, curated_path) or Manifest()
+    files = raw_files(spark, raw_path, ingest_date)
+    if incremental:
+        files = files_not_in(spark, files, ledger(spark, curated_path, before))
+    if incremental and not files:
+        return {"raw_files": 0, "raw_rows": 0, "curated_rows": 0}
+    version = before.new_version()
+    raw = raw_rows_of(spark, raw_path, files)
+    visits = with_line_ref(explode_visits(lift_deliveries(parse_events(raw))))
+    rows = curated_rows(visits, lines_csv(spark, lines_path), times)
+    write_version(rows, curated_path, version, "roi_label")
+    write_ledger(spark, curated_path, version, files)
+    folders = written_folders(spark, curated_path, version)
+    if incremental:
+        after = before.added(version, folders)
+    else:
+        only = f"ingest_date={ingest_date}" if ingest_date else None
+        after = before.replaced(version, folders, only)
+    publish(spark, curated_path, after)
+    written = Manifest(folders={folder: [version] for folder in folders})
+    return {
+        "raw_files": len(files),
+        "raw_rows": raw.count(),
+        "curated_rows": manifest_rows(spark, curated_path, CURATED, written).count(),
+    }

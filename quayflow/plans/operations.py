@@ -18,9 +18,11 @@ from quayflow.operators.offsets import offset_report, offset_summary
 from quayflow.operators.passages import visits_of, project_passages
 from quayflow.operators.visits import last_reports
 from quayflow.plans.catalogue import Query, curated_layer, plain
-from quayflow.plans.curated import curated_rows
+from quayflow.plans.compaction import compact_raw
+from quayflow.plans.curated import curated_rows, refresh_versions
 from quayflow.plans.star_events import part_lines, raw_layer, table
 from quayflow.session import scratch_path
+from quayflow.sinks.files import write_raw
 from quayflow.sources.tables import curated_table, raw_stream, raw_table
 from quayflow.streaming.control import wait
 from quayflow.streaming.departure_kpis import start_departure_kpis
@@ -157,6 +159,56 @@ def stream_departure_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _period(spark.read.parquet(path).drop("sketch"))
 
 
+# versions of the layers
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The line items' raw rows as two batches that arrive one after the other."""
+    raw = raw_table(spark, raw_layer(spark, sf_dir))
+    return [raw.where(F.col("kafka_offset") % 2 == half) for half in (0, 1)]
+
+
+def _lines_file(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "lines")
+    part_lines(spark, sf_dir).write.option("header", True).csv(path)
+    return path
+
+
+def curated_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh of all, then one of the raw files that came since."""
+    raw, curated = scratch_path(spark, "raw"), scratch_path(spark, "curated")
+    lines = _lines_file(spark, sf_dir)
+    for half in _halves(spark, sf_dir):
+        write_raw(half, raw)
+        refresh_versions(spark, raw, lines, curated, incremental=True)
+    return plain(curated_table(spark, curated))
+
+
+def refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two incremental refreshes and one without new files report."""
+    raw, curated = scratch_path(spark, "raw"), scratch_path(spark, "curated")
+    lines = _lines_file(spark, sf_dir)
+    counts = []
+    for half in [*_halves(spark, sf_dir), None]:
+        if half is not None:
+            write_raw(half, raw)
+        counts.append(refresh_versions(spark, raw, lines, curated, incremental=True))
+    rows = [(n, c["raw_rows"], c["curated_rows"]) for n, c in enumerate(counts, 1)]
+    return spark.createDataFrame(rows, "refresh int, raw_rows bigint, curated_rows bigint")
+
+
+def raw_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer after all its dates were compacted and more arrived for them."""
+    path = scratch_path(spark, "raw")
+    first, second = _halves(spark, sf_dir)
+    write_raw(first, path)
+    dates = [row.ingest_date for row in raw_table(spark, path).select("ingest_date").distinct().collect()]
+    for day in dates:
+        compact_raw(spark, path, day.isoformat())
+    write_raw(second, path)
+    return plain(raw_table(spark, path).drop("raw_json"))
+
+
 QUERIES: dict[str, Query] = {
     "offset_gaps": offset_gaps,
     "offset_totals": offset_totals,
@@ -165,4 +217,7 @@ QUERIES: dict[str, Query] = {
     "daily_kpis": daily_kpis,
     "headway_quantiles": headway_quantiles,
     "stream_departure_kpis": stream_departure_kpis,
+    "curated_incremental": curated_incremental,
+    "refresh_counts": refresh_counts,
+    "raw_compacted": raw_compacted,
 }

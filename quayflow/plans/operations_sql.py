@@ -114,5 +114,23 @@ FROM leads
 WHERE day_start + {_DAY} <= (
   SELECT max(expected_departure_time) // 1000 * 1000 - 36 * 3600000000 FROM curated)
 GROUP BY day_start, roi_label
+""",
+    "curated_incremental": _VISITS + "SELECT * FROM curated",
+    "refresh_counts": _VISITS
+    + """
+SELECT CAST(1 + (k * 8 + n) % 2 AS INTEGER) AS refresh, count(*) AS raw_rows,
+       any_value(curated_rows) AS curated_rows
+FROM ev JOIN (SELECT kafka_offset % 2 AS half, count(*) AS curated_rows FROM curated GROUP BY half)
+  ON (k * 8 + n) % 2 = half
+GROUP BY (k * 8 + n) % 2
+UNION ALL SELECT CAST(3 AS INTEGER), 0, 0
+""",
+    "raw_compacted": _VISITS
+    + """
+SELECT 'STIF:StopPoint:Q:' || s || ':' AS kafka_key, 'lineitem-events' AS kafka_topic,
+       CAST(s % 8 AS INTEGER) AS kafka_partition, k * 8 + n AS kafka_offset,
+       ship + n * 3600000000 AS kafka_timestamp, year_start + n * 3600000000 AS ingest_ts,
+       strftime(make_timestamp(year_start + n * 3600000000), '%Y-%m-%d') AS ingest_date
+FROM ev
 """,
 }

@@ -10,6 +10,7 @@ suppliers stops, and web events cluster-metrics messages.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from quayflow.operators.raw import to_raw
 from quayflow.operators.reference import identify_lines
 from quayflow.session import scratch_path
 from quayflow.sinks.files import write_raw
+from quayflow.sources.storage import file_state
 
 EVENT_SOURCE = "star.lineitem"
 EVENT_TOPIC = "lineitem-events"
@@ -179,14 +181,8 @@ _written: dict[tuple, str] = {}
 
 def _files_of(spark: SparkSession, sf_dir: str) -> tuple:
     """What tells the input files of the layers from rewritten ones."""
-    found = []
-    for name in ("lineitem", "part"):
-        files = table(spark, sf_dir, name).select(
-            "_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size"
-        )
-        file = F.xxhash64("file_path", "file_modification_time", "file_size")
-        found.append(files.distinct().agg(F.bit_xor(file).alias("files")).first()["files"])
-    return tuple(found)
+    names = [n for t in ("lineitem", "part") for n in table(spark, sf_dir, t).inputFiles()]
+    return tuple(file_state(spark, unquote(name)) for name in names)
 
 
 def stored_layer(

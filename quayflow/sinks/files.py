@@ -6,6 +6,9 @@ from datetime import date
 from typing import Literal
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quayflow.sources.manifest import read_manifest
 
 Overwrite = Literal["dynamic", "static"]
 CURATED_PARTITIONS = ["ingest_date", "roi_label"]
@@ -35,7 +38,12 @@ def write_curated(
     The rebalance brings the rows of a partition together, so each gets a few
     files of the advisory size instead of one from every task, and splits a
     partition beyond that size over several tasks, however hot its label is.
+
+    Readers of the replaced part see it incomplete until this is done; see
+    :func:`write_version` for a layer whose readers never do.
     """
+    if read_manifest(curated.sparkSession, path.rstrip("/")):
+        raise ValueError(f"{path} has manifests; refresh its versions instead")
     partitions = CURATED_PARTITIONS
     if ingest_date and overwrite == "static":
         path = f"{path.rstrip('/')}/ingest_date={date.fromisoformat(ingest_date)}"
@@ -49,6 +57,19 @@ def write_curated(
     )
 
 
+def write_version(rows: DataFrame, path: str, version: str, *partitions: str) -> None:
+    """Write rows into ``version`` folders below their dates'; no reader sees them until a
+    manifest names the version. ``partitions`` divide a version's folder, rebalanced."""
+    versioned = rows.withColumn("version", F.lit(version))
+    if partitions:
+        versioned = versioned.hint("rebalance", "ingest_date", *partitions)
+    (
+        versioned.write.mode("append")
+        .partitionBy("ingest_date", "version", *partitions)
+        .parquet(path)
+    )
+
+
 def write_points(points: DataFrame, path: str, mode: str = "append") -> None:
     """Points as Parquet."""
     points.write.mode(mode).parquet(path)
