@@ -54,7 +54,7 @@ def audit(masks: DataFrame, filters: Sequence[str]) -> DataFrame:
     """
     spark, n = masks.sparkSession, len(filters)
     orders = ["".join(order) for order in permutations(filters)]
-    counted = masks.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    counted = stored(masks.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in COUNTS]), "masks")
     # a fixed table: under 1,000 intervals for five filters
     table = spark.createDataFrame(list(removal_intervals(n)), "mask int, step int, first int, after int")
     covered = counted.join(F.broadcast(table), "mask")
