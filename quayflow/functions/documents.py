@@ -7,41 +7,50 @@ from pyspark.sql import functions as F
 
 
 # A value of any size is valid; quotes and numbers are those of the JSON standard.
+_ANY = str(2**31 - 1)
 _STRICT = {
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
-    "maxStringLen": str(2**31 - 1),
+    "maxStringLen": _ANY,
+    "maxNumLen": _ANY,
+    "maxNestingDepth": _ANY,
 }
 
+# From here on a text may be beyond what is read into a VARIANT: strings of 20 million
+# characters, 128 MB in all.
+LARGE_BYTES = 16 << 20
 
-def is_json(text: Column) -> Column:
-    """Whether a text is exactly one JSON value; repeated keys are allowed.
 
-    As an array's only element the text must be one value, and before another element
-    it must end there.
+def _sealed(text: Column) -> Column:
+    """The text as an array's first element, its own digest as the second.
+
+    Parsers stop where their value ends and accept whatever follows. If the second element
+    is the digest, the text before it was one value: it cannot hold its own digest.
     """
+    return F.concat(F.lit("["), text, F.lit(',"'), F.md5(text.cast("binary")), F.lit('"]'))
+
 
-    def elements(tail: str, count: int) -> Column:
-        array = F.concat(F.lit("["), text, F.lit(tail))
-        return F.size(F.from_json(array, "array<string>", _STRICT)) == count
+def is_json(text: Column) -> Column:
+    """Whether a text is exactly one JSON value; repeated keys are allowed.
 
-    return F.coalesce(elements("]", 1) & elements(",0]", 2), F.lit(False))
+    Numbers and texts may have any length. Arrays and objects may be nested some 990 deep,
+    which is as deep as Spark's parser writes a value out.
+    """
+    elements = F.from_json(_sealed(text), "array<string>", _STRICT)
+    seal = F.get(elements, F.lit(1)) == F.md5(text.cast("binary"))
+    return F.coalesce(seal & (F.size(elements) == 2), F.lit(False))
 
 
 def parse_json(text: Column) -> Column:
     """VARIANT of a text that is exactly one JSON value, else NULL.
 
     Of repeated keys the last counts where ``spark.sql.variant.allowDuplicateKeys`` is
-    set, as the library's session settings do. Texts beyond a VARIANT's size (16 MB,
-    above what brokers accept by default) are NULL.
-
-    ``try_parse_json`` alone stops after the first value and accepts whatever
-    follows it. A text that parses both as the only member of an object and as
-    the only element of an array cannot have anything after its value.
+    set, as the library's session settings do. Texts with a string of over 20 million
+    characters or beyond 128 MB, far above what brokers accept by default, are NULL.
     """
-    as_member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(as_element.isNotNull(), F.variant_get(as_member, "$.v", "variant"))
+    sealed = F.try_parse_json(_sealed(text))
+    seal = F.try_variant_get(sealed, "$[1]", "string") == F.md5(text.cast("binary"))
+    return F.when(seal, F.variant_get(sealed, "$[0]", "variant"))
 
 
 def event_json(

@@ -8,6 +8,7 @@ from quayflow.jobs.arguments import parser
 from quayflow.plans.publish import publish_events
 from quayflow.schemas import FETCH_OUTCOME
 from quayflow.session import build_session
+from quayflow.sinks.kafka import write_records
 from quayflow.sources.tables import stops_csv
 
 
@@ -17,7 +18,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("publish events")
     outcomes = spark.read.schema(FETCH_OUTCOME).parquet(args.outcomes)
     counts = publish_events(
-        stops_csv(spark, args.stops), outcomes, args.event_source, args.servers, args.topic
+        stops_csv(spark, args.stops),
+        outcomes,
+        args.event_source,
+        lambda events: write_records(events, args.servers, args.topic),
     )
     print(f"stops: {counts.total}, sent: {counts.ok}, failed: {counts.failed}")
 

@@ -20,6 +20,8 @@ def join_lines(visits: DataFrame, lines: DataFrame, salt: int | None = None) ->
     """
     dimension = lines.select(F.col("siri_line_ref").alias("join_line_ref"), *LINE_COLUMNS)
     on = visits["line_ref"] == dimension["join_line_ref"]
+    if salt is not None and salt < 1:
+        raise ValueError(f"salt must be 1 or more, not {salt}")
     if salt is None:
         return visits.join(dimension, on, "left").drop("join_line_ref")
     # A hash of the record, not a random number: a retried task salts alike.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayflow.functions.documents import parse_json
+from quayflow.functions.documents import LARGE_BYTES, parse_json
 from quayflow.operators.points import measurement_text, tag_text
 
 # The metric fields by conversion rule, and the constant tags.
@@ -39,6 +39,7 @@ BY_TYPE_FIELDS = [
     "containersPending",
     "rmSchedulerBusyPercent",
 ]
+TIME_REASON = "time beyond nanoseconds"
 SOURCE_TAG = "yarn_rm"
 HOST_TAG = "master"
 
@@ -124,7 +125,11 @@ def read_metrics(messages: DataFrame, value: str = "value") -> DataFrame:
         "*", F.try_variant_get("given", "$", f"struct<{_FIELDS_TYPE}>").alias("metrics")
     )
     document_reason = (
-        F.when(F.col("document").isNull(), F.lit("not valid JSON"))
+        F.when(
+            F.col("document").isNull() & (F.octet_length(text) >= LARGE_BYTES),
+            F.lit("too large or not valid JSON"),
+        )
+        .when(F.col("document").isNull(), F.lit("not valid JSON"))
         .when(~F.ltrim(text).startswith("{"), F.lit("not a JSON object"))
         .when(
             F.col("given").isNotNull() & F.col("metrics").isNull(),
@@ -172,10 +177,25 @@ def metric_time(offset: str, at: Column) -> Column:
     Points of equal time and tags replace each other in a time-series store. The time
     is ``at``, for a Kafka record its own timestamp, to the millisecond, and the six
     digits below hold the end of ``offset``; the partition is a tag. Two records share
-    both only if a partition gets a million records with one millisecond.
+    both only if a partition gets a million records with one millisecond. NULL outside the
+    years 1677 to 2262, which nanoseconds reach.
+    """
+    millions = F.try_multiply(F.unix_millis(at), F.lit(1_000_000))
+    return F.try_add(millions, F.pmod(F.col(offset), F.lit(1_000_000)))
+
+
+def placed(read: DataFrame, time_ns: Column) -> DataFrame:
+    """Add ``time_ns``; a message without one, or with a time beyond its range, is rejected.
+
+    A producer sets its record's time, so one that no point can have must not stop a stream.
     """
-    millis = F.unix_millis(at)
-    return millis * F.lit(1_000_000) + F.pmod(F.col(offset), F.lit(1_000_000))
+    others = [n for n in read.columns if n not in ("time_ns", "reject_reason", "metric_fields")]
+    timed = read.select(*others, "reject_reason", "metric_fields", time_ns.alias("time_ns"))
+    reason = F.coalesce("reject_reason", F.when(F.col("time_ns").isNull(), F.lit(TIME_REASON)))
+    fields = F.when(F.col("time_ns").isNotNull(), F.col("metric_fields"))
+    return timed.select(
+        *others, "time_ns", reason.alias("reject_reason"), fields.alias("metric_fields")
+    )
 
 
 def _tagged(
@@ -247,4 +267,4 @@ def metric_lines(
 
 def rejected_messages(read: DataFrame) -> DataFrame:
     """The messages without a point, with the reason."""
-    return read.where(F.col("reject_reason").isNotNull()).drop("metric_fields")
+    return read.where(F.col("reject_reason").isNotNull()).drop("metric_fields", "time_ns")

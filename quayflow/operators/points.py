@@ -97,7 +97,7 @@ def _escaped(value: Column, replacements: Sequence[tuple[str, str]]) -> Column:
 
 
 # Line protocol's escapes in measurement names, tag values and text fields.
-_MEASUREMENT_ESCAPES = [(",", r"\,"), (" ", r"\ ")]
+_MEASUREMENT_ESCAPES = [(",", r"\,"), (" ", r"\ "), ("\n", r"\n"), ("\r", r"\r")]
 _TAG_ESCAPES = [
     (",", r"\,"),
     ("=", r"\="),

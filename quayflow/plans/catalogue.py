@@ -21,6 +21,7 @@ from quayflow.operators.metrics import (
     metric_lines,
     metric_points,
     metric_time,
+    placed,
     read_metrics,
     rejected_messages,
 )
@@ -44,11 +45,12 @@ from quayflow.operators.raw import to_raw
 from quayflow.operators.reference import identify_stops, observed_lines, select_roi_stops
 from quayflow.plans.curated import curated_rows, enriched_rows, refresh_curated
 from quayflow.plans.export import export_points
-from quayflow.plans.publish import publish_counts, stop_events
+from quayflow.plans.publish import publish_events, publish_metrics
 from quayflow.plans.references import line_reference
 from quayflow.plans.star_events import (
     METRICS_TOPIC,
     event_records,
+    far_time,
     metrics_messages,
     metrics_records,
     part_lines,
@@ -59,7 +61,7 @@ from quayflow.plans.star_events import (
 from quayflow.schemas import LINE_COLUMNS
 from quayflow.session import scratch_path
 from quayflow.sinks.files import write_curated, write_lines, write_points, write_raw
-from quayflow.sources.tables import curated_table, raw_table, stops_csv
+from quayflow.sources.tables import curated_table, message_lines, raw_table, stops_csv
 from quayflow.streaming.control import wait
 from quayflow.streaming.metrics_ingest import file_sink, start_metrics_ingest
 from quayflow.streaming.raw_ingest import start_raw_ingest
@@ -127,7 +129,8 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as fetches: blank and padded references, errors and broken payloads occur."""
+    """Customers as fetches: blank and padded references, errors, broken payloads, numbers of
+    1,500 digits and values nested 900 deep occur."""
     key = F.col("c_custkey")
     ref = F.concat(F.lit("STIF:StopPoint:Q:"), key, F.lit(":"))
     payload = F.concat(
@@ -150,6 +153,8 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 13 == 2, F.concat(payload, F.lit("}")))
         .when(key % 13 == 3, F.concat(F.lit('{"broken": '), payload))
         .when(key % 13 == 4, F.concat(F.lit('{"same": 1, "same": '), payload, F.lit("}")))
+        .when(key % 13 == 5, F.concat(F.lit('{"n": ' + "7" * 1500 + ', "v": '), payload, F.lit("}")))
+        .when(key % 13 == 6, F.concat(F.lit("[" * 900), payload, F.lit("]" * 900)))
         .otherwise(payload)
         .alias("payload"),
         F.when(key % 17 == 0, "timeout").alias("error"),
@@ -172,10 +177,12 @@ def keyed_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unkeyed_metric_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = metrics_records(table(spark, sf_dir, "events")).select(
-        F.col("value").cast("string").alias("message")
-    )
-    return keyed_records(messages, "message")
+    """The job's function on files of messages, with a folder in place of the topic."""
+    lines, sent = scratch_path(spark, "messages"), scratch_path(spark, "sent")
+    records = metrics_records(table(spark, sf_dir, "events"))
+    write_lines(records.select(F.col("value").cast("string")), lines)
+    publish_metrics(message_lines(spark, lines), "message", lambda r: r.write.parquet(sent))
+    return spark.read.parquet(sent)
 
 
 def fetch_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,12 +190,19 @@ def fetch_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as stops and customers as outcomes: unlisted and missing stops occur."""
+    """The job's function with suppliers as stops and customers as outcomes, and a folder in
+    place of the topic: stops occur that are unlisted, that have no outcome and that have two."""
     key = F.col("s_suppkey")
     stops = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit(" STIF:StopPoint:Q:"), key * 2, F.lit(":")).alias("siri_monitoring_ref")
     )
-    return publish_counts(stops, stop_events(stops, _outcomes(spark, sf_dir), "star.customer"))
+    outcomes, sent = _outcomes(spark, sf_dir), scratch_path(spark, "sent")
+    again = outcomes.where("monitoring_ref LIKE '%4:%'")
+    counts = publish_events(
+        stops, outcomes.union(again), "star.customer", lambda events: events.write.parquet(sent)
+    )
+    numbers = [F.lit(n).cast("bigint").alias(name) for name, n in counts._asdict().items()]
+    return spark.read.parquet(sent).agg(F.count(F.lit(1)).alias("n_sent")).select(*numbers, "n_sent")
 
 
 def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,41 +420,35 @@ def point_text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _read_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_metrics(metrics_messages(spark, sf_dir))
+    read = read_metrics(metrics_messages(spark, sf_dir))
+    return placed(read, metric_time("offset", F.col("timestamp")))
 
 
 def metrics_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    time_ns = metric_time("offset", F.col("timestamp"))
-    points = metric_points(
-        _read_metrics(spark, sf_dir), METRICS_TOPIC, "cluster", time_ns, ("offset",), "partition"
-    )
+    read, time_ns = _read_metrics(spark, sf_dir), F.col("time_ns")
+    points = metric_points(read, METRICS_TOPIC, "cluster", time_ns, ("offset",), "partition")
     return points.withColumnRenamed("offset", "kafka_offset")
 
 
 def metrics_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    time_ns = metric_time("offset", F.col("timestamp"))
     read = _read_metrics(spark, sf_dir)
-    return metric_lines(read, METRICS_TOPIC, "cluster", time_ns, "partition")
+    return metric_lines(read, METRICS_TOPIC, "cluster", F.col("time_ns"), "partition")
 
 
 def metrics_point_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted messages with fields and their points, for offsets that repeat in the
-    partitions and one time for the whole batch."""
+    partitions and one time for the whole batch but the records with a far one."""
     messages = metrics_messages(spark, sf_dir).withColumns(
         {
             "partition": (F.col("offset") % 8).cast("int"),
             "event": F.col("offset"),
             "offset": F.expr("offset DIV 8"),
-            "timestamp": F.timestamp_seconds(F.lit(1_700_000_000)),
+            "timestamp": far_time(F.col("offset"), F.timestamp_seconds(F.lit(1_700_000_000))),
         }
     )
-    points = metric_points(
-        read_metrics(messages.withColumn("kafka_partition", F.col("partition"))),
-        METRICS_TOPIC,
-        "cluster",
-        metric_time("offset", F.col("timestamp")),
-        ("event",),
-    )
+    read = read_metrics(messages.withColumn("kafka_partition", F.col("partition")))
+    read = placed(read, metric_time("offset", F.col("timestamp")))
+    points = metric_points(read, METRICS_TOPIC, "cluster", F.col("time_ns"), ("event",))
     identity = F.struct("source", "rm_host", "topic", "partition", "time_ns")
     return points.agg(
         F.count_distinct("event").alias("n_messages"), F.count_distinct(identity).alias("n_points")

@@ -86,10 +86,13 @@ _FETCHES = """
 WITH fetches AS (
   SELECT c_custkey AS k, CASE WHEN c_custkey % 11 > 1
                               THEN 'STIF:StopPoint:Q:' || c_custkey || ':' END AS ref,
-         CASE WHEN c_custkey % 13 = 4 THEN '{"same": 1, "same": ' ELSE '' END
+         CASE c_custkey % 13 WHEN 4 THEN '{"same": 1, "same": '
+              WHEN 5 THEN '{"n": ' || repeat('7', 1500) || ', "v": '
+              WHEN 6 THEN repeat('[', 900) ELSE '' END
            || '{"Name": "' || c_name || ' — né", "Segment": "' || c_mktsegment || '", "Nation": '
            || c_nationkey || ', "Balance": 1.50, "none": null}'
-           || CASE WHEN c_custkey % 13 = 4 THEN '}' ELSE '' END AS payload,
+           || CASE c_custkey % 13 WHEN 4 THEN '}' WHEN 5 THEN '}'
+              WHEN 6 THEN repeat(']', 900) ELSE '' END AS payload,
          c_custkey % 13 > 3 AND c_custkey % 17 <> 0 AS ok,
          1704067200000000 + c_custkey * 250001 AS fetched_us
   FROM customer
@@ -134,9 +137,10 @@ messages AS (
                 WHEN 2 THEN '{"clusterMetrics":null}' WHEN 3 THEN '{}'
                 ELSE full_text END AS message,
     CASE e % 53 WHEN 0 THEN 'not valid JSON' WHEN 1 THEN 'not a JSON object'
-                WHEN 2 THEN 'clusterMetrics is not an object' WHEN 3 THEN NULL
-                ELSE CASE WHEN e % 7 > 2 AND e % 49 IN (3, 10)
-                          THEN 'unreadable number: availableMB' END
+                WHEN 2 THEN 'clusterMetrics is not an object'
+                ELSE CASE WHEN e % 53 <> 3 AND e % 7 > 2 AND e % 49 IN (3, 10)
+                          THEN 'unreadable number: availableMB'
+                          WHEN e % 61 IN (7, 8) THEN 'time beyond nanoseconds' END
     END AS reject_reason,
     (us // 1000) * 1000000 + e % 1000000 AS time_ns
   FROM whole
@@ -251,7 +255,8 @@ ORACLE_SQL: dict[str, str] = {
     + """, listed AS (
   SELECT DISTINCT 'STIF:StopPoint:Q:' || s_suppkey * 2 || ':' AS ref FROM supplier)
 SELECT count(*) AS total, count(monitoring_ref) AS ok,
-       count(*) FILTER (monitoring_ref IS NULL) AS failed
+       count(*) FILTER (monitoring_ref IS NULL) AS failed,
+       count(monitoring_ref) + count(*) FILTER (monitoring_ref LIKE '%4:') AS n_sent
 FROM listed LEFT JOIN (SELECT DISTINCT monitoring_ref FROM events_out) ON ref = monitoring_ref
 """,
     "batch_counts": """

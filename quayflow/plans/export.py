@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayflow.operators.counts import counted
 from quayflow.operators.points import kpi_ready, to_points
 from quayflow.sources.tables import curated_table
 
@@ -25,12 +24,12 @@ def export_points(
 
     ``write`` gets the lazy points frame and runs one action on it; rows go from
     the executors straight to the sink. Returns how many points there are, and how many
-    rows have no point as their time is beyond what nanoseconds reach.
+    rows have no point as their time is beyond what nanoseconds reach. They are counted
+    by a query of their own over the time column, so tasks that run twice count once.
     """
-    ready = kpi_ready(curated_table(spark, curated_path))
-    points, seen = counted(
-        to_points(ready, measurement), unplaced=F.count_if(F.col("time_ns").isNull())
-    )
+    points = to_points(kpi_ready(curated_table(spark, curated_path)), measurement)
     write(points.where(F.col("time_ns").isNotNull()))
-    counts = seen.get
-    return PointCounts(counts["rows"] - counts["unplaced"], counts["unplaced"])
+    counts = points.agg(
+        F.count("time_ns").alias("points"), F.count_if(F.col("time_ns").isNull()).alias("unplaced")
+    )
+    return PointCounts(*counts.first())

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayflow.operators.counts import counted
 from quayflow.operators.events import build_events, keyed_records, monitored_stops
-from quayflow.sinks.kafka import write_records
+from quayflow.session import stored
+
+# Takes ``key`` and ``value`` columns; returns when all rows are acknowledged.
+Send = Callable[[DataFrame], None]
 
 
 def stop_events(stops: DataFrame, outcomes: DataFrame, event_source: str) -> DataFrame:
@@ -40,20 +43,19 @@ def publish_counts(stops: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def publish_events(
-    stops: DataFrame, outcomes: DataFrame, event_source: str, servers: str, topic: str
+    stops: DataFrame, outcomes: DataFrame, event_source: str, send: Send
 ) -> PublishCounts:
-    """Send the events and count them on the way; the payloads are read once.
+    """Send the events of the listed stops and count the stops that had one.
 
-    The write returns when the brokers have the events. With several outcomes of a stop
-    each is sent, and ``ok`` counts them.
+    The events are kept in the shared folder first, so the payloads are read once, what is
+    sent is what is counted, and tasks that run twice count once. With several outcomes of
+    a stop each is sent, and the stop counts once.
     """
-    events, sent = counted(stop_events(stops, outcomes, event_source))
-    write_records(events, servers, topic)
-    total = monitored_stops(stops).select("monitoring_ref").distinct().count()
-    ok = sent.get["rows"]
-    return PublishCounts(total, ok, max(0, total - ok))
+    events = stored(stop_events(stops, outcomes, event_source), "outbox")
+    send(events)
+    return PublishCounts(*publish_counts(stops, events).first())
 
 
-def publish_metrics(messages: DataFrame, value: str, servers: str, topic: str) -> None:
-    """Send metrics messages without a key."""
-    write_records(keyed_records(messages, value), servers, topic)
+def publish_metrics(messages: DataFrame, value: str, send: Send) -> None:
+    """Send metrics messages without a key, each as it is."""
+    send(keyed_records(messages, value))

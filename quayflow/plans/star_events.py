@@ -239,6 +239,15 @@ def metrics_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics_records(events)
 
 
+def far_time(event: Column, at: Column) -> Column:
+    """Times of some records beyond the years of a nanosecond time, as a producer may set."""
+    return (
+        F.when(event % 61 == 7, F.lit("2300-01-01 00:00:00").cast("timestamp"))
+        .when(event % 61 == 8, F.lit("1600-01-01 00:00:00").cast("timestamp"))
+        .otherwise(at)
+    )
+
+
 def metrics_records(events: DataFrame) -> DataFrame:
     """Web events as cluster-metrics messages with every JSON type in the fields."""
     event = F.col("event_id")
@@ -288,5 +297,5 @@ def metrics_records(events: DataFrame) -> DataFrame:
         F.lit(METRICS_TOPIC).alias("topic"),
         (F.col("user_id") % 8).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        timestamp("ts").alias("timestamp"),
+        far_time(F.col("event_id"), timestamp("ts")).alias("timestamp"),
     )

@@ -119,3 +119,9 @@ def stops_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("multiLine", True)
         .csv(path)
     )
+
+
+def message_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``message`` for each line of text files that is not blank."""
+    lines = spark.read.text(path).withColumnRenamed("value", "message")
+    return lines.where(F.trim("message") != "")

@@ -14,6 +14,7 @@ from quayflow.operators.metrics import (
     metric_lines,
     metric_points,
     metric_time,
+    placed,
     read_metrics,
     rejected_messages,
 )
@@ -77,8 +78,9 @@ def start_metrics_ingest(
 
     A point's time comes from its record (``record_time``, by default the Kafka
     timestamp) and offset, and its tags hold the partition, so no two records of a
-    topic share a point and a batch that runs again gives the same points. Progress is committed after the sink returns, so delivery is at least
-    once, and both points and files are replaced by their repetition.
+    topic share a point and a batch that runs again gives the same points; a record whose
+    time no point can have goes aside as well. Progress is committed after the sink returns,
+    so delivery is at least once, and both points and files are replaced by their repetition.
     """
     stamped = records.select(
         F.col("value").cast("string").alias("value"),
@@ -92,9 +94,10 @@ def start_metrics_ingest(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # The outputs share the parsed messages; what an executor loss drops from
         # the cache is read again from the source at the batch's offsets.
-        read = read_metrics(batch).persist()
+        read = placed(read_metrics(batch), metric_time("kafka_offset", F.col("record_time")))
+        read = read.persist()
         try:
-            time_ns = metric_time("kafka_offset", F.col("record_time"))
+            time_ns = F.col("time_ns")
             sink(
                 MetricsBatch(
                     number=batch_id,

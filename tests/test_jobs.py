@@ -4,11 +4,14 @@ from quayflow.jobs import (
     curated_batch,
     export_points,
     metrics_ingest,
+    offset_report,
     prepare_references,
     publish_events,
+    publish_metrics,
     raw_ingest,
 )
 from quayflow.jobs.arguments import ENVIRONMENT, parser
+from quayflow.schemas import FETCH_OUTCOME
 from quayflow.session import scratch_path
 from quayflow.sources.tables import curated_table, lines_csv, stops_csv
 from test_lines import LINES, raw_rows
@@ -32,7 +35,9 @@ JOBS = [
     export_points,
     metrics_ingest,
     prepare_references,
+    offset_report,
     publish_events,
+    publish_metrics,
     raw_ingest,
 ]
 
@@ -100,3 +105,51 @@ def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(shared) and first != second
+
+
+def sent_by(monkeypatch, job):
+    """Replaces the topic of a job by a list of what it is sent."""
+    sent = []
+    collect = lambda records, servers, topic: sent.extend((topic, *r) for r in records.select("key", "value").collect())
+    monkeypatch.setattr(job, "write_records", collect)
+    return sent
+
+
+def test_publish_events_counts_stops_not_outcomes(spark, tmp_path, capsys, monkeypatch):
+    """Two outcomes of stop A, none of B, one of C that is broken."""
+    sent = sent_by(monkeypatch, publish_events)
+    stops, outcomes = tmp_path / "stops.csv", str(tmp_path / "outcomes")
+    stops.write_text("siri_monitoring_ref\nA\n B \nC\nA\n \n")
+    rows = [("A", "{}", None), ("A", "[1]", None), ("C", "{", None), ("D", "{}", None)]
+    spark.createDataFrame(rows, FETCH_OUTCOME).write.parquet(outcomes)
+    publish_events.main(
+        ["--servers", "s", "--topic", "t", "--stops", str(stops), "--outcomes", outcomes, "--event-source", "e"]
+    )
+    assert "stops: 3, sent: 1, failed: 2" in capsys.readouterr().out
+    assert [(topic, key) for topic, key, _ in sent] == [("t", "A"), ("t", "A")]
+
+
+def test_publish_metrics_sends_each_line(spark, tmp_path, monkeypatch):
+    sent = sent_by(monkeypatch, publish_metrics)
+    lines = tmp_path / "messages.txt"
+    lines.write_text('{"clusterMetrics": {}}\n\n{"clusterMetrics": {"totalMB": 1}}\n')
+    publish_metrics.main(["--servers", "s", "--metrics-topic", "m", "--messages", str(lines)])
+    assert sorted(sent) == [("m", None, '{"clusterMetrics": {"totalMB": 1}}'), ("m", None, '{"clusterMetrics": {}}')]
+
+
+def test_versions_and_offsets_from_the_shell(spark, tmp_path, capsys):
+    raw, csv, curated, report = (str(tmp_path / n) for n in ("raw", "lines", "curated", "report"))
+    raw_rows(spark).write.partitionBy("ingest_date").parquet(raw)
+    spark.createDataFrame([("STIF:Line::C1:", "RER A", "A", "A", "rail")], LINES).write.option(
+        "header", True
+    ).csv(csv)
+    given = ["--raw", raw, "--lines", csv, "--curated-output", curated, "--versions"]
+    curated_batch.main(given)
+    assert "curated_rows: 2" in capsys.readouterr().out
+    curated_batch.main([*given, "--incremental"])
+    assert "raw_files: 0" in capsys.readouterr().out
+    assert curated_table(spark, curated).count() == 2
+    with pytest.raises(SystemExit):
+        curated_batch.main([*given[:-1], "--incremental"])
+    offset_report.main(["--raw", raw, "--report", report])
+    assert set(spark.read.parquet(report).columns) >= {"kind", "first_offset", "last_offset"}

@@ -192,3 +192,8 @@ def test_wrong_date_is_reported(spark, text):
 def test_no_date_keeps_all(spark, text):
     raw = spark.createDataFrame([], RAW)
     assert on_ingest_date(raw, text) is raw
+
+
+def test_salt_must_be_positive(spark, lines):
+    with pytest.raises(ValueError, match="salt"):
+        join_lines(spark.createDataFrame([], KEYS), lines, salt=0)

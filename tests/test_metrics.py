@@ -12,6 +12,7 @@ from quayflow.operators.metrics import (
     metric_lines,
     metric_points,
     metric_time,
+    placed,
     read_metrics,
     rejected_messages,
 )
@@ -133,3 +134,26 @@ def test_records_of_one_millisecond_have_points_of_their_own(spark):
     assert rows.select(F.expr("time_ns div 1000000")).distinct().count() == 1
     lines = metric_lines(frame, "topic", "m", metric_time("offset", at), "partition")
     assert lines.distinct().count() == 2002
+
+
+@pytest.mark.parametrize("at", ["2300-01-01", "1600-01-01", "9999-12-31", "0001-01-01", None])
+def test_time_beyond_nanoseconds_is_rejected(spark, at):
+    good = '{"clusterMetrics": {"totalMB": 1}}'
+    df = read(spark, [good, good, "broken"]).withColumn(
+        "at", F.when(F.col("offset") == 1, F.lit(at)).otherwise("2026-01-01").cast("timestamp")
+    )
+    frame = placed(df, metric_time("offset", F.col("at")))
+    rows = rejected_messages(frame).select("offset", "reject_reason").collect()
+    reasons = {r.offset: r.reject_reason for r in rows}
+    assert reasons == {1: "time beyond nanoseconds", 2: "not valid JSON"}
+    rows = metric_points(frame, "topic", "m", F.col("time_ns"), ("offset",)).collect()
+    assert [r.offset for r in rows] == [0]
+    assert metric_lines(frame, "topic", "m", F.col("time_ns")).count() == 1
+
+
+def test_too_large_a_message_has_a_reason_of_its_own(spark):
+    sizes = spark.createDataFrame([(0, 18 << 20), (1, 24 << 20)], "offset bigint, size int")
+    note = F.concat(F.lit('{"clusterMetrics": {"totalMB": 1, "note": "'), F.expr("repeat('x', size)"), F.lit('"}}'))
+    frame = read_metrics(sizes.select("offset", F.lit(0).alias("kafka_partition"), note.alias("value")))
+    (row,) = rejected_messages(frame).select("offset", "reject_reason").collect()
+    assert tuple(row) == (1, "too large or not valid JSON")
