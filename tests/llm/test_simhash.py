@@ -7,7 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from quayflow.llm import components as components_module
 from quayflow.llm import simhash
 from quayflow.llm.blocks import read_documents
 from quayflow.llm.components import components
@@ -144,6 +146,16 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    kept = components_module.stored
+    monkeypatch.setattr(components_module, "stored", lambda df, name: (rounds.append(name), kept(df, name))[1])
+    links = spark.range(9_999).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = components(links)
+    assert found.count() == 10_000 and found.filter("component <> 0").isEmpty()
+    assert rounds.count("parents") <= 12
+
+
 def test_one_of_each_keeps_columns(spark):
     df = spark.createDataFrame([(i, t, 0, "") for i, t in ROWS], SCHEMA)
     kept = simhash.one_of_each(df)
