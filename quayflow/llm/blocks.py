@@ -77,6 +77,13 @@ def words(values: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return ids, offsets, coded.dictionary
 
 
+def runs(sorted_values: np.ndarray):
+    """Each distinct value of a sorted array with the bounds of its run."""
+    values, starts = np.unique(sorted_values, return_index=True)
+    ends = np.append(starts[1:], len(sorted_values))
+    return zip(values.tolist(), starts.tolist(), ends.tolist(), strict=False)
+
+
 def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of each document's values; documents without any give zero."""
     sums = np.concatenate([[0], np.cumsum(values)])

@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayflow.llm.blocks import blocks, column, mix, pack, remainder, segment_sums, stored, texts
-from quayflow.llm.blocks import stored_by, unpack, words
+from quayflow.llm.blocks import blocks, column, mix, pack, remainder, runs, segment_sums, stored
+from quayflow.llm.blocks import stored_by, texts, unpack, words
 from quayflow.llm.token_counts import bucket_count
 
 BLOCK = 12 << 20
@@ -175,26 +175,24 @@ class _Block:
         bucket, context_bucket, context = self.dealt(n_buckets, totals)
         if self.level == 1:
             order = np.lexsort((self.gram_hash, bucket))
-            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            for b in np.flatnonzero(np.diff(cuts)):
-                part = order[cuts[b] : cuts[b + 1]]
+            for b, first, last in runs(bucket[order]):
+                part = order[first:last]
                 steps = np.diff(self.gram_hash[part], prepend=np.uint64(0))
-                yield int(b), part, None, (steps, self.trained[part].astype(np.int32))
+                yield b, part, None, (steps, self.trained[part].astype(np.int32))
             return
         by_hash = np.lexsort((self.context_hash[context], context_bucket))
         context, context_bucket = context[by_hash], context_bucket[by_hash]
         order = np.lexsort((self.gram_hash, self.context_hash[self.context], bucket))
-        cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-        context_cuts = np.searchsorted(context_bucket, np.arange(n_buckets + 1))
+        ordered = bucket[order]
         if self.level == 2 and lower is not None:
             # a word's probability follows from its count, which packs better
             lower = self.unigram
         lower = lower[self.first] if lower is not None else np.zeros(len(bucket))
-        for b in np.flatnonzero(np.diff(context_cuts)):
-            part = order[cuts[b] : cuts[b + 1]]
-            own = context[context_cuts[b] : context_cuts[b + 1]]
+        for b, first, last in runs(context_bucket):
+            part = order[slice(*np.searchsorted(ordered, [b, b + 1]))]
+            own = context[first:last]
             at = np.searchsorted(self.context_hash[own], self.context_hash[self.context[part]])
-            yield int(b), part, own, (
+            yield b, part, own, (
                 np.diff(self.context_hash[own], prepend=np.uint64(0)),
                 np.bincount(at, minlength=len(own)).astype(np.int32),
                 self.word_hash[part],

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayflow.llm.blocks import blocks, mix, pack, stored_by, texts, unpack
+from quayflow.llm.blocks import blocks, mix, pack, runs, stored_by, texts, unpack
 from quayflow.llm.token_counts import bucket_count
 
 LENGTH = 400
@@ -400,9 +400,8 @@ def _by_bucket(keys: np.ndarray, n_buckets: int):
     """Bucket by bucket, the places of its keys in key order."""
     bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
     order = np.lexsort((keys, bucket))
-    cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    for b in np.flatnonzero(np.diff(cuts)).tolist():
-        yield b, order[cuts[b] : cuts[b + 1]]
+    for b, first, last in runs(bucket[order]):
+        yield b, order[first:last]
 
 
 def _message_rows(block: str, rows: list[tuple[int, bytes]]) -> pa.Table:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayflow.llm.blocks import blocks, column, pack, segment_sums, stored, text_bytes, texts
+from quayflow.llm.blocks import blocks, column, pack, runs, segment_sums, stored, text_bytes, texts
 from quayflow.llm.blocks import unpack, words
 
 MESSAGE = "kind string, block string, bucket int, message binary"
@@ -83,14 +83,12 @@ def _split(n_buckets: int):
                 times.astype(np.int32),
             )
             rows = [("text", block, -1, message)]
-            ends = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             asked = named.take(pa.array(order))
-            for b in range(n_buckets):
-                if part := asked.slice(ends[b], ends[b + 1] - ends[b]).to_pylist():
-                    coded = [word.encode() for word in part]
-                    lengths = np.array([len(word) for word in coded], np.int32)
-                    joined = np.frombuffer(b"".join(coded), np.uint8)
-                    rows.append(("ask", block, b, pack(lengths, joined)))
+            for b, first, last in runs(bucket[order]):
+                coded = [word.encode() for word in asked.slice(first, last - first).to_pylist()]
+                lengths = np.array([len(word) for word in coded], np.int32)
+                joined = np.frombuffer(b"".join(coded), np.uint8)
+                rows.append(("ask", block, b, pack(lengths, joined)))
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("kind", "block", "bucket", "message"), row, strict=True)) for row in rows],
                 pa.schema(
