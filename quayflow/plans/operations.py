@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayflow.functions.texts import normalise_name
+from quayflow.operators.keywords import match_keywords
 from quayflow.operators.kpis import (
     departure_kpis,
     headways,
@@ -15,16 +17,19 @@ from quayflow.operators.kpis import (
     with_quantiles,
 )
 from quayflow.operators.offsets import offset_report, offset_summary
-from quayflow.operators.passages import visits_of, project_passages
+from quayflow.operators.passages import project_passages, visits_of
+from quayflow.operators.validity import join_lines_as_of, with_validity
 from quayflow.operators.visits import last_reports
 from quayflow.plans.catalogue import Query, curated_layer, plain
 from quayflow.plans.compaction import compact_raw
 from quayflow.plans.curated import curated_rows, refresh_versions
 from quayflow.plans.star_events import part_lines, raw_layer, table
+from quayflow.schemas import CURATED
 from quayflow.session import scratch_path
 from quayflow.sinks.files import write_raw
 from quayflow.sources.tables import curated_table, raw_stream, raw_table
 from quayflow.streaming.control import wait
+from quayflow.streaming.curated_stream import HotLines, start_curated_stream
 from quayflow.streaming.departure_kpis import start_departure_kpis
 from quayflow.streaming.visit_reports import start_visit_reports
 
@@ -209,6 +214,62 @@ def raw_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(raw_table(spark, path).drop("raw_json"))
 
 
+# lines and keywords
+
+
+def _line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as lines that change up to twice: name from the start, label later or never."""
+    key = F.col("p_partkey")
+    micros = F.lit(694_224_000_000_000) + (key % 90) * 30 * 86_400_000_000
+    first = F.timestamp_micros(micros)
+    second = F.timestamp_micros(micros + 400 * 86_400_000_000)
+    change = lambda at, name, kept: F.struct(at.alias("valid_from"), name.alias("name"), kept.alias("kept"))
+    changes = F.array(
+        change(F.lit(None).cast("timestamp"), F.col("name"), key % 4 > 0),
+        change(first, F.concat(F.col("name"), F.lit(" II")), F.lit(True)),
+        change(second, F.concat(F.col("name"), F.lit(" III")), key % 3 > 0),
+    )
+    lines = part_lines(spark, sf_dir).withColumn("p_partkey", F.regexp_extract("line_code", r"\d+", 0).cast("bigint"))
+    rows = lines.select("siri_line_ref", "roi_label", "short_name", "transport_mode", F.explode(changes).alias("c"))
+    rows = rows.where("c.kept").select("siri_line_ref", "roi_label", "short_name", "transport_mode", "c.valid_from", "c.name")
+    return with_validity(rows)
+
+
+def lines_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each visit with its line as it was when the visit was recorded."""
+    visits = project_passages(visits_of(raw_table(spark, raw_layer(spark, sf_dir))))
+    joined = join_lines_as_of(visits, _line_changes(spark, sf_dir))
+    return plain(joined.select("kafka_offset", "item_identifier", "line_ref", "recorded_at_time", "name", "roi_label"))
+
+
+def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose name holds a keyword; keywords come from customers, short ones among them."""
+    key = F.col("c_custkey")
+    words = F.array(
+        F.concat_ws(" ", F.lit("brand"), key % 40, key), (key % 1000).cast("string"), F.lit("")
+    )
+    keywords = table(spark, sf_dir, "customer").select(F.explode(words).alias("keyword")).distinct()
+    name = normalise_name(F.concat_ws(" ", "p_name", "p_brand", "p_partkey"))
+    names = table(spark, sf_dir, "part").select("p_partkey", name.alias("name_norm"))
+    return match_keywords(names, keywords)
+
+
+def stream_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer's files as a stream, a few at a time, hot lines spread from the second on."""
+    path = scratch_path(spark, "curated")
+    query = start_curated_stream(
+        raw_stream(spark, raw_layer(spark, sf_dir), max_files_per_trigger=8),
+        part_lines(spark, sf_dir),
+        path,
+        scratch_path(spark, "checkpoint"),
+        hot=HotLines(share=0.001),
+        available_now=True,
+    )
+    wait(query)
+    rows = spark.read.schema(f"{CURATED}, batch_id int").parquet(path)
+    return plain(rows.drop("batch_id"))
+
+
 QUERIES: dict[str, Query] = {
     "offset_gaps": offset_gaps,
     "offset_totals": offset_totals,
@@ -220,4 +281,7 @@ QUERIES: dict[str, Query] = {
     "curated_incremental": curated_incremental,
     "refresh_counts": refresh_counts,
     "raw_compacted": raw_compacted,
+    "lines_as_of": lines_as_of,
+    "keyword_match": keyword_match,
+    "stream_curated": stream_curated,
 }

@@ -133,4 +133,40 @@ SELECT 'STIF:StopPoint:Q:' || s || ':' AS kafka_key, 'lineitem-events' AS kafka_
        strftime(make_timestamp(year_start + n * 3600000000), '%Y-%m-%d') AS ingest_date
 FROM ev
 """,
+    "lines_as_of": _VISITS
+    + f""", changes AS (
+  SELECT p_partkey AS p, 1 AS c, CAST(NULL AS BIGINT) AS valid_from, p_name AS name FROM part
+  WHERE p_partkey % 4 > 0
+  UNION ALL
+  SELECT p_partkey, 2, 694224000000000 + (p_partkey % 90) * 30 * {_DAY}, p_name || ' II' FROM part
+  UNION ALL
+  SELECT p_partkey, 3, 694224000000000 + ((p_partkey % 90) * 30 + 400) * {_DAY}, p_name || ' III'
+  FROM part WHERE p_partkey % 3 > 0
+),
+history AS (
+  SELECT *, 'STIF:Line::C' || p || ':' AS ref,
+    lead(valid_from) OVER (PARTITION BY p ORDER BY c) AS valid_to FROM changes
+)
+SELECT kafka_offset, item_identifier, line_ref, recorded_at_time, h.name,
+       CASE WHEN p_size <= 25 THEN p_type END AS roi_label
+FROM passages LEFT JOIN history h ON line_ref = ref
+  AND (valid_from IS NULL OR valid_from <= recorded_at_time)
+  AND (valid_to IS NULL OR recorded_at_time < valid_to)
+  AND recorded_at_time IS NOT NULL
+LEFT JOIN part ON h.p = p_partkey
+""",
+    "keyword_match": """
+WITH keywords AS (
+  SELECT DISTINCT unnest(['brand ' || (c_custkey % 40) || ' ' || c_custkey,
+                          CAST(c_custkey % 1000 AS VARCHAR)]) AS keyword
+  FROM customer
+),
+names AS (
+  SELECT p_partkey, trim(regexp_replace(strip_accents(lower(p_name || ' ' || p_brand || ' '
+           || p_partkey)), '[^a-z0-9]+', ' ', 'g')) AS name_norm
+  FROM part
+)
+SELECT p_partkey, name_norm, keyword FROM names JOIN keywords ON contains(name_norm, keyword)
+""",
+    "stream_curated": _VISITS + "SELECT * FROM curated",
 }
