@@ -8,33 +8,39 @@ equal phrases inside wherever they lie. The names of one level are a document's
 features; each of ``BINS`` bins keeps the smallest name that falls into it, and the
 share of equal bins estimates how alike two documents are.
 
-For edited texts each document needs the next one in id order. Ids are cut into ranges
-at existing ids, rows travel to their range in packed messages, and the first row of a
-range also to the range before it, so that no order over all rows is built.
+For edited texts each document needs the next one in id order. Rows are range-partitioned
+and sorted by id, text hash and place in the input, so that rows of one id, or without any,
+fill several ranges as others do. A range's rows are read in order; its last row and its
+first text are set aside, and the last row of each range meets the first text of the next.
 
 Null texts count as empty, with an empty fingerprint (likeness 1 to each other); null
-ids come first; equal ids are in the order of their texts; of a single row the next is
-the row itself; extra columns are ignored; an empty table gives no rows.
+ids come first; equal ids are in the order of their texts' hashes (signed XXH64); of a
+single row the next is the row itself; extra columns are ignored; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quayflow.llm.blocks import blocks, column, mix, pack, text_bytes, texts, unpack
+from quayflow.llm.blocks import mix, stored, text_bytes, texts
 
 BINS = 64
 LEVEL = 2
 RANGE_BYTES = 8 << 20
 LEAST_RANGES = 64
 SLICE = 1 << 19  # code points parsed at once
-MESSAGE = "part int, tail boolean, message binary"
+SLICE_BYTES = 4 << 20  # text of the rows fingerprinted at once
 ROWS = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double"
@@ -148,94 +154,117 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _deal(bounds: np.ndarray, smallest: int | None):
-    """Pack a block's rows by range; ``bounds`` are the first ids of ranges 1, 2, ..."""
-
-    def message(table: pa.Table, rows: np.ndarray) -> bytes:
-        part = table.take(pa.array(rows))
-        ids, text = column(part, "doc_id"), texts(part)
-        data = np.frombuffer("".join(text.to_pylist()).encode(), np.uint8)
-        return pack(
-            pc.fill_null(ids, 0).to_numpy(False),
-            ids.is_null().to_numpy(False),
-            pc.binary_length(text).to_numpy().astype(np.int64),
-            data,
-        )
-
-    def deal(batches):
-        for table in blocks(batches, size=8 << 20):
-            doc_ids = column(table, "doc_id")
-            ids = pc.fill_null(doc_ids, 0).to_numpy(False)
-            null = doc_ids.is_null().to_numpy(False)
-            part = np.where(null, 0, np.searchsorted(bounds, ids, "right"))
-            rows = [(int(p), False, message(table, np.flatnonzero(part == p))) for p in np.unique(part)]
-            # the first row of a range is also the end of the range before
-            head = ~null & (part > 0) & (ids == np.append(bounds, 0)[np.maximum(part, 1) - 1])
-            first = null if smallest is None else ~null & (ids == smallest)
-            for p in np.unique(part[head]):
-                rows.append((int(p) - 1, True, message(table, np.flatnonzero(head & (part == p)))))
-            if first.any():
-                rows.append((len(bounds), True, message(table, np.flatnonzero(first))))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array([r[0] for r in rows], pa.int32()),
-                    "tail": pa.array([r[1] for r in rows]),
-                    "message": pa.array([r[2] for r in rows], pa.binary()),
-                }
-            )
-
-    return deal
-
-
-def _rows(messages: list[bytes]) -> list[tuple[bool, int, str]]:
-    """(has an id, id, text) of packed rows in order."""
-    rows = []
-    for message in messages:
-        ids, null, lengths, data = unpack(message)
-        data, ends = data.tobytes(), np.cumsum(lengths)
-        cut = [data[e - n : e].decode() for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-        rows += zip((~null).tolist(), ids.tolist(), cut, strict=True)
-    return sorted(rows)
-
-
-def _fingerprint(level: int):
-    def fingerprint(table: pa.Table) -> pa.Table:
-        tail = np.array(table.column("tail").to_pylist(), bool)
-        messages = table.column("message")
-        rows = _rows([messages[i].as_py() for i in np.flatnonzero(~tail).tolist()])
-        after = _rows([messages[i].as_py() for i in np.flatnonzero(tail).tolist()])[:1]
-        text = [row[2] for row in rows + after]
-        edited = [edited_text(a, b) for a, b in zip(text[: len(rows)], text[1:], strict=True)]
-        own, changed = sketches(text, level), sketches(edited, level)
-        return pa.table(
-            {
-                "doc_id": pa.array([row[1] if row[0] else None for row in rows], pa.int64()),
-                "n_chars": pa.array([len(row[2]) for row in rows], pa.int64()),
-                "edited_sha256": [hashlib.sha256(e.encode()).hexdigest() for e in edited],
-                "fingerprint": _hex(own[: len(rows)]),
-                "edited_fingerprint": _hex(changed),
-                "near_edited": likeness(own[: len(rows)], changed),
-                "near_next": likeness(own[: len(rows)], own[1:]),
-            }
+def _packed(batches: Iterator[pa.RecordBatch]):
+    """Rows with their texts compressed and a hash of each text; ``turn`` tells equal ones apart."""
+    compress = zstandard.ZstdCompressor(level=1).compress
+    for number, batch in enumerate(batches):
+        coded = [text.encode() for text in texts(pa.Table.from_batches([batch])).to_pylist()]
+        hashes = np.array([xxhash.xxh64_intdigest(text) for text in coded], np.uint64)
+        first = (TaskContext.get().partitionId() << 40) + (number << 20)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array(hashes.view(np.int64)),
+                pa.array(first + np.arange(len(coded))),
+                pa.array([compress(text) for text in coded], pa.binary()),
+            ],
+            names=["doc_id", "hash", "turn", "body"],
         )
 
-    return fingerprint
-
 
-def fingerprints(docs: DataFrame, level: int = LEVEL) -> DataFrame:
+def _result(ids: pa.Array, text: list[str], level: int) -> pa.RecordBatch:
+    """Fingerprints of all texts but the last, which only follows."""
+    edited = [edited_text(a, b) for a, b in zip(text[:-1], text[1:], strict=True)]
+    own, changed = sketches(text, level), sketches(edited, level)
+    columns = [
+        ids,
+        pa.array([len(t) for t in text[:-1]], pa.int64()),
+        pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
+        pa.array(_hex(own[:-1]), pa.string()),
+        pa.array(_hex(changed), pa.string()),
+        pa.array(likeness(own[:-1], changed)),
+        pa.array(likeness(own[:-1], own[1:])),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[name.split()[0] for name in ROWS.split(", ")])
+
+
+def _in_order(level: int):
+    """Fingerprints of a partition's sorted rows; its first text and last row are its border."""
+
+    def in_order(batches):
+        expand = zstandard.ZstdDecompressor().decompress
+        part = TaskContext.get().partitionId()
+        head, last_id, last = None, None, None
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                text, size = [], 0
+                begin = at
+                while at < batch.num_rows and size < SLICE_BYTES:
+                    text.append(expand(batch.column("body")[at].as_py()).decode())
+                    size += len(text[-1])
+                    at += 1
+                ids = batch.column("doc_id").slice(begin, at - begin)
+                if last is None:
+                    head, known = text[0], ids.slice(0, len(text) - 1)
+                else:
+                    text = [last, *text]
+                    known = pa.concat_arrays([pa.array([last_id], pa.int64()), ids.slice(0, len(ids) - 1)])
+                if len(text) > 1:
+                    yield _bordered(_result(known, text, level), None, None, None)
+                last_id, last = ids[-1].as_py(), text[-1]
+        if last is not None:
+            empty = pa.RecordBatch.from_pylist([{"doc_id": last_id}], _schema())
+            compress = zstandard.ZstdCompressor(level=1).compress
+            yield _bordered(empty, part, compress(last.encode()), compress(head.encode()))
+
+    return in_order
+
+
+def _schema() -> pa.Schema:
+    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    pairs = (column.split() for column in ROWS.split(", "))
+    return pa.schema([(name, kinds[kind]) for name, kind in pairs])
+
+
+def _bordered(rows: pa.RecordBatch, part, last, head) -> pa.RecordBatch:
+    n = rows.num_rows
+    columns = [
+        pa.array([part] * n, pa.int32()),
+        pa.array([last] * n, pa.binary()),
+        pa.array([head] * n, pa.binary()),
+    ]
+    names = [*rows.schema.names, "part", "last", "head"]
+    return pa.RecordBatch.from_arrays([*rows.columns, *columns], names=names)
+
+
+def _at_borders(level: int):
+    def at_borders(batches):
+        expand = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for i in range(batch.num_rows):
+                text = [expand(batch.column(c)[i].as_py()).decode() for c in ("last", "head")]
+                yield _result(batch.column("doc_id").slice(i, 1), text, level)
+
+    return at_borders
+
+
+def fingerprints(docs: DataFrame, level: int = LEVEL, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Fingerprints of ``docs(doc_id, text)`` and of their edited texts."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    n = max(LEAST_RANGES, text_bytes(docs) // RANGE_BYTES)
-    shares = [i / n for i in range(1, n)]
-    found = docs.agg(
-        F.percentile_approx("doc_id", shares, 20 * n).alias("cuts"),
-        F.min("doc_id").alias("smallest"),
-        F.count_if(F.col("doc_id").isNull()).alias("nulls"),
-    ).first()
-    # an id for each RANGE_BYTES of text; the smallest starts no range of its own
-    bounds = sorted(set(found["cuts"] or ()) - {found["smallest"]})
-    if found["nulls"] and found["smallest"] is not None:
-        bounds = sorted({found["smallest"], *bounds})
-    smallest = None if found["nulls"] else found["smallest"]
-    dealt = docs.mapInArrow(_deal(np.array(bounds, np.int64), smallest), MESSAGE)
-    return dealt.groupBy("part").applyInArrow(_fingerprint(level), ROWS)
+    n = max(LEAST_RANGES, text_bytes(docs) // range_bytes)
+    order = [F.col("doc_id").asc_nulls_first(), "hash", "turn"]
+    packed = docs.mapInArrow(_packed, "doc_id long, hash long, turn long, body binary")
+    ranges = packed.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    schema = f"{ROWS}, part int, last binary, head binary"
+    found = stored(ranges.select("doc_id", "body").mapInArrow(_in_order(level), schema), "fingerprints")
+    # a row for each range: the last row of one is followed by the first text of the next
+    ends = found.filter("part IS NOT NULL").select("doc_id", "part", "last", "head")
+    place = F.row_number().over(W.orderBy("part")) - 1
+    numbered = stored(ends.select("part", place.alias("place")), "ranges")
+    n_parts = numbered.count()
+    ends = ends.join(numbered, "part")
+    following = ends.select(F.pmod(F.col("place") - 1, F.lit(max(1, n_parts))).alias("place"), "head")
+    pairs = ends.select("doc_id", "last", "place").join(following, "place")
+    borders = pairs.select("doc_id", "last", "head").mapInArrow(_at_borders(level), ROWS)
+    return found.filter("part IS NULL").drop("part", "last", "head").union(borders)

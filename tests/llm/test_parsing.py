@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from quayflow.llm import parsing
 from quayflow.llm.blocks import read_documents
@@ -14,10 +15,11 @@ SCHEMA = "doc_id long, text string, fingerprint int, part string"
 
 def plain(rows):
     """Edited texts in id order without Spark."""
-    ordered = sorted(((i is not None, i or 0, t or "") for i, t in rows))
-    text = [t for _, _, t in ordered]
+    signed = lambda t: (xxhash.xxh64_intdigest(t) + 2**63) % 2**64 - 2**63
+    ordered = sorted(((i is not None, i or 0, signed(t or ""), t or "") for i, t in rows))
+    text = [t for *_, t in ordered]
     out = []
-    for k, (has, i, t) in enumerate(ordered):
+    for k, (has, i, _, t) in enumerate(ordered):
         n = len(t) // 4
         following = text[(k + 1) % len(text)]
         edited = t[: len(t) - n] + following[:n]
@@ -59,6 +61,16 @@ def test_rows_equal_plain_version(spark, rows):
     assert got(df) == plain(rows)
 
 
+@pytest.mark.parametrize("range_bytes", [100, 1000, 20_000])
+def test_rows_without_ids_fill_several_ranges(spark, monkeypatch, range_bytes):
+    """Rows of no id, some alike, and of one id are cut into ranges as any others."""
+    monkeypatch.setattr(parsing, "LEAST_RANGES", 1)
+    rows = [(None, f"text number {i % 70} without an id") for i in range(200)]
+    rows += [(4, f"text {i} of one id") for i in range(100)] + [(i, "x") for i in range(3)]
+    df = spark.createDataFrame([(i, t, 0, "") for i, t in rows], SCHEMA).repartition(3)
+    assert got(df) == plain(rows)
+
+
 def test_whole_table_and_no_rows(spark, sf_dir):
     docs = read_documents(spark, sf_dir)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
