@@ -9,8 +9,8 @@ being toxic; a document's score is a logistic curve over the chance that any tok
 fitted to the document labels, and tokens above one half give the offending offsets.
 
 The field is fitted in one task on at most ``FIT_ROWS`` labelled documents, those whose
-ids hash lowest; its feature weights are limited by that sample and are all that reaches
-the driver. Every document is scored whole: the recursions run over pieces of the text
+ids hash lowest, whole and part after part; the task holds these texts. Its feature weights
+are limited by that sample and are all that reaches the driver. Every document is scored whole: the recursions run over pieces of the text
 in parallel, joined by the pieces' 2 x 2 matrices.
 
 Null and empty texts get the score of no toxic token; null ids are kept; repeated rows
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from quayflow.llm.blocks import blocks, column, texts, words
 
 FIT_ROWS = 6000
-FIT_BYTES = 6 << 20  # text that the field's likelihood is fitted to
+FIT_PART = 4 << 20  # text of the sample whose marginals are computed at once
 STEPS = 40
 RIDGE = 1e-3
 EVIDENCE = 5.0  # standard deviations above the toxic share
@@ -204,19 +204,15 @@ def _weak_labels(ids, offsets, distinct: list[str], toxic: np.ndarray):
     return names, has
 
 
-def _fit_documents(sizes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Documents whose texts fit ``FIT_BYTES``, in order; the shortest of each label always."""
-    fit, left = np.zeros(len(sizes), bool), FIT_BYTES
-    for label in (0, 1):
-        of_label = np.flatnonzero(toxic == label)
-        shortest = of_label[np.argmin(sizes[of_label])]
-        fit[shortest] = True
-        left -= sizes[shortest]
-    for i in np.flatnonzero(~fit).tolist():
-        if sizes[i] <= left:
-            fit[i] = True
-            left -= sizes[i]
-    return fit
+def _parts(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of runs of documents of at most ``FIT_PART`` bytes, or of one longer document."""
+    ends, parts, first = np.cumsum(sizes), [], 0
+    while first < len(sizes):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + FIT_PART, "right")))
+        parts.append((first, last))
+        first = last
+    return parts
 
 
 def fit_field(values: pa.Array, labels: np.ndarray) -> Crf:
@@ -231,26 +227,28 @@ def fit_field(values: pa.Array, labels: np.ndarray) -> Crf:
     names = distinct.to_pylist()
     strong, has = _weak_labels(ids, offsets, names, toxic)
     number = {name: i for i, name in enumerate(strong)}
-    # the likelihood uses whole documents up to a bound of text
-    fit = _fit_documents(pc.binary_length(values).to_numpy(), toxic)
-    own = ids[np.repeat(fit, np.diff(offsets))]
-    bounds = np.concatenate([[0], np.cumsum(np.diff(offsets)[fit])])
-    n = len(own)
-    chain = Chain(bounds)
-    truth = has[own] & np.repeat(toxic[fit] > 0, np.diff(bounds))
+    # all documents count, part after part
+    parts = []
+    for first_doc, last_doc in _parts(pc.binary_length(values).to_numpy()):
+        bounds = offsets[first_doc : last_doc + 1]
+        parts.append((ids[bounds[0] : bounds[-1]], Chain(bounds - bounds[0])))
+    truth = has[ids] & np.repeat(toxic > 0, np.diff(offsets))
     word, feature = _coded(names, number)
-    use = np.bincount(own, minlength=len(names)).astype(float)
-    hit = np.bincount(own, weights=truth, minlength=len(names))
+    use = np.bincount(ids, minlength=len(names)).astype(float)
+    hit = np.bincount(ids, weights=truth, minlength=len(names))
     parameters = np.concatenate([np.zeros(len(strong)), [-3.0], np.zeros(4)])
     wanted = np.zeros((2, 2))
-    inside = ~np.isin(np.arange(1, n), bounds)
+    inside = ~np.isin(np.arange(1, len(ids)), offsets)
     np.add.at(wanted, (truth[:-1][inside].astype(int), truth[1:][inside].astype(int)), 1)
     first = second = np.zeros_like(parameters)
     for step in range(1, STEPS + 1):
         weights, bias, transitions = np.split(parameters, [len(strong), len(strong) + 1])
         per_word = bias[0] + np.bincount(word, weights=weights[feature], minlength=len(names))
-        chance, pairs = chain.marginals(per_word[own], transitions.reshape(2, 2))
-        got = np.bincount(own, weights=chance, minlength=len(names))
+        got, pairs = np.zeros(len(names)), np.zeros((2, 2))
+        for own, chain in parts:
+            chance, changes = chain.marginals(per_word[own], transitions.reshape(2, 2))
+            got += np.bincount(own, weights=chance, minlength=len(names))
+            pairs += changes
         miss = (hit - got) / use.sum()
         gradient = np.concatenate(
             [

@@ -1,6 +1,7 @@
 """Ordinal grades and toxic spans: recursions by enumeration, learning by held-out accuracy."""
 
 import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -138,9 +139,48 @@ def test_toxicity_of_odd_rows(spark):
 def test_one_long_text_does_not_end_the_fit(monkeypatch):
     values = [f"good day number{i} " * 5 + ("awfulword here" if i % 2 else "fine here") for i in range(60)]
     labels = np.array([i % 2 for i in range(60)])
-    monkeypatch.setattr(crf, "FIT_BYTES", 20_000)
+    monkeypatch.setattr(crf, "FIT_PART", 20_000)
     long = "calm words " * 5_000
     model = crf.fit_field(pa.array([long, *values]), np.append(0, labels))
     assert any(abs(weight) > 0.5 for weight in model.weights.values())
     odds = crf.document_evidence(model, pa.array(values))[0]
     assert odds[labels == 1].min() > odds[labels == 0].max()
+
+
+def test_every_labelled_document_counts_in_the_fit(monkeypatch):
+    """The fit is the same in however many parts it is made."""
+    values = pa.array([f"calm day {i % 7} " * (1 + i % 9) + ("awfulword here" if i % 3 == 0 else "fine") for i in range(90)])
+    labels = np.array([int(i % 3 == 0) for i in range(90)])
+    whole = crf.fit_field(values, labels)
+    monkeypatch.setattr(crf, "FIT_PART", 300)
+    cut = crf.fit_field(values, labels)
+    assert cut.weights == pytest.approx(whole.weights) and cut.bias == pytest.approx(whole.bias)
+    assert cut.transitions == pytest.approx(whole.transitions)
+
+
+def test_scores_equal_a_plain_recursion(spark, sf_dir):
+    """Scores of a whole table from the model's numbers, document by document."""
+    docs = read_documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = crf.fit_crf(docs, labels)
+    a = np.exp(np.array(model.transitions).reshape(2, 2))
+    want = {}
+    for row in docs.select("doc_id", "text").collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", row.text or "")
+        weight = [np.array([1.0, np.exp(model.bias + sum(model.weights.get(f, 0.0) for f in crf.token_features(w)))]) for w in words]
+        forward, chances = [], []
+        for i, w in enumerate(weight):
+            f = w if i == 0 else (forward[-1] @ a) * w
+            forward.append(f / f.sum())
+        back = np.ones(2)
+        for i in range(len(words) - 1, -1, -1):
+            both = forward[i] * back
+            chances.append(both[1] / both.sum())
+            back = a @ (weight[i] * back)
+            back /= back.sum()
+        none = min(sum(np.log1p(-min(c, 1 - 1e-12)) for c in chances), 0.0)
+        odds = np.log(max(-np.expm1(none), 1e-6)) - max(none, -12)
+        want[row.doc_id] = 1 / (1 + np.exp(-np.clip(model.slope * odds + model.offset, -50, 50)))
+    scored = crf.toxicity(docs, model).collect()
+    assert {r.doc_id: r.score for r in scored} == pytest.approx(want, abs=1e-6)
+    assert all(r.predicted == (r.score >= 0.5) for r in scored)
