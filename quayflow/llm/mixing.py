@@ -10,9 +10,9 @@ document at the border is in if that comes closer to the target.
 Running sums do not gather a source in one task: keys are cut into ranges, the sums of
 ranges are run through first, and rows only within their range.
 
-Null and empty texts have size 0; the null source is a source, the last one; null ids
-share one key; repeated rows are documents of their own, in the order of their texts'
-hash; a null, non-positive or NaN quality counts as 1; extra columns are ignored or, by
+Null and empty texts have size 0; the null source is a source, the last one; a row without
+an id gets its key from its text; repeated rows are documents of their own, in the order of
+their texts' hash; a null, non-positive or NaN quality counts as 1; extra columns are ignored or, by
 ``mixed_rows``, kept; an empty table gives no rows; sources without words get target 0.
 """
 
@@ -40,9 +40,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(words, F.lit(0)).cast("long")
 
 
-def sample_key(doc_id: Column, quality: Column, seed: str = SEED) -> Column:
-    """Exponential key of a document: smaller with higher quality, fixed by its id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def identity(doc_id: Column, text: Column) -> Column:
+    """What a document's key is drawn from: its id, or without one its text."""
+    return F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def sample_key(name: Column, quality: Column, seed: str = SEED) -> Column:
+    """Exponential key of a document: smaller with higher quality, fixed by its ``identity``."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name))
     number = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     weight = F.when((quality > 0) & ~F.isnan(quality.cast("double")), quality).otherwise(1.0)
     return -F.ln((number + 0.5) / F.lit(float(1 << 52))) / weight
@@ -116,13 +121,17 @@ def keyed(docs: DataFrame, labels: DataFrame, keep_text: bool = True) -> DataFra
     """
     quality = labels.groupBy("doc_id").agg(F.max("quality").alias("_quality"))
     weight = F.when(F.col("_quality") >= 1, F.lit(GOOD)).when(F.col("_quality") < 1, F.lit(POOR))
-    sized = docs.withColumn("size", word_count(F.col("text"))).withColumn("tie", F.xxhash64("text"))
+    sized = (
+        docs.withColumn("size", word_count(F.col("text")))
+        .withColumn("tie", F.xxhash64("text"))
+        .withColumn("_identity", identity(F.col("doc_id"), F.col("text")))
+    )
     if not keep_text:
         sized = sized.drop("text")
     return (
         sized.join(quality, "doc_id", "left")
-        .withColumn("key", sample_key(F.col("doc_id"), F.coalesce(weight, F.lit(1.0))))
-        .drop("_quality")
+        .withColumn("key", sample_key(F.col("_identity"), F.coalesce(weight, F.lit(1.0))))
+        .drop("_quality", "_identity")
     )
 
 
@@ -138,8 +147,9 @@ MIX_SQL = rf"""
 WITH quality AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
 sized AS (
   SELECT d.doc_id, d.source,
-    coalesce(len(regexp_extract_all(d.text, '[^ 	-]+')), 0)::BIGINT AS size,
-    -ln((('0x' || substr(md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5)
+    coalesce(len(regexp_extract_all(d.text, '[^ 	-
+]+')), 0)::BIGINT AS size,
+    -ln((('0x' || substr(md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, md5(coalesce(d.text, '')))), 1, 13))::BIGINT + 0.5)
       / {float(1 << 52)}) / CASE WHEN quality >= 1 THEN {GOOD} WHEN quality < 1 THEN {POOR}
       ELSE 1.0 END AS key
   FROM documents d LEFT JOIN quality USING (doc_id)),

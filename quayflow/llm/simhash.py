@@ -7,7 +7,8 @@ variants meet by an equality shuffle, and the distance is verified.
 
 Where many fingerprints meet, only links that join them are kept (a search through the
 group, no pairs written). A group beyond ``GROUP`` is dealt again by the bytes of the
-other segment, of which one must be equal, so no distance of 3 or less is lost.
+other segment, of which one must be equal, and one that still is by its hexadecimal digits,
+of which five must be, so no distance of 3 or less is lost and every search is bounded.
 
 Null texts count as empty, whose fingerprint is zero and linked like any other; a null
 ``doc_id`` takes the smallest id linked to it, or null; repeated rows give a row each;
@@ -16,6 +17,8 @@ extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +35,8 @@ DISTANCE = 3
 GROUP = 20_000
 SMALL = 16
 CHUNK = 1 << 18
+BYTES = [255 << 8 * i for i in range(4)]
+DIGITS = [sum(15 << 4 * i for i in five) for five in combinations(range(8), 5)]
 
 
 def fingerprints(values: pa.Array) -> np.ndarray:
@@ -207,14 +212,28 @@ def similar_links(prints: DataFrame, group: int = GROUP) -> DataFrame:
     cut = found.filter("cut IS NOT NULL")
     if cut.isEmpty():
         return links
-    number = F.col("piece")
     # the other segment: the first 32 variants blank bits of the low one
-    other = F.expr("shiftrightunsigned(a, IF(shiftright(cut, 32) < 32, 32, 0) + CAST(piece AS INT) * 8) & 255L")
-    again = cut.select("a", "cut", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("piece")).select(
-        F.xxhash64("cut", number, other).alias("key"), F.col("a").alias("fingerprint")
-    )
-    split = _met(again, "key").mapInArrow(_links(1 << 62), schema).select("a", "b")
-    return links.union(split)
+    low = F.shiftright("cut", 32) < 32
+    found = stored(_met(_dealt(cut, low, BYTES), "key").mapInArrow(_links(group), schema), "pieces")
+    links, cut = links.union(found.filter("cut IS NULL").select("a", "b")), found.filter("cut IS NOT NULL")
+    if cut.isEmpty():
+        return links
+    low = F.col("cut").bitwiseAND(F.lit(1)) == 1
+    # 5 equal digits leave 12 bits and a blanked one: at most 8,192 fingerprints meet
+    split = _met(_dealt(cut, low, DIGITS), "key").mapInArrow(_links(1 << 62), schema)
+    return links.union(split.select("a", "b"))
+
+
+def _dealt(cut: DataFrame, low: Column, masks: list[int]) -> DataFrame:
+    """Fingerprints of cut groups under their other segment's bits in each mask.
+
+    The key's last bit tells which segment it was that was blanked.
+    """
+    segment = F.when(low, F.shiftrightunsigned("a", 32)).otherwise(F.col("a"))
+    each = cut.select("a", "cut", low.alias("low"), segment.alias("segment"), F.explode(F.lit(masks)).alias("mask"))
+    key = F.xxhash64("cut", "mask", F.col("segment").bitwiseAND(F.col("mask")))
+    marked = key.bitwiseAND(F.lit(-2)).bitwiseOR(F.col("low").cast("long"))
+    return each.select(marked.alias("key"), F.col("a").alias("fingerprint"))
 
 
 def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:

@@ -102,3 +102,11 @@ def test_no_rows(spark):
     assert mixing.mix(docs.limit(0), labels).count() == 0
     blank = docs.filter("source = 'c'")
     assert {(r.target, r.taken) for r in mixing.mix(blank, labels).collect()} == {(0.0, 0)}
+
+
+def test_rows_without_ids_have_keys_of_their_own(spark):
+    """They spread over the ranges of keys, so no window holds them all."""
+    rows = [(None, f"text {i} words", "s") for i in range(300)]
+    docs, labels = frames(spark, rows)
+    keys = {r.key for r in mixing.keyed(docs.select("doc_id", "text", "source"), labels).collect()}
+    assert len(keys) == 300

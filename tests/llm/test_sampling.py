@@ -130,3 +130,9 @@ def test_whole_table_round_trip(spark, sf_dir):
     rows = found.join(docs.select("doc_id", "text"), "doc_id").collect()
     assert len(rows) == 2 * docs.count()
     assert all(r.decoded == r.text for r in rows)
+
+
+def test_a_texts_own_blank_sign_is_a_blank(spark):
+    df = spark.createDataFrame([(1, "a▁b c", 0, ""), (2, "▁", 0, "")], SCHEMA)
+    rows = sampling.sampled_segmentations(df, PATH, k=1, decode=True).collect()
+    assert {r.doc_id: r.decoded for r in rows} == {1: "a b c", 2: " "}
