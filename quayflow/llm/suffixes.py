@@ -10,12 +10,11 @@ so what a task gets does not grow with the surroundings of a common passage.
 
 A bucket's distinct texts form shards. A shard's suffix array is made by induced sorting:
 suffixes are classified, leftmost-smaller (LMS) substrings are sorted by inducing and
-named, the names' order is settled, and the whole array is induced from it; all steps run
-over one first byte's suffixes at a time as array operations. Names that repeat are
-settled by doubling their compared length until it covers ``LENGTH`` bytes, which takes
-the place of deeper levels. Common prefixes are computed in text order: only irreducible
-ones are compared, the others follow by counting down. A run of suffixes that share
-``LENGTH`` bytes and holds two window starts is a repeat.
+named, the string of names is sorted in the same way if any repeats, and the whole array
+is induced from it; all steps run over one first symbol's suffixes at a time as array
+operations. Common prefixes are computed in text order: only irreducible ones are
+compared, the others follow by counting down. A run of suffixes that share ``LENGTH``
+bytes and holds two window starts is a repeat.
 
 Passages can be sought by words as well: windows of so many words, whatever blanks are
 between them, get anchors of their own among runs of words, and those of repeated anchors
@@ -46,6 +45,8 @@ SLICE = 1 << 19
 PIECE = 1 << 22
 SHARD = 1 << 20
 BLOCK = 6 << 20
+DIGIT = 10  # bits of a symbol in the texts of names
+SHORTER = 0.9  # share of a text's length that the text of its names may have
 MESSAGE = "block string, bucket int, message binary"
 
 _BYTE = mix(np.arange(1, 257).astype(np.uint64))
@@ -250,11 +251,8 @@ class _Induction:
         return out
 
 
-def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` symbols at least.
-
-    ``text`` holds bytes, the last of which is 0 and the only 0.
-    """
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Suffixes in order. ``text`` ends with its only 0, which is its smallest symbol."""
     is_s = _is_s(text)
     is_lms = is_s.copy()
     is_lms[1:] &= ~is_s[:-1]
@@ -264,7 +262,8 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     if len(lms) > 1:
         first = induction.array(lms)
         names = _lms_names(text, lms, first[is_lms[first]])
-        lms = lms[_name_order(names, depth)]
+        del first
+        lms = lms[_name_order(names, len(text))]
     return induction.array(lms)
 
 
@@ -293,12 +292,33 @@ def _lms_names(text: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> np.nd
     return names
 
 
-def _name_order(names: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of a string of names, two symbols of text or more to a name."""
+def _name_order(names: np.ndarray, size: int) -> np.ndarray:
+    """Order of the suffixes of a string of names of a text of ``size`` symbols.
+
+    Names that repeat make a shorter text, whose suffixes are sorted in turn. The induction
+    runs over a text's symbols one by one, so a name is written as few digits of at most
+    ``DIGIT`` bits there. Should that not be shorter, the names are sorted by doubling.
+    """
+    n, top = len(names), int(names.max())
+    if top == n - 1:
+        return np.argsort(names, kind="stable")
+    n_digits = -(-max(1, top.bit_length()) // DIGIT)
+    if n * n_digits > SHORTER * size:
+        return _doubled(names)
+    bits = -(-max(1, top.bit_length()) // n_digits)
+    shifts = bits * np.arange(n_digits - 1, -1, -1)
+    digits = (names[:, None] >> shifts & ((1 << bits) - 1)).astype(np.int32) + 1
+    array = suffix_array(np.append(digits.ravel(), 0).astype(np.int32))
+    array = array[array % n_digits == 0] // n_digits
+    return array[array < n]
+
+
+def _doubled(names: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a string of names by doubling the length compared."""
     n = len(names)
     rank, covered = names, 1
     order = np.argsort(rank, kind="stable")
-    while 2 * covered < depth + 4:
+    while covered < n:
         width = np.int64(n + 1)
         second = np.zeros(n, np.int64)
         second[: n - covered] = rank[covered:] + 1 if covered < n else 0
@@ -357,7 +377,7 @@ def repeated_starts(passages: list[bytes], starts: np.ndarray, times: np.ndarray
     # UTF-8 has no bytes above 244: 0 ends the shard and 1 each passage
     text = np.frombuffer(b"".join(p + b"\xff" for p in passages) + b"\xfe", np.uint8) + np.uint8(2)
     heads = np.cumsum(sizes + 1) - sizes - 1
-    array = suffix_array(text, length)
+    array = suffix_array(text)
     shared = common_prefixes(text, array, heads, length + int(starts.max(initial=0)) + 8)
     run = np.cumsum(shared[array] < length)
     within = np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)

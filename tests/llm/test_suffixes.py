@@ -162,6 +162,18 @@ def test_other_columns_stay(spark):
     assert all(r.text == bytes(r.repeats.kept).decode("utf-8", "ignore") for r in rows)
 
 
+@pytest.mark.parametrize(("digit", "shorter"), [(10, 0.9), (4, 0.9), (3, 0.0)])
+def test_long_suffix_arrays(monkeypatch, digit, shorter):
+    """Several levels of names, of many digits, and names sorted by doubling."""
+    monkeypatch.setattr(suffixes, "DIGIT", digit)
+    monkeypatch.setattr(suffixes, "SHORTER", shorter)
+    words = prose(11, 400)
+    for raw in (words + words[50:], "ab" * 900, "a" * 900, "aab" * 300 + "aac" * 300, prose(12, 900)):
+        text = np.append(np.frombuffer(raw.encode(), np.uint8), 0).astype(np.uint8)
+        data = text.tobytes()
+        assert suffixes.suffix_array(text).tolist() == sorted(range(len(data)), key=lambda i: data[i:])
+
+
 def test_suffix_array_and_common_prefixes():
     generator = np.random.default_rng(1)
     for _ in range(200):
@@ -169,7 +181,7 @@ def test_suffix_array_and_common_prefixes():
         text = np.append(generator.integers(1, 1 + k, n), 0).astype(np.uint8)
         raw = text.tobytes()
         want = sorted(range(n + 1), key=lambda i: raw[i:])
-        array = suffixes.suffix_array(text, 10_000)
+        array = suffixes.suffix_array(text)
         assert array.tolist() == want
         shared = suffixes.common_prefixes(text, array, np.array([0]), 1000)
         for a, b in zip(want[1:], want, strict=False):
