@@ -142,7 +142,9 @@ def stored_by(df: DataFrame, name: str, key: str, n_buckets: int) -> DataFrame:
     table = path.rpartition("/")[2].replace("-", "_")
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
     df.write.bucketBy(min(n_buckets, most), key).format("parquet").saveAsTable(table, path=path)
-    return spark.table(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only: what was read keeps its files and buckets
+    return rows
 
 
 def text_bytes(docs: DataFrame) -> int:
