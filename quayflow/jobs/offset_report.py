@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from quayflow.jobs.arguments import parser
 from quayflow.operators.offsets import offset_report
-from quayflow.session import build_session
+from quayflow.session import build_session, remove_scratch
 from quayflow.sources.tables import raw_table
 
 
@@ -16,6 +16,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("offset report")
     report = offset_report(raw_table(spark, args.raw, args.ingest_date))
     report.write.mode("overwrite").parquet(args.report)
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from quayflow.jobs.arguments import parser
 from quayflow.plans.publish import publish_events
 from quayflow.schemas import FETCH_OUTCOME
-from quayflow.session import build_session
+from quayflow.session import build_session, remove_scratch
 from quayflow.sinks.kafka import write_records
 from quayflow.sources.tables import stops_csv
 
@@ -23,6 +23,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         args.event_source,
         lambda events: write_records(events, args.servers, args.topic),
     )
+    remove_scratch(spark)
     print(f"stops: {counts.total}, sent: {counts.ok}, failed: {counts.failed}")
 
 

@@ -20,7 +20,7 @@ from quayflow.operators.raw import to_raw
 from quayflow.operators.reference import identify_lines
 from quayflow.session import scratch_path
 from quayflow.sinks.files import write_raw
-from quayflow.sources.storage import file_state
+from quayflow.sources.storage import child_names, file_state
 
 EVENT_SOURCE = "star.lineitem"
 EVENT_TOPIC = "lineitem-events"
@@ -195,7 +195,7 @@ def stored_layer(
     were rewritten since give a layer of their own.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name, *_files_of(spark, sf_dir))
-    if key not in _written:
+    if key not in _written or not child_names(spark, _written[key]):
         path = scratch_path(spark, name)
         write(path)
         _written[key] = path

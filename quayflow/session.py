@@ -28,8 +28,11 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the folder the cluster names in ``spark.checkpoint.dir``.
+_local: list[str] = []
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder below the one the cluster names in ``spark.checkpoint.dir``.
 
     A machine-local temporary folder is used only where that setting is missing
     and the master is local; on a cluster the setting is required.
@@ -38,8 +41,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="quayflow-")
-    return f"{shared.rstrip('/')}/quayflow/{name}-{uuid.uuid4().hex}"
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="quayflow-"))
+        shared = _local[0]
+    return f"{shared.rstrip('/')}/quayflow/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path in the application's scratch folder."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what the application stored on the way; results that read it must be written."""
+    folder = scratch_folder(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

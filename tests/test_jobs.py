@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from quayflow.jobs import (
@@ -12,7 +14,7 @@ from quayflow.jobs import (
 )
 from quayflow.jobs.arguments import ENVIRONMENT, parser
 from quayflow.schemas import FETCH_OUTCOME
-from quayflow.session import scratch_path
+from quayflow.session import remove_scratch, scratch_folder, scratch_path, stored
 from quayflow.sources.tables import curated_table, lines_csv, stops_csv
 from test_lines import LINES, raw_rows
 
@@ -153,3 +155,11 @@ def test_versions_and_offsets_from_the_shell(spark, tmp_path, capsys):
         curated_batch.main([*given[:-1], "--incremental"])
     offset_report.main(["--raw", raw, "--report", report])
     assert set(spark.read.parquet(report).columns) >= {"kind", "first_offset", "last_offset"}
+
+
+def test_scratch_is_removed_whole(spark):
+    spark.range(3).write.parquet(scratch_path(spark, "x"))
+    assert stored(spark.range(3), "x").count() == 3
+    remove_scratch(spark)
+    assert not os.path.exists(scratch_folder(spark))
+    assert stored(spark.range(3), "x").count() == 3
