@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from quayflow.llm import crf, ordinal
 from quayflow.llm.blocks import read_documents, remainder
@@ -184,3 +185,37 @@ def test_scores_equal_a_plain_recursion(spark, sf_dir):
     scored = crf.toxicity(docs, model).collect()
     assert {r.doc_id: r.score for r in scored} == pytest.approx(want, abs=1e-6)
     assert all(r.predicted == (r.score >= 0.5) for r in scored)
+
+
+def plain_score(text, model):
+    """Mean weight of a text's words, their shapes, ends and repeats, word by word."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    total = 0.0
+    for i, word in enumerate(words):
+        for name in ordinal.word_features(word):
+            total += model.weights[xxhash.xxh64_intdigest(name) % ordinal.DIMENSIONS]
+        if i and word == words[i - 1]:
+            total += model.weights[ordinal.DIMENSIONS]
+    return total / max(1, len(words))
+
+
+def test_grades_equal_a_plain_computation(spark, sf_dir):
+    """Expected grades and tails of a whole table from the model's numbers; the likelihood of
+    the labels, added up document by document, is well above that of the base rates."""
+    docs = read_documents(spark, sf_dir)
+    grades = ordinal.label_grades(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = ordinal.fit_ordinal(docs, grades)
+    tails = {}
+    for row in docs.select("doc_id", "text").collect():
+        score = plain_score(row.text, model)
+        tails[row.doc_id] = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+    graded = ordinal.selected(ordinal.with_grades(docs, model)).collect()
+    assert {r.doc_id: r.tail_probability for r in graded} == pytest.approx({i: t[0] for i, t in tails.items()}, abs=1e-9)
+    want = {i: model.lowest + sum(t) for i, t in tails.items()}
+    assert {r.doc_id: r.expected_grade for r in graded} == pytest.approx(want, abs=1e-9)
+    assert all(r.kept == (r.tail_probability >= 0.5) for r in graded)
+    known = [(r.doc_id, r.grade) for r in grades.filter("grade IS NOT NULL").collect()]
+    chance = lambda t, g: ([1.0, *t, 0.0][g] - [1.0, *t, 0.0][g + 1])
+    fitted = np.mean([np.log(max(chance(tails[i], g), 1e-12)) for i, g in known])
+    share = np.bincount([g for _, g in known]) / len(known)
+    assert fitted > sum(p * np.log(p) for p in share if p) / 2
