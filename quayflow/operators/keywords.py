@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quayflow.session import stored
 
 GRAM = 5
+BROADCAST_BYTES = 10 << 20  # an index up to here goes to each task, a larger one is shuffled
+ENTRY_BYTES = 64  # an entry's share beside its keyword's text
 
 
 def _with_characters(df: DataFrame, text: str) -> DataFrame:
@@ -33,7 +35,8 @@ def match_keywords(
     that is shorter under itself, and a name meets the keywords of its own grams by equality.
     What meets is compared whole. Rarity is counted over the names, so a gram that most
     names have is the entry of no keyword that has another. Empty and NULL keywords match
-    nothing; repeated keywords are rows of their own.
+    nothing; repeated keywords are rows of their own. The names' grams are never broadcast:
+    the index is, up to ``BROADCAST_BYTES``, and beyond that both are shuffled.
     """
     wanted = keywords.where("keyword <> ''").withColumn("_size", F.least(F.length("keyword"), F.lit(gram)))
     sizes = [row["_size"] for row in wanted.select("_size").distinct().collect()]  # ``gram`` at most
@@ -43,21 +46,24 @@ def match_keywords(
     text = F.col(name)
     every = F.concat(*[_grams(F.lit(size)) for size in sorted(sizes)])
     gramed = _with_characters(names, name).withColumn("_gram", F.explode(every)).drop("_chars")
-    of_keywords = _with_characters(wanted, "keyword").withColumn("_gram", F.explode(_grams(F.col("_size"))))
-    used = of_keywords.select("_gram").distinct()
-    counts = gramed.join(used, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    counts = stored(counts, "grams")
+    once = wanted.groupBy("keyword", "_size").agg(F.count(F.lit(1)).alias("_times"))
+    of_keywords = _with_characters(once, "keyword").withColumn("_gram", F.explode(_grams(F.col("_size"))))
+    of_keywords = of_keywords.select("keyword", "_times", "_gram")
+    # Catalyst does not see how many rows a generator makes, and would send them to the driver
+    counts = gramed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     # a keyword with a gram that no name has is in no name
-    rated = of_keywords.join(counts, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    row = [F.col(f"`{c}`") for c in keywords.columns]
-    entries = rated.groupBy("keyword").agg(F.min(F.struct("_n", "_gram")).alias("_entry"))
-    entries = entries.where("_entry._n > 0").select("keyword", "_entry._gram")
+    rated = of_keywords.join(counts.hint("merge"), "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    entries = rated.groupBy("keyword").agg(
+        F.min(F.struct("_n", "_gram")).alias("_entry"), F.first("_times").alias("_times")
+    )
+    entries = entries.where("_entry._n > 0").select("keyword", "_times", "_entry._gram")
+    entries = stored(entries, "keywords")
+    size = entries.agg(F.sum(F.octet_length("keyword") + ENTRY_BYTES)).first()[0] or 0
+    entries = entries.hint("broadcast" if size <= BROADCAST_BYTES else "merge")
     met = gramed.join(entries, "_gram").where(F.contains(text, F.col("keyword"))).drop("_gram")
     others = [c for c in keywords.columns if c != "keyword"]
     if not others:
-        times = wanted.groupBy("keyword").agg(F.count(F.lit(1)).alias("_times"))
-        again = met.join(times, "keyword")
-        return again.withColumn("_t", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(
-            *names.columns, "keyword"
-        )
+        again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))
+        return met.withColumn("_t", again).select(*names.columns, "keyword")
+    row = [F.col(f"`{c}`") for c in keywords.columns]
     return met.join(wanted.select(*row), "keyword").select(*names.columns, *keywords.columns)

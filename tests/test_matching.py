@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from quayflow.operators import keywords as keywords_module
 from quayflow.operators.hot_lines import hot_lines, join_hot_lines, widths
 from quayflow.operators.keywords import match_keywords
 from quayflow.operators.lines import join_lines
@@ -61,9 +62,59 @@ def test_as_of_join_is_an_equality_join(spark):
     assert "SortMergeJoin" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def broadcasts(df):
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    return [line for line in final.splitlines() if "BroadcastExchange" in line]
+
+
+def test_as_of_join_does_not_repeat_short_histories(spark):
+    """A line that never changes was repeated for each month of the visits' times."""
+    ids = spark.range(200)
+    lines = with_validity(ids.selectExpr("concat('L', id) siri_line_ref", "CAST(NULL AS TIMESTAMP) valid_from", "'a' roi_label", "'n' name", "'s' short_name", "'m' transport_mode"))
+    visits = ids.selectExpr("concat('L', id) line_ref", "timestamp_seconds(id * 2000000) recorded_at_time", "string(id) item_identifier")
+    joined = join_lines_as_of(visits, lines)
+    assert joined.where("roi_label = 'a'").count() == 200
+    assert "explode(sequence" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_as_of_join_of_a_long_history(spark):
+    rows = [("A", day(n), f"a{n}", "n", "s", "m") for n in range(0, 400, 2)]
+    rows += [(f"B{n}", None, "b", "n", "s", "m") for n in range(300)]
+    lines = with_validity(spark.createDataFrame(rows, CHANGES))
+    refs = ["A", "B7", "C", None]
+    visits = [(ref, day(t), f"{ref}{t}") for ref in refs for t in (-50, -0.5, 0, 1.5, 2, 61, 399.5, 4000, None)]
+    for bin_days in (1, 30, 1000):
+        joined = join_lines_as_of(spark.createDataFrame(visits, VISITS), lines, bin_days=bin_days)
+        assert broadcasts(joined) == []
+        got = {r.item_identifier: r.roi_label for r in joined.collect()}
+
+        def label(ref, t):
+            if t is None or ref not in ("A", "B7") or (ref == "A" and t < 0):
+                return None
+            return "b" if ref == "B7" else f"a{min(398, int(t) // 2 * 2)}"
+
+        assert got == {f"{ref}{t}": label(ref, t) for ref in refs for t in (-50, -0.5, 0, 1.5, 2, 61, 399.5, 4000, None)}
+
+
 NAMES = "stop int, name_norm string"
 
 
+def test_names_grams_are_never_broadcast(spark, monkeypatch):
+    """The grams of short names were taken for a small table and sent to the driver."""
+    names = spark.range(50).selectExpr("int(id) stop", "concat('place n', id, ' street') name_norm")
+    keywords = spark.range(500).selectExpr("concat('n', id, ' s') keyword")
+    keywords = keywords.union(keywords)
+    want = Counter((i, f"n{i} s") for i in range(50) for _ in range(2))
+    for most, n in ((keywords_module.BROADCAST_BYTES, 1), (0, 0)):
+        monkeypatch.setattr(keywords_module, "BROADCAST_BYTES", most)
+        found = match_keywords(names, keywords)
+        exchanges = broadcasts(found)
+        assert len(exchanges) == n
+        assert not any("stop" in line for line in exchanges)
+        assert Counter((r.stop, r.keyword) for r in found.collect()) == want
+
+
 def test_keywords_equal_contains(spark):
     generator = random.Random(2)
     letters = "abcé 🚋"
