@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quayflow.schemas import LINE_COLUMNS
 
 BIN_DAYS = 30
+LONG_HISTORY = 64  # rows of one line that each of its visits is compared with, without bins
+REPEATS = 4
 _MICROS = 86_400_000_000
 
 
@@ -35,33 +37,52 @@ def join_lines_as_of(
     """Left join on the line reference and the row of ``lines`` that was valid at ``time``.
 
     ``lines`` has ``siri_line_ref, valid_from, valid_to`` and the line columns; validity
-    includes its start and not its end, NULL stands for always before or after. Time is cut
-    into bins: a reference row is repeated for each bin it is valid in, and the join is on
-    reference and bin, so Catalyst hashes both and a line's visits spread over its bins. Rows
-    get the bins of the visits' own times only, however long they are valid.
+    includes its start and not its end, NULL stands for always before or after. The join is on
+    the reference. Where a line has over ``LONG_HISTORY`` rows it is on reference and bin of
+    time as well: a reference row is repeated for each bin it is valid in, and a line's visits
+    spread over its bins and meet only rows of theirs. Bins are ``bin_days`` wide, or wider, so
+    that rows are not repeated more than ``REPEATS`` times on average, however long they are
+    valid; they are those of the visits' own times only.
     Overlapping validities multiply rows; visits without a time or a valid line have NULLs.
     """
     at = F.col(time)
-    lowest, highest = F.min(_bin(at, bin_days)), F.max(_bin(at, bin_days))
-    bounds = visits.agg(lowest.alias("lowest"), highest.alias("highest")).first()
-    # without any time there is no bin
-    low = F.lit(0 if bounds.lowest is None else bounds.lowest).cast("bigint")
-    high = F.lit(-1 if bounds.highest is None else bounds.highest).cast("bigint")
-    start = F.greatest(F.coalesce(_bin(F.col("valid_from"), bin_days), low), low)
-    end = F.least(F.coalesce(_bin(F.col("valid_to"), bin_days), high), high)
-    binned = lines.where(start <= end).select(
+    known = lines.where(F.col("siri_line_ref").isNotNull())
+    n_rows, n_lines, longest = (
+        known.groupBy("siri_line_ref")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0)))
+        .first()
+    )
+    refs = known.select(
         F.col("siri_line_ref").alias("join_line_ref"),
         F.col("valid_from").alias("join_from"),
         F.col("valid_to").alias("join_to"),
         *LINE_COLUMNS,
-        F.explode(F.sequence(start, end)).alias("join_bin"),
     )
-    placed = visits.withColumn("visit_bin", _bin(at, bin_days))
+    valid = (F.col("join_from").isNull() | (F.col("join_from") <= at)) & (
+        F.col("join_to").isNull() | (at < F.col("join_to"))
+    )
+    if longest <= LONG_HISTORY:
+        on = (visits["line_ref"] == refs["join_line_ref"]) & at.isNotNull() & valid
+        return visits.join(refs, on, "left").drop("join_line_ref", "join_from", "join_to")
+    lowest, highest = F.min(_bin(at, bin_days)), F.max(_bin(at, bin_days))
+    bounds = visits.agg(lowest.alias("lowest"), highest.alias("highest")).first()
+    # without any time there is no bin
+    n_bins = 0 if bounds.lowest is None else bounds.highest - bounds.lowest + 1
+    most = max(1, REPEATS * n_rows // n_lines)
+    days = bin_days * max(1, -(-n_bins // most))
+    low = F.lit(0 if bounds.lowest is None else bounds.lowest * bin_days // days).cast("bigint")
+    high = F.lit(-1 if bounds.highest is None else bounds.highest * bin_days // days + 1).cast("bigint")
+    start = F.greatest(F.coalesce(_bin(F.col("join_from"), days), low), low)
+    end = F.least(F.coalesce(_bin(F.col("join_to"), days), high), high)
+    bins = F.explode(F.sequence(start, end)).alias("join_bin")
+    # Catalyst does not see the repeats, and would send them to the driver
+    binned = refs.where(start <= end).select("*", bins).hint("merge")
+    placed = visits.withColumn("visit_bin", _bin(at, days))
     on = (
         (placed["line_ref"] == binned["join_line_ref"])
         & (placed["visit_bin"] == binned["join_bin"])
-        & (F.col("join_from").isNull() | (F.col("join_from") <= at))
-        & (F.col("join_to").isNull() | (at < F.col("join_to")))
+        & valid
     )
     joined = placed.join(binned, on, "left")
     return joined.drop("visit_bin", "join_line_ref", "join_from", "join_to", "join_bin")
