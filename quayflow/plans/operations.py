@@ -19,7 +19,7 @@ from quayflow.operators.kpis import (
 from quayflow.operators.offsets import offset_report, offset_summary
 from quayflow.operators.passages import project_passages, visits_of
 from quayflow.operators.validity import join_lines_as_of, with_validity
-from quayflow.operators.visits import last_reports
+from quayflow.operators.visits import REPORT_ORDER, last_reports
 from quayflow.plans.catalogue import Query, curated_layer, plain
 from quayflow.plans.compaction import compact_raw
 from quayflow.plans.curated import curated_rows, refresh_versions
@@ -79,15 +79,24 @@ _REPORT_COLUMNS = [
 ]
 
 
+def _reports_of(raw: DataFrame) -> DataFrame:
+    """Visits with the columns that reports are told apart and shown by.
+
+    A report is moved whole, so columns nobody asks for are left behind before.
+    """
+    names = dict.fromkeys((*STOP_KEYS, "recorded_at_time", *REPORT_ORDER))
+    return project_passages(visits_of(raw)).select(*names)
+
+
 def visit_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visits of a stop and direction as reports of one, as long as they follow closely."""
-    visits = project_passages(visits_of(raw_table(spark, raw_layer(spark, sf_dir))))
+    visits = _reports_of(raw_table(spark, raw_layer(spark, sf_dir)))
     return plain(last_reports(visits, STOP_KEYS, REPORT_GAP).select(_REPORT_COLUMNS))
 
 
 def stream_visit_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "reports")
-    visits = project_passages(visits_of(raw_stream(spark, raw_layer(spark, sf_dir))))
+    visits = _reports_of(raw_stream(spark, raw_layer(spark, sf_dir)))
     query = start_visit_reports(
         visits,
         path,

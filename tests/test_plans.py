@@ -11,6 +11,7 @@ from quayflow.operators.passages import visits_of
 from quayflow.plans.catalogue import QUERIES
 from quayflow.plans.curated import curated_rows
 from quayflow.plans.star_events import part_lines, raw_layer
+from quayflow.sinks.files import write_raw
 from quayflow.sources.tables import raw_table
 
 
@@ -99,3 +100,17 @@ def test_layers_follow_their_input_files(spark, sf_dir, tmp_path):
     assert raw_table(spark, raw_layer(spark, str(tmp_path))).count() == 10
     rewrite(20)
     assert raw_table(spark, raw_layer(spark, str(tmp_path))).count() == 20
+
+
+def test_reports_move_only_the_columns_they_need(spark, sf_dir):
+    text = plan(driver.queries()["visit_reports"](spark, sf_dir), "simple")
+    assert "max_by" in text
+    for name in ("stop_point_name", "destination_ref", "event_source", "monitoring_ref"):
+        assert name not in text.partition("Scan parquet")[0].partition("Generate")[0]
+
+
+def test_layers_are_stored_in_half_the_bytes(spark, sf_dir, tmp_path):
+    """The raw layer took twice as much with the default codec."""
+    write_raw(raw_table(spark, raw_layer(spark, sf_dir)), str(tmp_path / "raw"))
+    names = [p.name for p in (tmp_path / "raw").rglob("*.parquet")]
+    assert names and all(".zstd." in name for name in names)
