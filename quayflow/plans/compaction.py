@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from quayflow.sinks.files import write_version
+from quayflow.sinks.files import write_date
 from quayflow.sources.manifest import (
     Manifest,
     files_not_in,
@@ -43,7 +43,7 @@ def compact_raw(
     # the scan packs small files into partitions of about equal size, which are joined here
     n_files = -(-total // target_bytes)
     rows = raw_rows_of(spark, path, files).coalesce(n_files)
-    write_version(rows, base, version)
+    write_date(rows, base, version, ingest_date)
     write_ledger(spark, base, version, files)
     publish(spark, base, before.added(version, written_folders(spark, base, version)))
     return {"files": len(files), "compacted_files": n_files}

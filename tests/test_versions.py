@@ -4,6 +4,7 @@ from collections import Counter
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from quayflow.plans import curated as curated_plan
@@ -174,3 +175,15 @@ def test_compacted_files_are_bounded(spark, tmp_path):
     assert counts["compacted_files"] in (2, 3)
     assert len(raw_table(spark, raw).inputFiles()) <= counts["compacted_files"]
     assert raw_table(spark, raw).count() == 1600
+
+
+def test_a_compacted_date_is_not_sorted(spark, tmp_path, monkeypatch):
+    """A write that is partitioned by columns sorted all of a file's documents."""
+    raw = str(tmp_path / "raw")
+    for n in range(2):
+        write_raw(raw_rows(spark, DAYS[0], range(n, 9)), raw)
+    want = Counter(map(tuple, raw_table(spark, raw).collect()))
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda *columns: pytest.fail("sorts"))
+    compact_raw(spark, raw, "2026-01-01")
+    assert Counter(map(tuple, raw_table(spark, raw).collect())) == want
+    assert all("_compacted" in name for name in raw_table(spark, raw).inputFiles())
