@@ -9,9 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayflow.functions.times import TimeMode
 from quayflow.operators.hot_lines import SHARE, hot_lines, join_hot_lines, widths
-from quayflow.operators.lines import roi_only
+from quayflow.operators.lines import is_broadcast, on_marked_lines, roi_only
 from quayflow.operators.passages import project_passages, visits_of
 from quayflow.schemas import LINE_COLUMNS
+from quayflow.sinks.files import CODEC, GROUP_BYTES, unsorted_writes
 from quayflow.streaming.control import DEFAULT_INTERVAL, triggered
 
 
@@ -57,9 +58,14 @@ def start_curated_stream(
     def write_batch(batch: DataFrame, number: int) -> None:
         visits = visits_of(batch).persist()
         try:
-            joined = join_hot_lines(visits, lines, widths(known.shares, n_tasks))
+            near = visits if is_broadcast(lines) else on_marked_lines(visits, roi_only(lines))
+            joined = join_hot_lines(near, lines, widths(known.shares, n_tasks))
             rows = project_passages(roi_only(joined), times, LINE_COLUMNS)
-            rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch_id={number}")
+            # one file for each task and partition would be as many as rows, or nearly
+            writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
+            writer = writer.option("compression", CODEC).option("parquet.block.size", GROUP_BYTES)
+            with unsorted_writes(batch.sparkSession):
+                writer.partitionBy(*partitions).parquet(f"{path}/batch_id={number}")
             found = hot_lines(visits, known.share).collect()  # 1 / share rows at most
             known.seen({row.line_ref: row.share for row in found})
         finally:

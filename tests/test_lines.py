@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quayflow.operators.lines import join_lines, roi_only
+from quayflow.operators.lines import is_broadcast, join_lines, on_marked_lines, roi_only
 from quayflow.operators.passages import passages, visits_of
 from quayflow.plans.curated import curated_rows, enriched_rows, refresh_curated
 from quayflow.schemas import CURATED, RAW
@@ -197,3 +197,29 @@ def test_no_date_keeps_all(spark, text):
 def test_salt_must_be_positive(spark, lines):
     with pytest.raises(ValueError, match="salt"):
         join_lines(spark.createDataFrame([], KEYS), lines, salt=0)
+
+
+def test_visits_on_no_line_of_interest_do_not_reach_a_shuffled_join(spark):
+    refs = [f"STIF:Line::C{i}:" for i in range(1000)] + [None]
+    visits = spark.createDataFrame([(ref, i) for i, ref in enumerate(refs * 2)], "line_ref string, n int")
+    few = [(ref, "x") for ref in refs[:50]] + [(refs[0], "again"), (None, "x")]
+    lines = spark.createDataFrame(few, "siri_line_ref string, roi_label string")
+    kept = Counter(row.line_ref for row in on_marked_lines(visits, lines).collect())
+    assert all(kept[ref] == 2 for ref in refs[:50])
+    assert sum(kept.values()) <= 110
+    assert on_marked_lines(visits, lines).columns == visits.columns
+    assert on_marked_lines(visits, lines.limit(0)).count() == 0
+
+
+def test_curated_rows_are_the_same_with_a_shuffled_join(spark, lines):
+    visits = visits_of(raw_rows(spark))
+    broadcast = Counter(map(str, curated_rows(visits, lines).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not is_broadcast(lines)
+        rows = curated_rows(visits, lines)
+        assert "mark_bits" in rows._jdf.queryExecution().toString()
+        assert Counter(map(str, rows.collect())) == broadcast
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
@@ -10,8 +11,8 @@ from quayflow.operators.metrics import metric_points, read_metrics, rejected_mes
 from quayflow.operators.passages import visits_of
 from quayflow.plans.catalogue import QUERIES
 from quayflow.plans.curated import curated_rows
-from quayflow.plans.star_events import part_lines, raw_layer
-from quayflow.sinks.files import write_raw
+from quayflow.plans.star_events import lineitem_raw, part_lines, raw_layer
+from quayflow.sinks.files import OPEN_FILES, write_curated, write_raw, write_version
 from quayflow.sources.tables import raw_table
 
 
@@ -114,3 +115,22 @@ def test_layers_are_stored_in_half_the_bytes(spark, sf_dir, tmp_path):
     write_raw(raw_table(spark, raw_layer(spark, sf_dir)), str(tmp_path / "raw"))
     names = [p.name for p in (tmp_path / "raw").rglob("*.parquet")]
     assert names and all(".zstd." in name for name in names)
+
+
+def test_layers_are_written_without_a_sort(spark, sf_dir, tmp_path, monkeypatch):
+    """A sort of all a task's rows by their partitions spilled whole documents at size."""
+    key, seen, parquet = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def watched(writer, *args, **options):
+        seen.append(spark.conf.get(key))
+        parquet(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    before = spark.conf.get(key)
+    raw = lineitem_raw(spark, sf_dir)
+    write_raw(raw, str(tmp_path / "raw"))
+    rows = curated_rows(visits_of(raw), part_lines(spark, sf_dir))
+    write_curated(rows, str(tmp_path / "curated"))
+    write_version(rows, str(tmp_path / "versions"), "v1", "roi_label")
+    assert seen == [str(OPEN_FILES)] * 3
+    assert spark.conf.get(key) == before
