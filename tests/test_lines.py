@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quayflow.operators.lines import is_broadcast, join_lines, on_marked_lines, roi_only
 from quayflow.operators.passages import passages, visits_of
 from quayflow.plans.curated import curated_rows, enriched_rows, refresh_curated
-from quayflow.schemas import CURATED, RAW
+from quayflow.schemas import CURATED, LINE_COLUMNS, RAW
 from quayflow.sinks.files import write_curated
 from quayflow.sources.tables import curated_table, on_ingest_date
 from test_events import event, visit
@@ -223,3 +223,46 @@ def test_curated_rows_are_the_same_with_a_shuffled_join(spark, lines):
         assert Counter(map(str, rows.collect())) == broadcast
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def many_lines(spark):
+    """Lines beyond the broadcast threshold; one occurs twice."""
+    number = F.col("id") % 1999
+    lines = spark.range(2000).select(
+        F.concat(F.lit("STIF:Line::C"), number, F.lit(":")).alias("siri_line_ref"),
+        *[F.concat(F.lit(f"{name} "), "id").alias(name) for name in LINE_COLUMNS],
+    )
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    size = int(str(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    spark.conf.set(key, str(size // 4))
+    yield lines
+    spark.conf.set(key, before)
+
+
+def joins_of(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return {name for name in ("ShuffledHashJoin", "SortMergeJoin", "BroadcastHashJoin") if name in text}
+
+
+def test_left_join_of_many_lines_sorts_no_visits(spark, many_lines):
+    """Sorting the visits for a merge spilled them at size."""
+    enriched = enriched_rows(visits_of(raw_rows(spark)), many_lines)
+    assert joins_of(enriched) == {"ShuffledHashJoin"}
+    assert enriched.columns == [name.split()[0] for name in CURATED.split(", ")]
+    expected = Counter()
+    held = {}
+    for row in many_lines.collect():
+        held.setdefault(row.siri_line_ref, []).append(tuple(row)[1:])
+    for row in passages(raw_rows(spark)).collect():
+        for line in held.get(row.line_ref, [(None,) * 4]):
+            expected[(*row, *line)] += 1
+    assert Counter(map(tuple, enriched.collect())) == expected
+
+
+def test_left_join_moves_columns_not_parsed_visits(spark, many_lines):
+    plan = enriched_rows(visits_of(raw_rows(spark)), many_lines)._jdf.queryExecution()
+    visits = plan.optimizedPlan().toString().partition("Join LeftOuter")[2]
+    assert visits.strip().splitlines()[1].strip(" :+-").startswith("Project [ingest_date")
