@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayflow.operators.lines import is_broadcast, join_lines, on_marked_lines, roi_only
-from quayflow.operators.passages import passages, visits_of
+from quayflow.operators.passages import passages, project_passages, visits_of
 from quayflow.plans.curated import curated_rows, enriched_rows, refresh_curated
 from quayflow.schemas import CURATED, LINE_COLUMNS, RAW
 from quayflow.sinks.files import write_curated
@@ -266,3 +266,10 @@ def test_left_join_moves_columns_not_parsed_visits(spark, many_lines):
     plan = enriched_rows(visits_of(raw_rows(spark)), many_lines)._jdf.queryExecution()
     visits = plan.optimizedPlan().toString().partition("Join LeftOuter")[2]
     assert visits.strip().splitlines()[1].strip(" :+-").startswith("Project [ingest_date")
+
+
+def test_salted_join_of_many_lines_sorts_no_visits(spark, many_lines):
+    visits = project_passages(visits_of(raw_rows(spark)))
+    plain, salted = join_lines(visits, many_lines), join_lines(visits, many_lines, salt=2)
+    assert joins_of(salted) == {"ShuffledHashJoin"}
+    assert Counter(map(tuple, salted.collect())) == Counter(map(tuple, plain.collect()))
