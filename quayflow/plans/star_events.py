@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quayflow.functions.times import iso_utc
 from quayflow.operators.raw import to_raw
 from quayflow.operators.reference import identify_lines
-from quayflow.session import scratch_path
+from quayflow.session import compiled_methods, scratch_path
 from quayflow.sinks.files import write_raw
 from quayflow.sources.storage import child_names, file_state
 
@@ -36,92 +36,159 @@ def timestamp(column: str) -> Column:
     return F.col(column).cast("timestamp")
 
 
-def _counted(count: Column, build) -> Column:
-    """Array of ``build(1) .. build(count)``; NULL or empty, by supplier parity, for none."""
-    numbers = F.sequence(F.lit(1).cast("bigint"), count)
-    none = F.when(F.col("l_suppkey") % 2 == 0, F.lit(None)).otherwise(F.array())
-    return F.when(count > 0, F.transform(numbers, build)).otherwise(none)
+def _value(text: Column) -> Column:
+    """JSON object of a ``value``; empty for NULL."""
+    return F.to_json(F.struct(text.alias("value")))
 
 
-def _texts(*values: Column) -> Column:
-    return F.array(*[F.struct(value.alias("value")) for value in values])
+def _array(count: Column, texts: list[Column]) -> Column:
+    """JSON array of the first ``count`` texts, ``[]`` for none."""
+    listed = F.lit("[]")
+    for n in range(1, len(texts) + 1):
+        parts = [part for text in texts[:n] for part in (F.lit(","), text)][1:]
+        listed = F.when(count == n, F.concat(F.lit("["), *parts, F.lit("]"))).otherwise(listed)
+    return listed
 
 
-def _visit(delivery: Column, visit: Column) -> Column:
-    number = F.col("l_linenumber").cast("bigint")
-    part = (F.col("l_partkey") + visit - 1).cast("string")
-    # wrong case, no trailing colon and no reference at all stay unmatched
-    line = (
-        F.when(number == 5, F.concat(F.lit("stif:line::c"), part, F.lit(":")))
-        .when(number == 6, F.concat(F.lit("STIF:Line::C"), part))
-        .when((visit == 3) & (F.col("l_suppkey") % 5 == 0), F.lit(None))
-        .otherwise(F.concat(F.lit("STIF:Line::C"), part, F.lit(":")))
-    )
-    shipped = F.unix_micros(timestamp("l_shipdate"))
+def _member(name: str, count: Column, texts: list[Column]) -> Column:
+    """JSON object of an array of ``count`` texts; without any the array is missing or empty,
+    by supplier parity."""
+    missing = (F.coalesce(count, F.lit(0)) <= 0) & (F.col("l_suppkey") % 2 == 0)
+    held = F.concat(F.lit(f'{{"{name}":'), _array(count, texts), F.lit("}"))
+    return F.when(missing, "{}").otherwise(held)
+
+
+def _expected_text(visit: int) -> Column:
+    """The visit's expected departure, in one of three shapes."""
     minute = 60_000_000
-    recorded = F.timestamp_micros(shipped + number * 60 * minute)
-    expected = F.timestamp_micros(shipped + (number * 60 + visit * 7) * minute + 123_000)
-    expected_text = (
-        F.when((number + visit) % 5 == 0, F.lit(None))
-        .when(visit == 1, F.date_format(expected, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .when(visit == 2, F.date_format(expected, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .otherwise(iso_utc(expected))
-    )
-    direction = (
-        F.when(number % 3 == 0, F.lit(None))
-        .when(number % 3 == 2, _texts(F.col("l_returnflag"), F.lit("second")))
-        .otherwise(F.array())
+    micros = F.col("_shipped") + (F.col("_number") * 60 + visit * 7) * minute + 123_000
+    expected = F.timestamp_micros(micros)
+    if visit == 1:
+        return F.date_format(expected, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    if visit == 2:
+        return F.date_format(expected, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return iso_utc(expected)
+
+
+def _line_ref(visit: int) -> Column:
+    """The visit's line; wrong case, no trailing colon and no reference stay unmatched."""
+    part = (F.col("l_partkey") + (visit - 1)).cast("string")
+    number = F.col("_number")
+    line = F.when(number == 5, F.concat(F.lit("stif:line::c"), part, F.lit(":"))).when(
+        number == 6, F.concat(F.lit("STIF:Line::C"), part)
     )
-    item = F.concat_ws(":", "l_orderkey", "l_linenumber", delivery, visit)
-    status = F.when(F.col("l_returnflag") == "A", "onTime").when(
-        F.col("l_returnflag") == "N", "delayed"
-    )
-    supplier = F.col("l_suppkey").cast("string")
-    call = F.struct(
-        _texts(F.concat(F.lit("Stop "), supplier)).alias("StopPointName"),
-        (F.col("l_linestatus") == "O").alias("VehicleAtStop"),
-        expected_text.alias("ExpectedDepartureTime"),
-        status.alias("DepartureStatus"),
-    )
-    journey = F.struct(
-        F.struct(line.alias("value")).alias("LineRef"),
-        direction.alias("DirectionName"),
-        F.struct(F.concat(F.lit("D"), supplier).alias("value")).alias("DestinationRef"),
-        _texts(F.concat_ws(" - ", "l_returnflag", supplier)).alias("DestinationName"),
-        call.alias("MonitoredCall"),
-        F.struct(F.col("l_linestatus").alias("value")).alias("DirectionRef"),
+    if visit == 3:
+        line = line.when(F.col("l_suppkey") % 5 == 0, F.lit(None))
+    return line.otherwise(F.concat(F.lit("STIF:Line::C"), part, F.lit(":")))
+
+
+def _after_item(visit: int) -> Column:
+    """What follows a visit's identifier, up to the visit's end."""
+    ref = F.concat(F.lit('{"value":"'), _line_ref(visit), F.lit('"}'))
+    expected = F.when(
+        (F.col("_number") + visit) % 5 != 0,
+        F.concat(F.lit(',"ExpectedDepartureTime":"'), _expected_text(visit), F.lit('"')),
     )
-    return F.struct(
-        F.date_format(recorded, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("RecordedAtTime"),
-        item.alias("ItemIdentifier"),
-        journey.alias("MonitoredVehicleJourney"),
-        F.col("l_tax").alias("UndeclaredField"),
+    return F.concat(
+        F.lit(f':{visit}","MonitoredVehicleJourney":{{"LineRef":'),
+        F.coalesce(ref, F.lit("{}")),
+        F.col("_journey"),
+        F.coalesce(expected, F.lit("")),
+        F.col("_after_times"),
     )
 
 
-def _document() -> Column:
-    """Event text; some are broken, empty, NULL or carry an unreadable version."""
+def _with_document(lineitem: DataFrame) -> DataFrame:
+    """Add ``document``, the event text; some are broken, empty, NULL or carry an unreadable
+    version.
+
+    One to two deliveries hold up to three visits each, which differ in the delivery's number
+    only, so what is the same for a document or for a visit's number is written once. Texts,
+    not arrays of structs: lambda functions over arrays are interpreted, these are compiled
+    if written under :func:`compiled_methods`.
+    """
+    hour = 3_600_000_000
     number = F.col("l_linenumber").cast("bigint")
     remainder = F.col("l_partkey") % 4
-    n_deliveries = F.when(remainder == 0, 0).when(remainder == 2, 2).otherwise(1).cast("bigint")
-    deliveries = _counted(
-        n_deliveries,
-        lambda delivery: F.struct(
-            _counted((number + delivery) % 4, lambda visit: _visit(delivery, visit)).alias(
-                "MonitoredStopVisit"
-            )
-        ),
+    n_deliveries = F.when(remainder == 0, 0).when(remainder == 2, 2).otherwise(1)
+    shipped = F.unix_micros(timestamp("l_shipdate"))
+    numbered = lineitem.withColumns(
+        {"_number": number, "_shipped": shipped, "_deliveries": n_deliveries}
+    )
+    recorded = F.date_format(
+        F.timestamp_micros(F.col("_shipped") + F.col("_number") * hour),
+        "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'",
+    )
+    flag, supplier = F.col("l_returnflag"), F.col("l_suppkey").cast("string")
+    number = F.col("_number")
+    status = F.when(flag == "A", ',"DepartureStatus":"onTime"').when(
+        flag == "N", ',"DepartureStatus":"delayed"'
     )
-    payload = F.to_json(
-        F.struct(
-            F.struct(
-                F.struct(deliveries.alias("StopMonitoringDelivery")).alias("ServiceDelivery")
-            ).alias("Siri")
+    direction = (
+        F.when(number % 3 == 0, F.lit(""))
+        .when(
+            number % 3 == 2,
+            F.concat(F.lit(',"DirectionName":['), _value(flag), F.lit(',{"value":"second"}]')),
         )
+        .otherwise(F.lit(',"DirectionName":[]'))
+    )
+    at_stop = F.when(F.col("l_linestatus") == "O", ',"VehicleAtStop":true').when(
+        F.col("l_linestatus") != "O", ',"VehicleAtStop":false'
+    )
+    undeclared = F.substring(F.to_json(F.struct(F.col("l_tax").alias("UndeclaredField"))), 2, 1 << 30)
+    shared = numbered.withColumns(
+        {
+            "_before_item": F.concat(
+                F.lit("{"),
+                F.coalesce(
+                    F.concat(F.lit('"RecordedAtTime":"'), recorded, F.lit('",')), F.lit("")
+                ),
+                F.lit('"ItemIdentifier":"'),
+                F.concat_ws(":", "l_orderkey", "l_linenumber"),
+                F.lit(":"),
+            ),
+            "_journey": F.concat(
+                direction,
+                F.lit(',"DestinationRef":{"value":"D'),
+                supplier,
+                F.lit('"},"DestinationName":['),
+                _value(F.concat_ws(" - ", "l_returnflag", "l_suppkey")),
+                F.lit('],"MonitoredCall":{"StopPointName":[{"value":"Stop '),
+                supplier,
+                F.lit('"}]'),
+                F.coalesce(at_stop, F.lit("")),
+            ),
+            "_after_times": F.concat(
+                F.coalesce(status, F.lit("")),
+                F.lit('},"DirectionRef":'),
+                _value(F.col("l_linestatus")),
+                F.when(F.col("l_tax").isNull(), "}").otherwise(F.lit("},")),
+                undeclared,
+            ),
+        }
     )
-    produced = F.timestamp_micros(
-        F.unix_micros(timestamp("l_shipdate")) + F.col("l_orderkey") % 1_000_000
+    # delivery 1 has (number + 1) % 4 visits, delivery 2 one more or none
+    visits = shared
+    for visit in (1, 2, 3):
+        least = (number + 1) % 4
+        wanted = (least >= visit) | ((F.col("_deliveries") == 2) & ((number + 2) % 4 >= visit))
+        visits = visits.withColumn(f"_visit{visit}", F.when(wanted, _after_item(visit)))
+    delivered = visits
+    for delivery in (1, 2):
+        texts = [
+            F.concat(F.col("_before_item"), F.lit(str(delivery)), F.col(f"_visit{visit}"))
+            for visit in (1, 2, 3)
+        ]
+        held = _member("MonitoredStopVisit", (number + delivery) % 4, texts)
+        delivered = delivered.withColumn(
+            f"_delivery{delivery}", F.when(F.col("_deliveries") >= delivery, held)
+        )
+    service = _member(
+        "StopMonitoringDelivery",
+        F.col("_deliveries"),
+        [F.col("_delivery1"), F.col("_delivery2")],
     )
+    produced = F.timestamp_micros(F.col("_shipped") + F.col("l_orderkey") % 1_000_000)
     version = F.when(F.col("l_quantity") == 13, '"x"').otherwise("1")
     text = F.concat(
         F.lit(f'{{"event_source":"{EVENT_SOURCE}","event_version":'),
@@ -130,16 +197,17 @@ def _document() -> Column:
         iso_utc(produced),
         F.lit('","monitoring_ref":"STIF:StopPoint:Q:'),
         F.col("l_suppkey"),
-        F.lit(':","payload":'),
-        payload,
-        F.lit("}"),
+        F.lit(':","payload":{"Siri":{"ServiceDelivery":'),
+        service,
+        F.lit("}}}"),
     )
-    return (
+    document = (
         F.when(F.col("l_quantity") == 29, F.concat(F.lit("#"), text))
         .when(F.col("l_quantity") == 31, "")
         .when(F.col("l_quantity") == 37, F.lit(None))
         .otherwise(text)
     )
+    return delivered.withColumn("document", document)
 
 
 def lineitem_records(lineitem: DataFrame) -> DataFrame:
@@ -147,11 +215,11 @@ def lineitem_records(lineitem: DataFrame) -> DataFrame:
     hours = F.col("l_linenumber").cast("bigint") * 3_600_000_000
     arrived = F.timestamp_micros(F.unix_micros(timestamp("l_shipdate")) + hours)
     year = F.date_trunc("year", timestamp("l_shipdate"))
-    return lineitem.select(
+    return _with_document(lineitem).select(
         F.concat(F.lit("STIF:StopPoint:Q:"), F.col("l_suppkey"), F.lit(":"))
         .cast("binary")
         .alias("key"),
-        _document().cast("binary").alias("value"),
+        F.col("document").cast("binary").alias("value"),
         F.lit(EVENT_TOPIC).alias("topic"),
         (F.col("l_suppkey") % 8).cast("int").alias("partition"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
@@ -204,9 +272,12 @@ def stored_layer(
 
 def raw_layer(spark: SparkSession, sf_dir: str) -> str:
     """Path of the raw table of all line items."""
-    return stored_layer(
-        spark, sf_dir, "raw", lambda path: write_raw(lineitem_raw(spark, sf_dir), path)
-    )
+
+    def write(path: str) -> None:
+        with compiled_methods(spark):
+            write_raw(lineitem_raw(spark, sf_dir), path)
+
+    return stored_layer(spark, sf_dir, "raw", write)
 
 
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Physical plans: what must not depend on Spark's mood."""
 
+import json
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -9,9 +11,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from quayflow.operators.metrics import metric_points, read_metrics, rejected_messages
 from quayflow.operators.passages import visits_of
+from quayflow.plans import star_events
 from quayflow.plans.catalogue import QUERIES
 from quayflow.plans.curated import curated_rows
-from quayflow.plans.star_events import lineitem_raw, part_lines, raw_layer
+from quayflow.plans.star_events import lineitem_raw, lineitem_records, part_lines, raw_layer
 from quayflow.sinks.files import OPEN_FILES, write_curated, write_raw, write_version
 from quayflow.sources.tables import raw_table
 
@@ -134,3 +137,80 @@ def test_layers_are_written_without_a_sort(spark, sf_dir, tmp_path, monkeypatch)
     write_version(rows, str(tmp_path / "versions"), "v1", "roi_label")
     assert seen == [str(OPEN_FILES)] * 3
     assert spark.conf.get(key) == before
+
+
+ODD_ITEMS = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+)
+
+
+def test_documents_of_odd_line_items(spark):
+    """Deliveries, visits and texts of a document, which must be read as JSON."""
+    at = datetime(2024, 1, 2)
+    items = [
+        (1, 6, 10, 1, 1.0, float("nan"), '"q\\', "\t", at),
+        (None, 6, 10, 1, 1.0, 0.5, "A", "O", at),
+        (3, 8, 10, 1, 1.0, 0.5, "A", "O", at),
+        (4, 8, 11, 1, 1.0, 0.5, "A", "O", at),
+        (5, None, 15, 2, 13.0, None, None, None, at),
+        (6, 1, 10, 3, 1.0, 0.5, "A", "O", at),
+        (7, 1, 10, 1, 31.0, 0.5, "A", "O", at),
+        (8, 1, 10, 1, 29.0, 0.5, "N", "O", at),
+        (9, 1, 10, None, 1.0, 0.5, "N", "O", at),
+        (10, 1, 10, 5, 1.0, 1e-7, "N", "O", at),
+    ]
+    rows = lineitem_records(spark.createDataFrame(items, ODD_ITEMS)).collect()
+    texts = [None if row.value is None else bytes(row.value).decode() for row in rows]
+    assert texts[1] is None and texts[6] == "" and texts[7].startswith("#{")
+    read = [json.loads(texts[i]) for i in (0, 2, 3, 4, 5, 8, 9)]
+    services = [doc["payload"]["Siri"]["ServiceDelivery"] for doc in read]
+    held = [
+        [d.get("MonitoredStopVisit") for d in s.get("StopMonitoringDelivery", [])] for s in services
+    ]
+    assert services[1] == {} and services[2] == {"StopMonitoringDelivery": []}
+    assert [[v if not v else len(v) for v in visits] for visits in held] == [
+        [2, 3], [], [], [3], [None], [None], [2]
+    ]
+    assert held[0][1][2] == {
+        "RecordedAtTime": "2024-01-02T01:00:00.000Z",
+        "ItemIdentifier": "1:1:2:3",
+        "MonitoredVehicleJourney": {
+            "LineRef": {},
+            "DirectionName": [],
+            "DestinationRef": {"value": "D10"},
+            "DestinationName": [{"value": '"q\\ - 10'}],
+            "MonitoredCall": {
+                "StopPointName": [{"value": "Stop 10"}],
+                "VehicleAtStop": False,
+                "ExpectedDepartureTime": "2024-01-02T01:21:00.123000+00:00",
+            },
+            "DirectionRef": {"value": "\t"},
+        },
+        "UndeclaredField": "NaN",
+    }
+    assert read[3]["event_version"] == "x"
+    assert held[3][0][0]["MonitoredVehicleJourney"] == {
+        "LineRef": {},
+        "DirectionName": [{}, {"value": "second"}],
+        "DestinationRef": {"value": "D15"},
+        "DestinationName": [{"value": "15"}],
+        "MonitoredCall": {
+            "StopPointName": [{"value": "Stop 15"}],
+            "ExpectedDepartureTime": "2024-01-02T02:07:00.123Z",
+        },
+        "DirectionRef": {},
+    }
+    assert [v["UndeclaredField"] for v in held[6][0]] == [1e-7, 1e-7]
+    assert held[6][0][0]["MonitoredVehicleJourney"]["LineRef"] == {"value": "stif:line::c1:"}
+
+
+def test_documents_are_written_by_compiled_code(spark, sf_dir, monkeypatch):
+    """Lambda functions are interpreted, and so are methods beyond 8,000 bytes of code."""
+    assert "lambdafunction" not in plan(lineitem_raw(spark, sf_dir), "extended")
+    key, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(star_events, "write_raw", lambda raw, path: seen.append(spark.conf.get(key)))
+    monkeypatch.setattr(star_events, "_written", {})
+    raw_layer(spark, sf_dir)
+    assert seen == ["8000"] and spark.conf.get(key) == before
