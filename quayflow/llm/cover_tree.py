@@ -2,13 +2,19 @@
 
 Vectors of one label are unit vectors; those within ``radius`` (the chord of the cosine)
 link. The upper tree is built by Spark, level by level: a cell with more than ``CELL``
-vectors is split by up to ``PIVOTS`` of its vectors, each vector is at home with the
-nearest one, and the children's covering radii are the largest distances found. Vectors
-also visit the other cells that may hold a link, those whose centre is not farther than
-covering radius plus link radius, so pairs of subtrees are pruned as the levels descend.
-In a leaf cell the vectors at home and batches of visitors get nested cover levels with
-halving radii; pairs of nodes are pruned by centre distance less both covering radii,
-counted without distances if even the farthest pair links, and compared at the leaves.
+vectors, or ``CELL_BYTES`` of them, is split by up to ``PIVOTS`` of its vectors, each vector
+is at home with the nearest one, and the children's covering radii are the largest distances
+found. Vectors also visit the other cells that may hold a link, those whose centre is not
+farther than covering radius plus link radius, and that lie within the link radius of every
+plane halfway between the cell's centre and another, so pairs of subtrees are pruned as the
+levels descend. In a leaf cell the vectors at home, in parts of ``GUESTS``, and batches of
+visitors get nested cover levels with halving radii; pairs of nodes are pruned by centre
+distance less both covering radii, counted without distances if even the farthest pair
+links, and compared at the leaves.
+
+Where vectors lie so far apart that nothing is pruned, each visits all cells of its label:
+what is moved and stored grows with the vectors times the cells, and the comparisons with
+the square, so cells are as large as a task may hold.
 
 Equal vectors of a label are one point with a count. Every vector at home meets all it
 links to, so link counts need no second pass; for components each task passes on links
@@ -30,7 +36,8 @@ from pyspark.sql import functions as F
 from quayflow.llm.blocks import stored
 from quayflow.llm.components import components
 
-CELL = 1024
+CELL = 16_384
+CELL_BYTES = 8 << 20
 PIVOTS = 8
 LEVELS = 24
 LEAF = 24
@@ -98,6 +105,20 @@ def _to_nearest(batches):
         )
 
 
+def _beyond(vectors: np.ndarray, centers: np.ndarray, radius: float) -> np.ndarray:
+    """Where a vector links with none that is at home with a centre.
+
+    Those are on the centre's side of the planes halfway to the other centres, and a link
+    reaches ``radius`` over a plane at most.
+    """
+    along = vectors @ centers.T
+    reach = (radius + SLACK) * _chords(centers, centers) + SLACK
+    beyond = np.zeros(along.shape, bool)
+    for i in range(len(centers)):
+        beyond |= along[:, i : i + 1] - along > reach[i]
+    return beyond
+
+
 def _visits(radius: float):
     """The children of their cell that vectors must visit besides their home."""
 
@@ -111,7 +132,7 @@ def _visits(radius: float):
                 reach = np.array([c["far"] for c in children]) + radius + SLACK
                 vectors = _matrix(batch.column("vector").take(pa.array(rows)))
                 numbers = np.array([c["child"] for c in children])
-                near = _chords(vectors, centers) <= reach
+                near = (_chords(vectors, centers) <= reach) & ~_beyond(vectors, centers, radius)
                 near &= own[rows][:, None] != numbers[None, :]
                 visitor, child = np.nonzero(near)
                 keep += rows[visitor].tolist()
@@ -130,9 +151,13 @@ def _visits(radius: float):
     return visits
 
 
-def _split(points: DataFrame, radius: float, cell: int) -> tuple[DataFrame, DataFrame | None]:
+def _split(points: DataFrame, radius: float, cell: int, most: int = CELL_BYTES) -> tuple[DataFrame, DataFrame | None]:
     """One level: (points of cells that are leaves, points in the children of the others)."""
-    sizes = points.filter("home").groupBy("cell").count().filter(F.col("count") > cell)
+    sizes = points.filter("home").groupBy("cell").agg(
+        F.count(F.lit(1)).alias("count"), F.sum(F.length("vector")).alias("bytes")
+    )
+    # a part is held as one tree however wide its vectors are
+    sizes = sizes.filter((F.col("count") > cell) | ((F.col("bytes") > most) & (F.col("count") > GUESTS)))
     big = stored(sizes.select("cell"), "cells")
     if big.isEmpty():
         return points, None
@@ -375,7 +400,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, cell: int = CELL) ->
     radius = float(np.sqrt(2 - 2 * cosine))
     leaves = None
     for level in range(LEVELS + 1):
-        at_rest, points = _split(points, radius, cell if level < LEVELS else 1 << 62)
+        limits = (cell, CELL_BYTES) if level < LEVELS else (1 << 62, 1 << 62)
+        at_rest, points = _split(points, radius, *limits)
         leaves = at_rest if leaves is None else leaves.unionByName(at_rest)
         if points is None:
             break

@@ -103,3 +103,42 @@ def test_traversal_prunes(monkeypatch):
     counted = sum(len(tree.points[a]) * len(tree.points[b]) for a, b in zip(*whole, strict=True))
     assert compared + counted < 480 * 480 / 4
     assert counted > 0
+
+
+def apart(n, dimensions, seed=4):
+    """Unit vectors that lie about equally far from each other."""
+    vectors = np.random.default_rng(seed).normal(size=(n, dimensions))
+    return vectors / np.linalg.norm(vectors, axis=1)[:, None]
+
+
+def split(spark, vectors, **limits):
+    rows = [(i, "c", True, 1, v.tobytes()) for i, v in enumerate(vectors)]
+    points = spark.createDataFrame(rows, cover_tree.POINTS)
+    return cover_tree._split(points, float(np.sqrt(2 - 2 * 0.98)), **limits)
+
+
+def test_vectors_far_apart_are_moved_a_few_times(spark):
+    """Cells hold what a task may hold, so vectors that visit every cell visit few."""
+    vectors = apart(2500, 8)
+    leaves, children = split(spark, vectors, cell=cover_tree.CELL)
+    assert children is None and leaves.count() == len(vectors)
+
+
+def test_cells_of_wide_vectors_are_split_by_bytes(spark):
+    vectors = apart(1200, 128)
+    leaves, children = split(spark, vectors, cell=cover_tree.CELL, most=1 << 20)
+    assert leaves.count() == 0 and children.filter("home").count() == len(vectors)
+
+
+def test_no_linked_vector_is_beyond_a_plane():
+    """A good part of the visits that covering radii allow is left out, and no link is."""
+    vectors, radius = apart(800, 8), float(np.sqrt(2 - 2 * 0.98))
+    copies = vectors + 0.05 * apart(800, 8, seed=5)
+    vectors = np.concatenate([vectors, copies / np.linalg.norm(copies, axis=1)[:, None]])
+    centers = vectors[:16]
+    home = cover_tree._chords(vectors, centers).argmin(1)
+    beyond = cover_tree._beyond(vectors, centers, radius)
+    a, b = np.nonzero(vectors @ vectors.T >= 0.98)
+    assert len(a) > 2 * len(vectors) and (home[a] != home[b]).any()
+    assert not beyond[a, home[b]].any()
+    assert beyond.mean() > 0.3
