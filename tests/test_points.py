@@ -129,6 +129,19 @@ def test_export_to_files(spark, tmp_path, text):
     assert (spark.read.text(out) if text else spark.read.parquet(out)).count() == 2
 
 
+def test_lines_are_stored_compressed_and_read_alike(spark, tmp_path):
+    texts = [f'passages,roi_label=L\\ {n} status="é \\"{n}\\"",offset={n}i 170406720{n:04d}000000' for n in range(4000)]
+    lines = spark.createDataFrame([(t,) for t in texts], "line string").coalesce(1)
+    sizes = {}
+    for codec in ("gzip", "none"):
+        out = tmp_path / codec
+        write_lines(lines, str(out)) if codec == "gzip" else write_lines(lines, str(out), codec=codec)
+        assert sorted(row.value for row in spark.read.text(str(out)).collect()) == sorted(texts)
+        sizes[codec] = sum(f.stat().st_size for f in out.glob("part-*"))
+    assert sizes["none"] == sum(len(t.encode()) + 1 for t in texts)
+    assert sizes["gzip"] < sizes["none"] / 4
+
+
 def test_times_beyond_nanoseconds_have_no_point(spark):
     far = [datetime(9999, 12, 31), datetime(1600, 1, 1), datetime(2262, 1, 1)]
     df = curated(spark, *[{"expected_departure_time": time} for time in far])
