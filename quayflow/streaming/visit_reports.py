@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quayflow.operators.visits import VISIT_KEYS, last_reports
-from quayflow.streaming.control import DEFAULT_INTERVAL, triggered
+from quayflow.streaming.control import DEFAULT_INTERVAL, state_on_disk, triggered
 
 
 def start_visit_reports(
@@ -26,7 +26,8 @@ def start_visit_reports(
     """Append each visit's last report to Parquet once no other can change it.
 
     ``delay`` is how far a report may be behind the newest one; later ones are dropped. The
-    state holds the visits that are open at the watermark.
+    state holds the visits that are open at the watermark, after a first batch all of its
+    visits, and is on the executors' disks, not in their memory.
     """
     settled = last_reports(visits.withWatermark(time, delay), keys, gap, time)
     writer = (
@@ -35,4 +36,5 @@ def start_visit_reports(
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
-    return triggered(writer, interval, available_now).start()
+    with state_on_disk(visits.sparkSession):
+        return triggered(writer, interval, available_now).start()

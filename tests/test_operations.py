@@ -164,6 +164,16 @@ def test_stream_of_reports_restarts_and_equals_the_batch(spark, tmp_path):
     assert progress[-1].stateOperators[0].numRowsTotal == len(every) - len(settled)
 
 
+def test_state_of_reports_is_on_disk(spark, tmp_path):
+    """Not in the executors' memory; the session's other streams keep theirs as before."""
+    before = dict(spark.conf.getAll)
+    rows = visit_rows(2, 40)
+    spark.createDataFrame(rows, VISIT).coalesce(1).write.parquet(str(tmp_path / "in/part=0"))
+    progress = visits_stream(spark, tmp_path)
+    assert "rocksdbPutLatency" in progress[0].stateOperators[0].customMetrics
+    assert dict(spark.conf.getAll) == before
+
+
 # --- indicators
 
 DEPARTURES = "roi_label string, line_ref string, direction_ref string, stop_point_name string, expected_departure_time timestamp, recorded_at_time timestamp, departure_status string"
