@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quayflow.schemas import LINE_COLUMNS
@@ -29,6 +30,27 @@ def hot_lines(visits: DataFrame, share: float = SHARE) -> DataFrame:
     return shares.where(F.col("share") >= share)
 
 
+def seen_lines(visits: DataFrame, share: float = SHARE) -> tuple[DataFrame, Observation]:
+    """Visits that are counted as :func:`hot_lines` does, whenever they are read; read what was
+    found by :func:`shares_of` after the action."""
+    most = math.ceil(1 / share) + 1  # visits on no line may take a place
+    top = f"approx_top_k(line_ref, {most}, {max(TRACKED, most)})"
+    seen = Observation()
+    counted = visits.observe(seen, F.expr(top).alias("top"), F.count(F.lit(1)).alias("total"))
+    return counted, seen
+
+
+def shares_of(seen: Observation, share: float = SHARE) -> dict[str, float] | None:
+    """The lines with at least ``share`` of the visits, about; None if nothing was counted, as
+    adaptive execution replaces a plan without any result, and the count with it."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        return None
+    shares = {item["item"]: item["count"] / found["total"] for item in found["top"] or []}
+    return {line: s for line, s in shares.items() if line is not None and s >= share}
+
+
 def widths(shares: dict[str, float], tasks: int) -> dict[str, int]:
     """Over how many tasks each hot line is spread, as its share of all tasks asks for."""
     return {line: max(2, round(share * tasks)) for line, share in shares.items()}

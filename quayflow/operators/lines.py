@@ -36,18 +36,25 @@ def is_hashed(lines: DataFrame, times: int = 1) -> bool:
     return threshold >= 0 and size * times <= most
 
 
-def on_marked_lines(visits: DataFrame, lines: DataFrame) -> DataFrame:
-    """Leave out visits that are on none of ``lines``, so that a join does not move them.
-
-    Each line sets one bit of a table of fixed size, which is broadcast. No visit on one of
-    the lines is lost; some on others stay, with lines by the million some 10 %.
-    """
+def line_marks(lines: DataFrame) -> DataFrame:
+    """Each line as one bit of a table of fixed size, however many lines there are."""
     bit = F.pmod(F.xxhash64("siri_line_ref"), F.lit(MARK_BITS))
     marked = lines.select(bit.alias("bit"))
     word = F.expr(f"bit DIV {WORD_BITS}").alias("mark_word")
-    marks = marked.groupBy(word).agg(
+    return marked.groupBy(word).agg(
         F.expr(f"bit_or(shiftleft(1L, CAST(bit % {WORD_BITS} AS INT)))").alias("mark_bits")
     )
+
+
+def on_marked_lines(
+    visits: DataFrame, lines: DataFrame, marks: DataFrame | None = None
+) -> DataFrame:
+    """Leave out visits that are on none of ``lines``, so that a join does not move them.
+
+    The lines' marks, or ``marks`` made of them before, are broadcast. No visit on one of
+    the lines is lost; some on others stay, with lines by the million some 10 %.
+    """
+    marks = line_marks(lines) if marks is None else marks
     own = f"pmod(xxhash64(line_ref), {MARK_BITS}L)"
     seen = visits.join(F.broadcast(marks), F.expr(f"{own} DIV {WORD_BITS} = mark_word"))
     return seen.where(f"getbit(mark_bits, CAST({own} % {WORD_BITS} AS INT)) = 1").drop(

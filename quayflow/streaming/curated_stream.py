@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quayflow.functions.times import TimeMode
-from quayflow.operators.hot_lines import SHARE, hot_lines, join_hot_lines, widths
-from quayflow.operators.lines import is_broadcast, on_marked_lines, roi_only
+from quayflow.operators.hot_lines import SHARE, hot_lines, join_hot_lines, seen_lines, shares_of, widths
+from quayflow.operators.lines import is_broadcast, line_marks, on_marked_lines, roi_only
 from quayflow.operators.passages import project_passages, visits_of
 from quayflow.schemas import LINE_COLUMNS
 from quayflow.sinks.files import CODEC, GROUP_BYTES, unsorted_writes
@@ -50,26 +50,34 @@ def start_curated_stream(
     Adaptive execution does not split the hot partitions of a stream's join, and a reference
     table that is too large to broadcast then puts a hot line in one task. Each batch is
     written with the lines spread that were hot in the ones before, and what it holds itself
-    is counted on the way. A batch that runs again replaces its folder.
+    is counted on the way, so its documents are parsed once and nothing of it is kept. Where
+    they are too many to broadcast, the lines of interest and their marks are read for the
+    first batch and cached, so a table that changes is seen by the next start. A batch that
+    runs again replaces its folder.
     """
     known = hot or HotLines()
     n_tasks = tasks or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    marks = None
+    if not is_broadcast(lines):
+        lines = roi_only(lines.select("siri_line_ref", *LINE_COLUMNS)).persist()
+        marks = line_marks(lines).repartition(1).persist()  # 8 MB at most
+
     def write_batch(batch: DataFrame, number: int) -> None:
-        visits = visits_of(batch).persist()
-        try:
-            near = visits if is_broadcast(lines) else on_marked_lines(visits, roi_only(lines))
-            joined = join_hot_lines(near, lines, widths(known.shares, n_tasks))
-            rows = project_passages(roi_only(joined), times, LINE_COLUMNS)
-            # one file for each task and partition would be as many as rows, or nearly
-            writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
-            writer = writer.option("compression", CODEC).option("parquet.block.size", GROUP_BYTES)
-            with unsorted_writes(batch.sparkSession):
-                writer.partitionBy(*partitions).parquet(f"{path}/batch_id={number}")
-            found = hot_lines(visits, known.share).collect()  # 1 / share rows at most
-            known.seen({row.line_ref: row.share for row in found})
-        finally:
-            visits.unpersist()
+        visits, seen = seen_lines(visits_of(batch), known.share)
+        near = visits if marks is None else on_marked_lines(visits, lines, marks)
+        joined = join_hot_lines(near, lines, widths(known.shares, n_tasks))
+        rows = project_passages(roi_only(joined), times, LINE_COLUMNS)
+        # one file for each task and partition would be as many as rows, or nearly
+        writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
+        writer = writer.option("compression", CODEC).option("parquet.block.size", GROUP_BYTES)
+        with unsorted_writes(batch.sparkSession):
+            writer.partitionBy(*partitions).parquet(f"{path}/batch_id={number}")
+        shares = shares_of(seen, known.share)
+        if shares is None:  # no visit on a line of interest: at most 1 / share rows to collect
+            found = hot_lines(visits_of(batch), known.share).collect()
+            shares = {row.line_ref: row.share for row in found}
+        known.seen(shares)
 
     writer = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return triggered(writer, interval, available_now).start()

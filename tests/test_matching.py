@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayflow.operators import keywords as keywords_module
-from quayflow.operators.hot_lines import hot_lines, join_hot_lines, widths
+from quayflow.operators.hot_lines import hot_lines, join_hot_lines, seen_lines, shares_of, widths
 from quayflow.operators.keywords import match_keywords
 from quayflow.operators.lines import join_lines
 from quayflow.operators.validity import join_lines_as_of, with_validity
@@ -195,3 +195,38 @@ def test_stream_learns_hot_lines_and_restarts(spark, tmp_path):
     assert add(1, 9) == 18
     assert add(2, 0) == 18 + 1
     assert hot.shares["STIF:Line::C1:"] == pytest.approx(0.45)
+
+
+def test_lines_are_counted_while_visits_are_read(spark):
+    rows = [("t", i % 3, i, "L1" if i % 10 else f"L{i % 47}") for i in range(5000)]
+    rows += [("t", 0, 9000 + i, None) for i in range(2000)]
+    df = spark.createDataFrame(rows, RECORDS)
+    counted, seen = seen_lines(df, 0.3)
+    assert Counter(map(tuple, counted.collect())) == Counter(map(tuple, df.collect()))
+    assert shares_of(seen, 0.3) == {r.line_ref: pytest.approx(r.share) for r in hot_lines(df, 0.3).collect()}
+    for nothing in (df.limit(0), df.where("line_ref IS NULL")):
+        counted, seen = seen_lines(nothing)
+        counted.collect()
+        assert not shares_of(seen)
+
+
+def test_stream_keeps_no_visits(spark, tmp_path, monkeypatch):
+    """Batches are parsed once, into the write; only the lines and their marks are kept."""
+    from quayflow.schemas import RAW
+
+    lines = spark.createDataFrame([(f"STIF:Line::C{i}:", "A" if i else None, "A", "A", "rail") for i in range(9)], LINES)
+    kept, persist = [], type(lines).persist
+    monkeypatch.setattr(type(lines), "persist", lambda df, *a: kept.append(df.columns) or persist(df, *a))
+    documents = [event([{"MonitoredStopVisit": [visit(f"{i}-{j}", LineRef={"value": f"STIF:Line::C{i % 10}:"}) for j in range(2)]}]) for i in range(40)]
+    rows = [("k", text, "t", 0, i, START, START, START.date()) for i, text in enumerate([*documents, "#", None])]
+    for part in (rows[::2], rows[1::2], [("k", None, "t", 0, 99, START, START, START.date())]):
+        spark.createDataFrame(part, RAW).coalesce(1).write.mode("append").partitionBy("ingest_date").parquet(str(tmp_path / "raw"))
+    hot = HotLines(0.01)
+    query = start_curated_stream(
+        raw_stream(spark, str(tmp_path / "raw"), 1), lines, str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+        hot=hot, tasks=8, available_now=True,
+    )
+    assert wait(query, 180)
+    found = Counter(r.line_ref for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert found == {f"STIF:Line::C{i}:": 8 for i in range(1, 9)}
+    assert hot.shares and kept == [lines.columns, ["mark_word", "mark_bits"]]
